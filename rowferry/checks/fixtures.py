@@ -30,9 +30,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf: str, *beside: str) -> DataFrame:
     """``line_id, raw_json``: 1 in 50 cut short, 1 lacks a field, 1 has a wrong type, 1 is blank."""
-    return table(spark, sf, "events").selectExpr("event_id AS line_id", f"{_RAW_LINE} AS raw_json")
+    return table(spark, sf, "events").selectExpr("event_id AS line_id", f"{_RAW_LINE} AS raw_json", *beside)
 
 
 def broker_raw(spark: SparkSession, sf: str) -> DataFrame:

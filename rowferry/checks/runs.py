@@ -167,12 +167,9 @@ SELECT pipeline_id, 'critical' AS severity, 'lag' AS title FROM m WHERE lag > 30
 UNION ALL SELECT pipeline_id, 'warning', 'dlq_rate' FROM m WHERE dlq / consumed > 0.05""")
 def alert_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Counters and lag per job from the same rows, then the two default rules."""
-    jobs = fx.table(spark, sf, "events").select(
-        F.col("event_id").alias("line_id"), F.concat(F.lit("u"), F.col("user_id") % 10).alias("pipeline_id"), "ts"
-    )
-    marked = validated_lines(spark, sf).select("line_id", "_errors").join(jobs, "line_id")
-    counters = monitoring.run_counters(marked, by=["pipeline_id"])
-    measured = counters.join(monitoring.lag(marked, "ts", AT, ["pipeline_id"]), "pipeline_id")
+    marked = validated_lines(spark, sf, "'u' || (user_id % 10) AS pipeline_id", "ts")
+    lag = {"lag_seconds": monitoring.lag_seconds("ts", AT)}
+    measured = monitoring.run_counters(marked, by=["pipeline_id"], more=lag)
     return monitoring.alerts(measured).select("pipeline_id", "severity", "title")
 
 

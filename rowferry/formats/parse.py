@@ -41,12 +41,6 @@ def as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
-def parse_json_map(df: DataFrame, column: str, into: str) -> DataFrame:
-    """JSON objects to ``MAP<STRING,STRING>``; null where the text is no object."""
-    parsed = F.from_json(name(column), T.MapType(T.StringType(), T.StringType()))
-    return evaluate_once(df, into, parsed)
-
-
 def parse_csv(df: DataFrame, column: str, schema: T.StructType, options: dict[str, str] | None = None) -> DataFrame:
     """One delimited line per row to the columns of ``schema`` plus ``_corrupt``."""
     target = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])

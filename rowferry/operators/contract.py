@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.errors import ConfigError, SchemaDriftError
-from rowferry.formats.parse import CORRUPT, evaluate_once, parse_json_map
+from rowferry.formats.parse import CORRUPT, as_text, evaluate_once
 from rowferry.functions.casts import does_not_fit
 from rowferry.functions.records import name
-from rowferry.operators.mapping import ERRORS, add_errors
+from rowferry.operators.mapping import ERRORS, add_errors, error_list
 
-FIELDS = "_fields"
+_NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 # A record family with more fields than this is a map, not a schema.
 MAX_FIELDS = 10_000
@@ -28,24 +28,37 @@ def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
     fit the declared type.
     """
     readable = name(CORRUPT).isNull() if CORRUPT in df.columns else F.lit(True)
-    faults = [] if CORRUPT not in df.columns else [F.when(~readable, F.lit("corrupt"))]
+    faults = [F.when(~readable, F.lit("corrupt"))]
     for f in schema.fields:
         present = f.name in df.columns
         value = name(f.name) if present else F.lit(None)
         if not f.nullable:
             faults.append(F.when(readable & value.isNull(), F.lit(f"missing:{f.name}")))
         if present and df.schema[f.name].dataType != f.dataType:
-            faults.append(F.when(readable & does_not_fit(value, f.dataType), F.lit(f"type:{f.name}")))
+            faults.append(F.when(readable & _misfit(value, f.dataType), F.lit(f"type:{f.name}")))
     return add_errors(df, faults)
 
 
+def _misfit(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, _NESTED):
+        return text.isNotNull() & F.from_json(text, kind).isNull()
+    return does_not_fit(text, kind)
+
+
+def _from_text(text: Column, kind: T.DataType) -> Column:
+    return F.from_json(text, kind) if isinstance(kind, _NESTED) else text.try_cast(kind)
+
+
 def conform(df: DataFrame, schema: T.StructType, carry: Iterable[str] = ()) -> DataFrame:
     """The declared fields in their declared types (values that do not fit become null)."""
-    fields = [
-        (name(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ]
-    return df.select(*fields, *[name(c) for c in carry if c in df.columns])
+    def typed(f: T.StructField) -> Column:
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType)
+        if df.schema[f.name].dataType == f.dataType:
+            return name(f.name)
+        return _from_text(name(f.name), f.dataType)
+
+    return df.select(*[typed(f).alias(f.name) for f in schema.fields], *[name(c) for c in carry if c in df.columns])
 
 
 def infer_fields(df: DataFrame, column: str, first: int | None = None) -> DataFrame:
@@ -74,64 +87,74 @@ def _sql_type(variant_type: str) -> str:
     return variant_type.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
 
 
-def drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:
-    """``field, change, n``: fields added, dropped or of another type, with row counts.
+def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str = "missing",
+                 misfit: str = "type", unknown: bool = True) -> DataFrame:
+    """JSON text to the declared fields in their types, with every fault in ``_errors``.
 
-    Text that is no JSON object is not drift; :func:`validate` reports it.
+    The usual record is parsed once, straight into its types, and is faultless
+    in types when that works. Only a record that does not parse is parsed again
+    as text, to tell a broken body from single values that do not fit. With
+    ``unknown`` a field outside the schema is the fault ``added:<field>``.
+    Input columns stay, except those named like a field of the schema.
     """
-    mapped = parse_json_map(df.select(name(column)), column, "_fields").where("_fields IS NOT NULL")
-    changes = mapped.select(F.explode(_row_changes(expected, expected.names)).alias("c"))
-    return changes.groupBy("c.field", "c.change").agg(F.count("*").alias("n"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    mark = T.StructField(CORRUPT, T.StringType())
+    typed = F.from_json(name(column), T.StructType(_nullable(schema) + [mark]), options)
+    text = F.from_json(name(column), T.StructType(as_text(schema).fields + [mark]), options)
+    keys = F.json_object_keys(name(column)) if unknown else F.lit(None).cast("array<string>")
+
+    def with_text(record: Column) -> Column:
+        again = F.when(record[CORRUPT].isNotNull(), text)
+        return F.struct(record.alias("typed"), again.alias("text"), keys.alias("keys"))
+
+    kept = [name(c) for c in df.columns if c not in schema.names]
+    parsed = df.select("*", F.explode(F.transform(F.array(typed), with_text)).alias("_p"))
+
+    fits, broken = F.col("_p.typed")[CORRUPT].isNull(), F.col("_p.text")[CORRUPT].isNotNull()
+    found = [F.when(broken, F.lit("corrupt"))]
+    if unknown:
+        extra = F.array_except("_p.keys", F.array(*[F.lit(n) for n in schema.names]))
+        texts = F.transform(extra, lambda key: F.concat(F.lit("added:"), key))
+        found.append(F.when(~broken & (F.size(extra) > 0), texts))
+    values = []
+    for f in schema.fields:
+        direct, raw = F.col("_p.typed")[f.name], F.col("_p.text")[f.name]
+        value = F.when(fits, direct).otherwise(_from_text(raw, f.dataType))
+        values.append(value.alias(f.name))
+        if not f.nullable:
+            empty = F.when(fits, direct.isNull()).otherwise(~broken & raw.isNull())
+            found.append(F.when(empty, F.lit(f"{absent}:{f.name}")))
+        found.append(F.when(~fits & ~broken & _misfit(raw, f.dataType), F.lit(f"{misfit}:{f.name}")))
+    errors = error_list(found)
+    if ERRORS in df.columns:
+        errors, kept = F.concat(F.col(ERRORS), errors), [name(c) for c in df.columns if c not in schema.names + [ERRORS]]
+    return parsed.select(*kept, *values, errors.alias(ERRORS))
 
 
-def _row_changes(expected: T.StructType, needed: list[str]) -> Column:
-    """Array of (field, change) for one record held in ``_fields``; ``needed`` may not be absent."""
-    names = F.array(*[F.lit(n) for n in expected.names])
-    required = F.array(*[F.lit(n) for n in needed]) if needed else F.array().cast("array<string>")
-    keys = F.map_keys("_fields")
-
-    def tagged(items, change: str):
-        return F.transform(items, lambda f: F.struct(f.alias("field"), F.lit(change).alias("change")))
-
-    retyped = F.filter(
-        F.array(*[
-            F.when(does_not_fit(F.col("_fields")[f.name], f.dataType), F.lit(f.name))
-            for f in expected.fields
-            if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
-        ] or [F.lit(None).cast("string")]),
-        lambda f: f.isNotNull(),
-    )
-    return F.concat(
-        tagged(F.array_except(keys, names), "added"),
-        tagged(F.array_except(required, keys), "dropped"),
-        tagged(retyped, "type_changed"),
-    )
+def _nullable(schema: T.StructType) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType, True) for f in schema.fields]
 
 
 def mark_drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:
-    """Put each record's drift into ``_errors`` as ``<change>:<field>``.
+    """The declared fields, and each record's drift in ``_errors`` as ``<change>:<field>``.
 
-    An absent field counts when the contract requires it. The values stay at
-    hand as text in ``_fields``, so the record need not be parsed again.
+    Changes are ``added``, ``dropped`` (a required field that is absent) and
+    ``type_changed``.
     """
-    mapped = parse_json_map(df, column, FIELDS)
-    required = [f.name for f in expected.fields if not f.nullable]
-    texts = F.transform(_row_changes(expected, required), lambda c: F.concat_ws(":", c["change"], c["field"]))
-    found = F.when(F.col(FIELDS).isNull(), F.array(F.lit("corrupt"))).otherwise(texts)
-    if ERRORS in df.columns:
-        found = F.concat(F.col(ERRORS), found)
-    return mapped.withColumn(ERRORS, found)
+    return read_records(df, column, expected, "dropped", "type_changed")
 
 
-def fields_as(df: DataFrame, schema: T.StructType, carry: Iterable[str] = ()) -> DataFrame:
-    """The declared fields out of ``_fields``, in their types."""
-    def typed(f: T.StructField) -> Column:
-        text = F.col(FIELDS)[f.name]
-        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            return F.from_json(text, f.dataType)
-        return text.try_cast(f.dataType)
+def drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:
+    """``field, change, n``: fields added, dropped or of another type, with row counts.
 
-    return df.select(*[typed(f).alias(f.name) for f in schema.fields], *[name(c) for c in carry if c in df.columns])
+    Text that is no JSON object is not drift; :func:`validate` reports it.
+    """
+    everything = T.StructType([T.StructField(f.name, f.dataType, False) for f in expected.fields])
+    marked = mark_drift(df.select(name(column)), column, everything)
+    changes = marked.select(F.explode(ERRORS).alias("e")).where("e <> 'corrupt'")
+    change = F.substring_index("e", ":", 1)
+    field = F.substring(F.col("e"), F.length(change) + 2, F.length("e"))
+    return changes.groupBy(field.alias("field"), change.alias("change")).agg(F.count("*").alias("n"))
 
 
 def halt_on_drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:

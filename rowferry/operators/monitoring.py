@@ -19,11 +19,12 @@ STATES = ("starting", "running", "paused", "stopped", "failed")
 SEVERITIES = ("info", "warning", "critical")
 
 
-def run_counters(df: DataFrame, kept: Column | None = None, by: list[str] | None = None) -> DataFrame:
+def run_counters(df: DataFrame, kept: Column | None = None, by: list[str] | None = None,
+                 more: dict[str, Column] | None = None) -> DataFrame:
     """Five counters from marked rows in one pass.
 
     ``df`` has ``_errors`` after validation and transforms; ``kept`` is false
-    for rows a filter dropped.
+    for rows a filter dropped; ``more`` adds aggregates to the same pass.
     """
     clean = F.size(ERRORS) == 0
     contract = error_category(F.col(ERRORS)).isin("schema_validation", "source_parsing_error")
@@ -34,14 +35,19 @@ def run_counters(df: DataFrame, kept: Column | None = None, by: list[str] | None
         F.count_if(clean).alias("records_transformed"),
         F.count_if(~clean).alias("records_dlq"),
         F.count_if(sunk).alias("records_sunk"),
+        *[value.alias(label) for label, value in (more or {}).items()],
     )
 
 
-def lag(df: DataFrame, ts: str, now: datetime, by: list[str]) -> DataFrame:
-    """Whole seconds from the newest record to ``now``, per group."""
+def lag_seconds(ts: str, now: datetime) -> Column:
+    """Whole seconds from the newest record of a group to ``now``."""
     newest = F.max(name(ts)).cast("timestamp")
     micros = F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(newest)
-    return df.groupBy(*[name(c) for c in by]).agg(F.floor(micros / F.lit(1_000_000)).cast("bigint").alias("lag_seconds"))
+    return F.floor(micros / F.lit(1_000_000)).cast("bigint")
+
+
+def lag(df: DataFrame, ts: str, now: datetime, by: list[str]) -> DataFrame:
+    return df.groupBy(*[name(c) for c in by]).agg(lag_seconds(ts, now).alias("lag_seconds"))
 
 
 @dataclass(frozen=True)

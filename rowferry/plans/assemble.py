@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from rowferry.config import Job
 from rowferry.errors import ConfigError
-from rowferry.formats.parse import CORRUPT, as_text, parse_json
 from rowferry.functions.records import name, record_json
 from rowferry.operators import contract, filters, mapping, protect
 from rowferry.operators.deadletter import split, to_dlq
@@ -55,15 +54,11 @@ def parse_records(df: DataFrame, job: Job, schema: T.StructType | None, column:
     if schema is None:
         return mapping.add_errors(raw.withColumn(column, name(RAW)), [F.lit(None).cast("string")])
     policy = job.schema.drift_policy
-    if policy == "dlq":
-        marked = contract.mark_drift(raw, RAW, schema)
-        return contract.fields_as(_without_contract_faults(marked, job), schema, CARRY)
     if policy == "halt":
         contract.halt_on_drift(raw, RAW, schema)
-    # Unknown fields go here; under alter_table the caller passes the widened schema.
-    parsed = parse_json(raw, RAW, as_text(schema), keep=[RAW])
-    validated = contract.validate(parsed, schema)
-    return contract.conform(_without_contract_faults(validated, job), schema, CARRY).drop(CORRUPT)
+    # Unknown fields are faults or go; under alter_table the caller passes the widened schema.
+    records = contract.read_records(raw, RAW, schema, unknown=policy == "dlq")
+    return _without_contract_faults(records, job).select(*schema.names, *CARRY)
 
 
 def _without_contract_faults(df: DataFrame, job: Job) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from rowferry.formats.parse import evaluate_once
 from rowferry.functions.records import name
 from rowferry.operators.numbering import number_rows
+from rowferry.session import one_row
 
 CURSOR_SCHEMA = T.StructType([
     T.StructField("pipeline_id", T.StringType(), False),
@@ -69,7 +70,7 @@ def explode_pages(df: DataFrame, column: str, item: T.StructType) -> tuple[DataF
 
 def save_cursor(spark: SparkSession, path: str, pipeline_id: str, offset: str, at: datetime, records: int) -> None:
     """Append a position; call it after the sink has confirmed."""
-    spark.createDataFrame([(pipeline_id, offset, at, records)], CURSOR_SCHEMA).write.mode("append").parquet(path)
+    one_row(spark, CURSOR_SCHEMA, pipeline_id, offset, at, records).write.mode("append").parquet(path)
 
 
 def load_cursor(spark: SparkSession, path: str, pipeline_id: str) -> str | None:

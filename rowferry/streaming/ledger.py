@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.session import one_row
+
 LEDGER = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("batch_id", T.LongType(), False),
@@ -40,5 +42,5 @@ def once(df: DataFrame, path: str, run_id: str, batch_id: int, at: datetime, wri
     if is_finished(spark, path, run_id, batch_id):
         return False
     write(df)
-    spark.createDataFrame([(run_id, batch_id, at)], LEDGER).coalesce(1).write.mode("append").parquet(path)
+    one_row(spark, LEDGER, run_id, batch_id, at).write.mode("append").parquet(path)
     return True

@@ -23,6 +23,7 @@ from rowferry.operators.mapping import ERRORS
 from rowferry.operators.monitoring import DEFAULT_RULES, alerts, archive
 from rowferry.plans.assemble import declared_schema, mark, outcome
 from rowferry.schemas import LONG, TEXT, fields
+from rowferry.session import one_row
 from rowferry.sinks import files as file_sinks
 from rowferry.sinks import jdbc, tables
 from rowferry.sources import broker, files, lines
@@ -139,8 +140,6 @@ def run_pipeline(
     record_state(spark, state, job.pipeline_id, "starting")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
         started = at or datetime.now(timezone.utc).replace(tzinfo=None)
         ledger.once(
             df, f"{state}/ledger", run_id, batch_id, started,
@@ -185,7 +184,7 @@ def process_batch(
     def count_in(rows: DataFrame) -> DataFrame:
         return rows.observe(
             entry, F.count(F.lit(1)).alias("records_consumed"),
-            F.count_if(~contract_fault).alias("records_validated"),
+            F.count_if((F.size(ERRORS) == 0) | ~contract_fault).alias("records_validated"),
         )
 
     held = mark(df, job, at, schema, extra, count_in).persist()
@@ -196,6 +195,8 @@ def process_batch(
         # One pass fills the cache and both counts; the writes below read the cache.
         file_sinks.discard(counted.select(ERRORS))
         seen = {**entry.get, **exit_.get}
+        if not seen["records_consumed"]:
+            return
         good, bad = outcome(held, job, at)
         path = write(good, job.sink, job, batch_id)
         if seen["records_dlq"] and job.flags.enable_dlq:
@@ -208,7 +209,7 @@ def process_batch(
     row = (job.pipeline_id, batch_id, seen["records_consumed"], seen["records_validated"],
            seen["records_validated"] - (seen["records_dlq"] - (seen["records_consumed"] - seen["records_validated"])),
            seen["records_dlq"], seen["records_sunk"], int(size or 0))
-    counters = spark.createDataFrame([row], COUNTERS)
+    counters = one_row(spark, COUNTERS, *row)
     archive(counters, f"{state}/metrics", at)
     raised = alerts(counters, tuple(r for r in DEFAULT_RULES if "lag" not in r.condition), at)
     if not raised.isEmpty():
@@ -244,7 +245,7 @@ def widened_schema(df: DataFrame, schema: T.StructType, state: str) -> T.StructT
 
 def _saved_schema(spark: SparkSession, state: str) -> T.StructType | None:
     try:
-        saved = spark.read.schema("version INT, ddl STRING").json(f"{state}/schema")
+        saved = spark.read.schema(fields(version=LONG, ddl=TEXT)).json(f"{state}/schema")
         text = saved.agg(F.max_by("ddl", "version")).first()[0]
     except AnalysisException as absent:
         if absent.getCondition() != "PATH_NOT_FOUND":
@@ -254,15 +255,14 @@ def _saved_schema(spark: SparkSession, state: str) -> T.StructType | None:
 
 
 def _save_schema(spark: SparkSession, state: str, schema: T.StructType) -> None:
-    row = spark.createDataFrame([(len(schema.fields), schema.toDDL())], "version INT, ddl STRING")
-    row.coalesce(1).write.mode("append").json(f"{state}/schema")
+    row = one_row(spark, fields(version=LONG, ddl=TEXT), len(schema.fields), schema.toDDL())
+    row.write.mode("append").json(f"{state}/schema")
 
 
 def record_state(spark: SparkSession, state: str, pipeline_id: str, status: str) -> None:
     """Append a state change to the run history."""
     seq = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
-    row = spark.createDataFrame([(pipeline_id, seq, status)], HISTORY)
-    row.coalesce(1).write.mode("append").parquet(f"{state}/history")
+    one_row(spark, HISTORY, pipeline_id, seq, status).write.mode("append").parquet(f"{state}/history")
 
 
 def run_history(spark: SparkSession, state: str) -> DataFrame:
