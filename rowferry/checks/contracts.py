@@ -137,9 +137,9 @@ def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
     table = "rowferry_published"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     tables.publish(fx.table(spark, sf, "customer"), table, staging_path(spark, "published"),
-                   tags={"governance.class": "personal"}, comment="customers")
-    tags = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return read_table(spark, table).select("c_custkey", "c_name", F.lit(tags["governance.class"]).alias("tag"))
+                   tags={"class": "personal"}, comment="customers")
+    tag = tables.published_tags(spark, table)["class"]
+    return read_table(spark, table).select("c_custkey", "c_name", F.lit(tag).alias("tag"))
 
 
 @check("dlq_good", "SELECT event_id AS line_id FROM events WHERE event_id % 50 > 3")

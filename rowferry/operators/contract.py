@@ -41,12 +41,19 @@ def validate(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def _misfit(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, _NESTED):
-        return text.isNotNull() & F.from_json(text, kind).isNull()
+        return text.isNotNull() & _nested(text, kind)[CORRUPT].isNotNull()
     return does_not_fit(text, kind)
 
 
 def _from_text(text: Column, kind: T.DataType) -> Column:
-    return F.from_json(text, kind) if isinstance(kind, _NESTED) else text.try_cast(kind)
+    return _nested(text, kind)["v"] if isinstance(kind, _NESTED) else text.try_cast(kind)
+
+
+def _nested(text: Column, kind: T.DataType) -> Column:
+    """JSON text of a nested value as field ``v``, with ``_corrupt`` set when any part does not fit."""
+    around = T.StructType([T.StructField("v", kind), T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), around, options)
 
 
 def conform(df: DataFrame, schema: T.StructType, carry: Iterable[str] = ()) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+TAG = "tag."
+
 
 def quoted(identifier: str) -> str:
     return "`" + identifier.replace("`", "``") + "`"
@@ -46,15 +48,20 @@ def append_widening(df: DataFrame, table: str) -> None:
 
 
 def publish(df: DataFrame, table: str, path: str, tags: dict[str, str] | None = None, comment: str = "") -> None:
-    """Save as a catalogue table with governance tags as table properties."""
+    """Save as a catalogue table; governance tags become properties ``tag.<name>``."""
     spark = df.sparkSession
     df.write.format("parquet").mode("overwrite").option("path", path).saveAsTable(table)
     if tags:
-        pairs = ", ".join(f"'{_text(k)}' = '{_text(v)}'" for k, v in tags.items())
+        pairs = ", ".join(f"'{_text(TAG + k)}' = '{_text(v)}'" for k, v in tags.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
     if comment:
         spark.sql(f"COMMENT ON TABLE {table} IS '{_text(comment)}'")
 
 
+def published_tags(spark: SparkSession, table: str) -> dict[str, str]:
+    properties = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r.key.removeprefix(TAG): r.value for r in properties if r.key.startswith(TAG)}
+
+
 def _text(value: str) -> str:
     return value.replace("\\", "\\\\").replace("'", "\\'")
