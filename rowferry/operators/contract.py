@@ -16,6 +16,9 @@ from rowferry.operators.mapping import ERRORS, add_errors, error_list
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
+# Faults that mean a record left the schema.
+CHANGES = ("added", "dropped", "missing", "type", "type_changed")
+
 # A record family with more fields than this is a map, not a schema.
 MAX_FIELDS = 10_000
 
@@ -106,7 +109,7 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     mark = T.StructField(CORRUPT, T.StringType())
-    typed = F.from_json(name(column), T.StructType(_nullable(schema) + [mark]), options)
+    typed = F.from_json(name(column), T.StructType(nullable(schema).fields + [mark]), options)
     text = F.from_json(name(column), T.StructType(as_text(schema).fields + [mark]), options)
     keys = F.json_object_keys(name(column)) if unknown else F.lit(None).cast("array<string>")
 
@@ -138,8 +141,8 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     return parsed.select(*kept, *values, errors.alias(ERRORS))
 
 
-def _nullable(schema: T.StructType) -> list[T.StructField]:
-    return [T.StructField(f.name, f.dataType, True) for f in schema.fields]
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def mark_drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:
@@ -157,11 +160,23 @@ def drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:
     Text that is no JSON object is not drift; :func:`validate` reports it.
     """
     everything = T.StructType([T.StructField(f.name, f.dataType, False) for f in expected.fields])
-    marked = mark_drift(df.select(name(column)), column, everything)
-    changes = marked.select(F.explode(ERRORS).alias("e")).where("e <> 'corrupt'")
+    return drift_of_errors(mark_drift(df.select(name(column)), column, everything))
+
+
+def drift_of_errors(marked: DataFrame) -> DataFrame:
+    """``field, change, n`` from rows that are marked already."""
+    faults = marked.select(F.explode(ERRORS).alias("e"))
     change = F.substring_index("e", ":", 1)
     field = F.substring(F.col("e"), F.length(change) + 2, F.length("e"))
-    return changes.groupBy(field.alias("field"), change.alias("change")).agg(F.count("*").alias("n"))
+    found = faults.where(change.isin(*CHANGES))
+    return found.groupBy(field.alias("field"), change.alias("change")).agg(F.count("*").alias("n"))
+
+
+def unknown_fields(df: DataFrame, column: str, known: Iterable[str]) -> DataFrame:
+    """The names of fields outside ``known``, each once."""
+    names = F.array(*[F.lit(n) for n in known]) if known else F.array().cast("array<string>")
+    extra = F.array_except(F.json_object_keys(name(column)), names)
+    return df.select(F.explode(extra).alias("field")).distinct()
 
 
 def halt_on_drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:

@@ -41,6 +41,9 @@ def number_rows(df: DataFrame, order: list[str], into: str = "row_number") -> Da
     # One row per range, so this window sees a few thousand rows at most.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    joined = placed.withColumn("_range", here).join(broadcast_if_small(starts), "_range")
+    # At most one row per shuffle partition, so the size of this side is known beforehand.
+    if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
+    joined = placed.withColumn("_range", here).join(starts, "_range")
     place = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return joined.select(*[name(c) for c in df.columns], (F.col("_start") + place).alias(into))

@@ -53,20 +53,11 @@ def parse_records(df: DataFrame, job: Job, schema: T.StructType | None, column:
     raw = df.select(name(column).alias(RAW))
     if schema is None:
         return mapping.add_errors(raw.withColumn(column, name(RAW)), [F.lit(None).cast("string")])
-    policy = job.schema.drift_policy
-    if policy == "halt":
-        contract.halt_on_drift(raw, RAW, schema)
-    # Unknown fields are faults or go; under alter_table the caller passes the widened schema.
-    records = contract.read_records(raw, RAW, schema, unknown=policy == "dlq")
-    return _without_contract_faults(records, job).select(*schema.names, *CARRY)
-
-
-def _without_contract_faults(df: DataFrame, job: Job) -> DataFrame:
-    """Unless validation is on, only unreadable text and new fields are faults."""
-    if job.flags.enable_schema_validation:
-        return df
-    lenient = F.filter(F.col(ERRORS), lambda e: F.substring_index(e, ":", 1).isin("corrupt", "added"))
-    return df.withColumn(ERRORS, lenient)
+    # Unknown fields are faults, or go; under alter_table the caller passes the widened schema.
+    # Unless validation is on, an absent field is no fault; a value that would be lost always is.
+    expected = schema if job.flags.enable_schema_validation else contract.nullable(schema)
+    records = contract.read_records(raw, RAW, expected, unknown=job.schema.drift_policy in ("dlq", "halt"))
+    return records.select(*[name(c) for c in schema.names], *CARRY)
 
 
 def steps_of(job: Job, extra: dict[str, Callable[..., Step]] | None = None) -> list[Step]:
@@ -93,7 +84,8 @@ def mark(df: DataFrame, job: Job, at: datetime, schema: T.StructType | None = No
     out = mapping.chain(marked, steps_of(job, extra))
     if job.flags.enable_lineage:
         out = mapping.add_lineage(out, job.pipeline_id, str(job.source.get("topics", job.source.type)), at)
-    return out
+    # The raw text is needed for refused rows only; without it a held batch is half as large.
+    return out.withColumn(RAW, F.when(F.size(ERRORS) > 0, name(RAW)))
 
 
 def outcome(marked: DataFrame, job: Job, at: datetime) -> tuple[DataFrame, DataFrame]:

@@ -32,15 +32,16 @@ def discard(df: DataFrame) -> None:
 
 
 def stage_parquet(df: DataFrame, root: str, rows_per_file: int = 1_000_000, target_mb: int = 50,
-                  mode: str = "append", compression: str = "zstd") -> None:
+                  mode: str = "append", compression: str = "zstd", gather: bool = True) -> None:
     """Larger Parquet files for one bulk load by the warehouse.
 
     The rebalance lets adaptive execution join small pieces and cut large ones
-    to about ``target_mb``; ``rows_per_file`` bounds each file as well.
+    to about ``target_mb``; ``rows_per_file`` bounds each file as well. When
+    the tasks of ``df`` are large already, ``gather=False`` saves the shuffle.
     """
     with sql_settings(df.sparkSession, {ADVISORY_SIZE: target_mb * _MB}):
         (
-            df.hint("rebalance").write.mode(mode)
+            (df.hint("rebalance") if gather else df).write.mode(mode)
             .option("maxRecordsPerFile", rows_per_file).option("compression", compression).parquet(root)
         )
 

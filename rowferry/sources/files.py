@@ -27,16 +27,19 @@ def read_new_files(
     ledger: DataFrame,
     schema: T.StructType | str,
     pattern: str = "*",
+    max_files: int | None = None,
     **options: str,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the files not yet in the ledger, and the list of those files.
 
     The comparison is done on file names, not on rows, so files already read
     are never opened. The driver holds the names of the new files, as it does
-    for any file scan. Append the list to the ledger when the sink confirms.
+    for any file scan; ``max_files`` takes that many in name order and leaves
+    the others to the next call. Append the list to the ledger when the sink
+    confirms.
     """
-    fresh = new_files(list_files(spark, root, pattern), ledger)
-    paths = [r.path for r in fresh.select("path").orderBy("path").collect()]
+    fresh = new_files(list_files(spark, root, pattern), ledger).select("path").orderBy("path")
+    paths = [r.path for r in (fresh if max_files is None else fresh.limit(max_files)).collect()]
     reader = spark.read.format(fmt).schema(schema).options(**options).option("basePath", root)
     rows = reader.load(paths) if paths else spark.createDataFrame([], schema)
     return rows, spark.createDataFrame([(p,) for p in paths], LEDGER_SCHEMA)

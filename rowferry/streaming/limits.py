@@ -12,9 +12,14 @@ def _rate(value: int, default: int) -> int:
 
 
 def records_per_trigger(job: Job) -> int:
-    """Source records one micro-batch may hold; the limit counts records, not batches."""
-    tps = _rate(job.rate_limits.max_source_tps, RateLimits.max_source_tps)
-    return max(1, tps * job.flags.batch_flush_interval_ms // 1000)
+    """Records one micro-batch may hold; both limits count records, not batches.
+
+    A batch writes no more rows than it reads, so the lower of the source and
+    the sink limit holds for both.
+    """
+    source = _rate(job.rate_limits.max_source_tps, RateLimits.max_source_tps)
+    sink = _rate(job.rate_limits.max_sink_tps, RateLimits.max_sink_tps)
+    return max(1, min(source, sink) * job.flags.batch_flush_interval_ms // 1000)
 
 
 def reader_limits(job: Job) -> dict[str, str]:

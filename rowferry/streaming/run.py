@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rowferry.config import Connector, Job
-from rowferry.errors import ConfigError
+from rowferry.errors import ConfigError, SchemaDriftError
 from rowferry.functions.records import TIME_FORMATS
 from rowferry.operators import contract
 from rowferry.operators.deadletter import error_category, write_dlq
@@ -197,6 +197,8 @@ def process_batch(
         seen = {**entry.get, **exit_.get}
         if not seen["records_consumed"]:
             return
+        if seen["records_dlq"]:
+            record_drift(held, job, state, at)
         good, bad = outcome(held, job, at)
         path = write(good, job.sink, job, batch_id)
         if seen["records_dlq"] and job.flags.enable_dlq:
@@ -216,12 +218,33 @@ def process_batch(
         raised.write.mode("append").parquet(f"{state}/alerts")
 
 
+ALERT = T.StructType([
+    *fields(pipeline_id=TEXT, severity=TEXT, title=TEXT, description=TEXT).fields,
+    T.StructField("timestamp", T.TimestampType()),
+])
+
 COUNTERS = fields(
     pipeline_id=TEXT, batch_id=LONG, records_consumed=LONG, records_validated=LONG,
     records_transformed=LONG, records_dlq=LONG, records_sunk=LONG, bytes_written=LONG,
 )
 
 
+def record_drift(held: DataFrame, job: Job, state: str, at: datetime) -> None:
+    """Append the drift of this batch to the history; under the halt policy, alert and stop."""
+    spark = held.sparkSession
+    found = contract.drift_of_errors(held)
+    dated = found.select(F.lit(job.pipeline_id).alias("pipeline_id"), F.lit(at).cast("timestamp").alias("at"), "*")
+    dated.write.mode("append").parquet(f"{state}/drift")
+    if job.schema is None or job.schema.drift_policy != "halt":
+        return
+    first = found.orderBy("change", "field").first()
+    if first is not None:
+        message = f"{first.change}:{first.field} in {first.n} records"
+        one_row(spark, ALERT, job.pipeline_id, "critical", "schema_drift", message, at).write.mode("append").parquet(
+            f"{state}/alerts")
+        raise SchemaDriftError(message)
+
+
 def inferred_once(df: DataFrame, job: Job, state: str) -> T.StructType:
     """The schema of the first micro-batch, kept for all later ones."""
     saved = _saved_schema(df.sparkSession, state)
@@ -234,6 +257,8 @@ def inferred_once(df: DataFrame, job: Job, state: str) -> T.StructType:
 def widened_schema(df: DataFrame, schema: T.StructType, state: str) -> T.StructType:
     """The contract plus the fields this and earlier micro-batches added."""
     known = _saved_schema(df.sparkSession, state) or schema
+    if contract.unknown_fields(df, "raw_json", known.names).isEmpty():
+        return known
     names = set(known.names)
     seen = contract.infer_schema(df, "raw_json")
     added = [T.StructField(f.name, f.dataType, True) for f in seen.fields if f.name not in names]

@@ -78,6 +78,23 @@ def test_each_file_is_read_once(spark, rows, tmp_path):
     assert none.count() == 0
 
 
+def test_a_bound_on_files_leaves_the_rest_to_later_calls(spark, tmp_path):
+    root, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    spark.range(50).toDF("id").repartition(5).write.parquet(root)
+    spark.createDataFrame([], files.LEDGER_SCHEMA).write.parquet(ledger)
+    seen, calls = [], 0
+    while True:
+        rows, read = files.read_new_files(
+            spark, root, "parquet", spark.read.parquet(ledger), fields(id=LONG), "*.parquet", max_files=2)
+        if read.isEmpty():
+            break
+        assert read.count() <= 2
+        seen += [r.id for r in rows.collect()]
+        files.mark_read(read, ledger)
+        calls += 1
+    assert calls == 3 and sorted(seen) == list(range(50))
+
+
 def test_pull_reaches_the_scan(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     text = plan(pulls.pull_since(events, "ts", datetime(2024, 1, 15)).select("event_id"))

@@ -125,6 +125,18 @@ def test_drift_halts_before_the_write(spark, place):
     with pytest.raises(StreamingQueryException, match="added:extra"):
         place.run(spark, place.job(schema={"ddl": "id BIGINT NOT NULL, v STRING", "drift_policy": "Halt"}))
     assert not os.listdir(place.path("out"))
+    raised = spark.read.parquet(place.path("state") + "/alerts").first()
+    assert (raised.severity, raised.title, raised.description) == ("critical", "schema_drift", "added:extra in 1 records")
+
+
+def test_lenient_contract_still_loses_no_value(spark, place):
+    place.drop({"v": "a"}, {"id": "x", "v": "b"}, {"id": 3, "v": "c"})
+    place.run(spark, place.job(flags={"enable_lineage": False}))
+    assert place.out(spark) == [(3, "c"), (None, "a")]
+    kept = deadletter.read_dlq(spark, place.path("dlq") + "/dlq").collect()
+    assert [(r.error_message, r.original_data) for r in kept] == [("type:id", '{"id": "x", "v": "b"}')]
+    drift = spark.read.parquet(place.path("state") + "/drift").collect()
+    assert [(r.field, r.change, r.n) for r in drift] == [("id", "type", 1)]
 
 
 def test_drift_widens_the_table(spark, place):
@@ -209,8 +221,10 @@ def job_with(source, **more):
 def test_limits_count_records():
     kafka = job_with({"type": "kafka"}, rate_limits={"max_source_tps": 10}, flags={"batch_flush_interval_ms": 2000})
     assert limits.reader_limits(kafka) == {"maxOffsetsPerTrigger": "20"}
+    slow_sink = job_with({"type": "kafka"}, rate_limits={"max_sink_tps": 3}, flags={"batch_flush_interval_ms": 2000})
+    assert limits.records_per_trigger(slow_sink) == 6
     zero = job_with({"type": "kafka"}, rate_limits={"max_source_tps": 0, "max_concurrent_connections": 0})
-    assert limits.records_per_trigger(zero) == 50_000 and limits.sink_connections(zero) == 10
+    assert limits.records_per_trigger(zero) == 25_000 and limits.sink_connections(zero) == 10
     files = job_with({"type": "lines", "properties": {"record_bytes": 100}}, rate_limits={"max_source_tps": 10})
     assert limits.reader_limits(files) == {"maxBytesPerTrigger": "5000"}
 
