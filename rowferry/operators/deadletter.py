@@ -15,7 +15,7 @@ from rowferry.errors import ConfigError
 from rowferry.formats.custom import ERROR, apply_row_function
 from rowferry.formats.parse import parse_json
 from rowferry.functions.records import TIME_FORMATS, name, record_json, record_key
-from rowferry.operators.mapping import ERRORS, chain
+from rowferry.operators.mapping import ERRORS, add_errors, chain
 from rowferry.session import ADVISORY_SIZE, sql_settings, stage
 
 # Error categories, and other spellings accepted for them.
@@ -68,6 +68,12 @@ def error_category(errors: Column) -> Column:
     )
 
 
+def failures_as_errors(df: DataFrame) -> DataFrame:
+    """Rows on which a user function or parser raised, marked ``function:<reason>``; ``_input`` stays."""
+    marked = add_errors(df, [F.when(F.col(ERROR).isNotNull(), F.concat(F.lit("function:"), F.col(ERROR)))])
+    return marked.drop(ERROR)
+
+
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows without and with errors; together they are the input.
 

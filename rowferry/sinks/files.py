@@ -89,7 +89,7 @@ def compact(spark: SparkSession, source: str, destination: str, target_mb: int =
 
     Without partition folders the scan itself packs small files into tasks of
     ``target_mb``, so there is no shuffle. With them rows are rebalanced by
-    folder. Afterwards point readers at the new folder (:func:`swap_location`).
+    folder. Afterwards point readers at the new folder (:func:`rowferry.sinks.tables.swap_location`).
     """
     size = target_mb * _MB
     packed = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": 0,
@@ -100,8 +100,3 @@ def compact(spark: SparkSession, source: str, destination: str, target_mb: int =
             write_partitioned(rows, destination, partition_keys, mode="errorifexists")
         else:
             rows.write.mode("errorifexists").parquet(destination)
-
-
-def swap_location(spark: SparkSession, table: str, path: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(table)

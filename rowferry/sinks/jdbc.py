@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,22 @@ def _declared(kind: T.DataType) -> str:
     return kind.simpleString() if isinstance(kind, T.DecimalType) else ""
 
 
+def statement_runner(spark: SparkSession, url: str, properties: dict[str, str] | None = None) -> Callable[[str], None]:
+    """Send single statements from the driver through the JDBC driver Spark already has."""
+    def run(sql: str) -> None:
+        jvm = spark.sparkContext._jvm
+        settings = jvm.java.util.Properties()
+        for key, value in (properties or {}).items():
+            settings.setProperty(key, value)
+        connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+        try:
+            connection.createStatement().execute(sql)
+        finally:
+            connection.close()
+
+    return run
+
+
 def upsert_jdbc(df: DataFrame, url: str, table: str, keys: list[str], order: list[str],
                 run_statement: Callable[[str], None], staging: str | None = None, batch_size: int = 1000,
                 connections: int = 10, create: bool = False, properties: dict[str, str] | None = None) -> None:
@@ -88,7 +104,7 @@ def upsert_jdbc(df: DataFrame, url: str, table: str, keys: list[str], order: lis
     ``run_statement`` sends one SQL text over the caller's own connection; it
     is used for the table definitions and for the final merge.
     """
-    newest = latest(df, keys, order)
+    newest = latest(df, keys, order).drop("_arrival")
     staging = staging or f"{table}_staging"
     if create:
         run_statement(create_table_sql(newest.schema, table, keys))

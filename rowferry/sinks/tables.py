@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rowferry.operators import cdc
+
 TAG = "tag."
 
 
@@ -47,6 +49,34 @@ def append_widening(df: DataFrame, table: str) -> None:
     df.unionByName(filled, allowMissingColumns=True).select(*known.names).write.insertInto(table)
 
 
+def location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    # The table's columns come first, so the last row of that name is the location.
+    return [r.data_type for r in described if r.col_name == "Location"][-1]
+
+
+def swap_location(spark: SparkSession, table: str, path: str) -> None:
+    """Point the table at other files; readers see either the old or the new rows."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_text(path)}'")
+    spark.catalog.refreshTable(table)
+
+
+def merge_into(changes: DataFrame, table: str, path: str, keys: list[str], order: list[str], step: str,
+               few: bool = False) -> None:
+    """Apply changes to a table: write the merged rows to ``path/step``, then swap.
+
+    The table's own files are never overwritten while they are read. A repeat
+    of a step that already took effect does nothing.
+    """
+    spark = changes.sparkSession
+    fresh = f"{path}/{step}"
+    if location(spark, table).rstrip("/").endswith(f"/{step}"):
+        return
+    apply = cdc.merge_few if few else cdc.merge
+    apply(spark.table(table), changes, keys, order).write.mode("overwrite").parquet(fresh)
+    swap_location(spark, table, fresh)
+
+
 def publish(df: DataFrame, table: str, path: str, tags: dict[str, str] | None = None, comment: str = "") -> None:
     """Save as a catalogue table; governance tags become properties ``tag.<name>``."""
     spark = df.sparkSession

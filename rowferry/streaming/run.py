@@ -15,12 +15,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rowferry.config import Connector, Job
-from rowferry.errors import ConfigError, SchemaDriftError
+from rowferry.errors import ConfigError, ConnectorMissing, SchemaDriftError
 from rowferry.functions.records import TIME_FORMATS
 from rowferry.operators import contract
 from rowferry.operators.deadletter import error_category, write_dlq
 from rowferry.operators.mapping import ERRORS
 from rowferry.operators.monitoring import DEFAULT_RULES, alerts, archive
+from rowferry.operators.payloads import to_broker
+from rowferry.operators.routing import Rule, route
 from rowferry.plans.assemble import declared_schema, mark, outcome
 from rowferry.schemas import LONG, TEXT, fields
 from rowferry.session import one_row
@@ -79,12 +81,54 @@ def _table(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
         df.write.insertInto(table)
 
 
+def _merge(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
+    """Changes into a catalogue table by key; a repeated batch changes nothing."""
+    table, path, keys = sink.require("table_name"), sink.require("path"), _names(sink.require("upsert_keys"))
+    order = _names(sink.require("order_by"))
+    columns = df.drop("op") if sink.get("keep_order", False) else df.drop("op", *order)
+    tables.create_target(columns, table, f"{path}/start")
+    tables.merge_into(df, table, path, keys, order, f"batch_id={batch_id}", few=bool(sink.get("few_changes", False)))
+
+
+def _routed(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:
+    """One folder per target table, by the rules of the sink."""
+    path = f"{sink.require('path')}/batch_id={batch_id}"
+    rules = [Rule(**r) for r in sink.require("rules")]
+    file_sinks.write_routed(route(df, rules, sink.get("default")), path, sink.get("format", "parquet"), mode="overwrite")
+    return path
+
+
+def _kafka(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
+    topic, key = sink.require("topics"), sink.require("key_field")
+    shaped = to_broker(df.withColumn("_topic", F.lit(topic)), key, "_topic", df.columns)
+    try:
+        shaped.write.format("kafka").option("kafka.bootstrap.servers", sink.require("bootstrap_servers")).save()
+    except AnalysisException as missing:
+        raise ConnectorMissing("Spark's Kafka package is not on the class path") from missing
+
+
 def _jdbc(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
-    table = sink.require("table_name")
+    """Append, or with ``upsert_mode`` the last row per key (by ``order_by``, else by arrival)."""
+    table, url = sink.require("table_name"), sink.require("connection_string")
     if sink.get("schema_name"):
         table = f"{sink.get('schema_name')}.{table}"
-    jdbc.write_jdbc(df, sink.require("connection_string"), table, int(sink.get("batch_size", 1000)),
-                    limits.sink_connections(job), sink.get("options"))
+    size, connections, options = int(sink.get("batch_size", 1000)), limits.sink_connections(job), sink.get("options", {})
+    run_statement = jdbc.statement_runner(df.sparkSession, url, options)
+    create = bool(sink.get("create_table_if_not_exists", False))
+    if sink.get("upsert_mode", False):
+        keys, order = _names(sink.require("upsert_keys")), _names(sink.get("order_by", ""))
+        if not order:
+            df, order = df.withColumn("_arrival", F.monotonically_increasing_id()), ["_arrival"]
+        jdbc.upsert_jdbc(df, url, table, keys, order, run_statement, batch_size=size, connections=connections,
+                         create=create, properties=options)
+        return
+    if create:
+        run_statement(jdbc.create_table_sql(df.schema, table))
+    jdbc.write_jdbc(df, url, table, size, connections, options)
+
+
+def _names(listed: str | list[str]) -> list[str]:
+    return [n.strip() for n in listed.split(",") if n.strip()] if isinstance(listed, str) else list(listed)
 
 
 def _format(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
@@ -104,6 +148,9 @@ SINKS: dict[str, Writer] = {
     "parquet": partial(_files, "parquet"),
     "csv": partial(_files, "csv"),
     "table": _table,
+    "merge": _merge,
+    "routed": _routed,
+    "kafka": _kafka,
     "jdbc": _jdbc,
     "postgres": _jdbc,
     "custom": _format,

@@ -11,6 +11,7 @@ from rowferry.operators.routing import Rule
 from rowferry.schemas import LONG, TEXT, fields
 from rowferry.sinks import files as sinks
 from rowferry.sinks import jdbc
+from rowferry.sinks import tables as catalogue
 from rowferry.sources import broker, files, lines, pulls, tables
 from rowferry.sources.changes import parse_changes
 from pyspark.sql import functions as F
@@ -152,7 +153,7 @@ def test_compaction_keeps_folders(spark, tmp_path):
     assert sorted(len(glob.glob(f"{large}/k={k}/*.parquet")) for k in range(3)) == [1, 1, 1]
     spark.sql("DROP TABLE IF EXISTS swap_test")
     spark.sql(f"CREATE TABLE swap_test (id BIGINT) USING parquet LOCATION '{small}/k=0'")
-    sinks.swap_location(spark, "swap_test", f"{large}/k=0")
+    catalogue.swap_location(spark, "swap_test", f"{large}/k=0")
     assert spark.table("swap_test").count() == 334
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowferry.config import DeadLetters
 from rowferry.errors import ConfigError
+from rowferry.formats.custom import apply_row_function
 from rowferry.functions.records import name
 from rowferry.operators import contract, deadletter
 from rowferry.schemas import LONG, TEXT, fields
@@ -94,6 +95,14 @@ def test_statistics(letters):
     assert found["source_parsing_error"].last_write == AT
 
 
+def test_function_failures_become_letters(rows):
+    made = apply_row_function(rows("v BIGINT", (2,), (0,)), lambda r: {"v": 10 // r["v"]}, fields(v=LONG))
+    good, bad = deadletter.split(deadletter.failures_as_errors(made))
+    letter = deadletter.to_dlq(bad, "p", AT, original=name("_input")).first()
+    assert [r.v for r in good.collect()] == [5]
+    assert (letter.error_category, letter.original_data) == ("transformation_error", '{"v": 0}')
+
+
 def test_sink_failures_after_retries(rows, tmp_path):
     log = tmp_path / "written"
     log.mkdir()

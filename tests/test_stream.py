@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rowferry.config import job_from_dict
 from rowferry.errors import ConfigError
 from rowferry.operators import deadletter, monitoring
+from rowferry.sinks import tables
 from rowferry.streaming import ledger, limits
 from rowferry.streaming.run import finish, open_source, run_history, run_metrics, run_pipeline
 
@@ -194,6 +195,37 @@ def test_own_steps_and_partitioned_sink(spark, place):
     assert sorted(os.listdir(place.path("out") + "/batch_id=0"))[-2:] == ["v=A", "v=B"]
 
 
+def test_changes_merge_into_a_table(spark, place):
+    spark.sql("DROP TABLE IF EXISTS stream_merge")
+    job = place.job(
+        schema={"ddl": "id BIGINT NOT NULL, op STRING NOT NULL, amount INT, lsn BIGINT NOT NULL"},
+        sink={"type": "merge", "properties": {"table": "stream_merge", "path": place.path("out"), "upsert_keys": "id", "order_by": "lsn"}},
+    )
+    place.drop({"id": 1, "op": "c", "amount": 5, "lsn": 1}, {"id": 2, "op": "c", "amount": 6, "lsn": 2}, {"id": 1, "op": "u", "amount": 7, "lsn": 3})
+    place.drop({"id": 2, "op": "d", "lsn": 4}, {"id": 3, "op": "c", "amount": 8, "lsn": 5})
+    place.run(spark, job)
+    assert sorted(tuple(r) for r in spark.table("stream_merge").collect()) == [(1, 7), (3, 8)]
+    before = tables.location(spark, "stream_merge")
+    feed = spark.createDataFrame([(1, "d", None, 9)], "id BIGINT, op STRING, amount INT, lsn BIGINT")
+    tables.merge_into(feed, "stream_merge", place.path("out"), ["id"], ["lsn"], "batch_id=1")
+    assert tables.location(spark, "stream_merge") == before and spark.table("stream_merge").count() == 2
+
+
+def test_routed_sink(spark, place):
+    rules = [{"field": "v", "operator": "=", "value": "a", "target_table": "first"}]
+    place.drop({"id": 1, "v": "a"}, {"id": 2, "v": "b"})
+    place.run(spark, place.job(sink={"type": "routed", "properties": {"path": place.path("out"), "rules": rules, "default": "rest"}}))
+    found = spark.read.parquet(place.path("out")).select("id", "target_table").collect()
+    assert sorted(tuple(r) for r in found) == [(1, "first"), (2, "rest")]
+
+
+def test_kafka_sink_without_its_package(spark, place):
+    place.drop({"id": 1, "v": "a"})
+    sink = {"type": "kafka", "properties": {"topics": "t", "key_field": "id", "bootstrap_servers": "h:1"}}
+    with pytest.raises(StreamingQueryException, match="Kafka package"):
+        place.run(spark, place.job(sink=sink))
+
+
 def test_refused_rows_raise_an_alert(spark, place):
     place.drop({"id": 1, "v": "a"}, "{")
     place.run(spark, place.job())
