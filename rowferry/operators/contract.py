@@ -12,7 +12,7 @@ from rowferry.errors import ConfigError, SchemaDriftError
 from rowferry.formats.parse import CORRUPT, as_text, evaluate_once
 from rowferry.functions.casts import does_not_fit
 from rowferry.functions.records import name
-from rowferry.operators.mapping import ERRORS, add_errors, error_list
+from rowferry.operators.mapping import ERRORS, MARK, add_errors, error_list
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
@@ -124,7 +124,7 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     found = [F.when(broken, F.lit("corrupt"))]
     if unknown:
         extra = F.array_except("_p.keys", F.array(*[F.lit(n) for n in schema.names]))
-        texts = F.transform(extra, lambda key: F.concat(F.lit("added:"), key))
+        texts = F.concat(F.lit("added:"), F.array_join(extra, f"{MARK}added:"))
         found.append(F.when(~broken & (F.size(extra) > 0), texts))
     values = []
     for f in schema.fields:
@@ -138,7 +138,10 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     errors = error_list(found)
     if ERRORS in df.columns:
         errors, kept = F.concat(F.col(ERRORS), errors), [name(c) for c in df.columns if c not in schema.names + [ERRORS]]
-    return parsed.select(*kept, *values, errors.alias(ERRORS))
+    # Filters on the result would otherwise compute these once more each.
+    made = evaluate_once(parsed.select(*kept, "_p", *([ERRORS] if ERRORS in df.columns else [])), "_r",
+                         F.struct(*values, errors.alias(ERRORS)))
+    return made.select(*kept, "_r.*")
 
 
 def nullable(schema: T.StructType) -> T.StructType:

@@ -18,7 +18,8 @@ from rowferry.functions.records import name, record_key
 
 ERRORS = "_errors"
 
-_MARK = "\u001f"
+# Stands between error texts while they are joined.
+MARK = "\u001f"
 
 # Names of the lineage columns.
 LINEAGE_COLUMNS = ("_pipeline_id", "_source_topic", "_pipeline_ingest_timestamp")
@@ -30,8 +31,7 @@ def error_list(found: Iterable[Column]) -> Column:
     Joined and split again, which stays in generated code and costs next to
     nothing for the usual row without a fault; a filter with a lambda does not.
     """
-    joined = F.concat_ws(_MARK, *found)
-    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, _MARK))
+    return F.array_remove(F.split(F.concat_ws(MARK, *found), MARK), "")
 
 
 def add_errors(df: DataFrame, found: Iterable[Column]) -> DataFrame:
