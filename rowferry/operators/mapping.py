@@ -90,9 +90,10 @@ def fill_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
     return df.withColumns(filled) if filled else df
 
 
-def add_lineage(df: DataFrame, pipeline_id: str, source: str, at: datetime) -> DataFrame:
+def add_lineage(df: DataFrame, pipeline_id: str, source: str | Column, at: datetime) -> DataFrame:
     """Who moved the row, from where, and when; the time is passed in, so a retry repeats it."""
-    values = (F.lit(pipeline_id), F.lit(source), F.lit(at).cast(T.TimestampType()))
+    origin = F.lit(source) if isinstance(source, str) else source
+    values = (F.lit(pipeline_id), origin, F.lit(at).cast(T.TimestampType()))
     return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
 
 

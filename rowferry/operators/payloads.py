@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.records import name, record_json
 from rowferry.operators.mapping import add_errors
 from rowferry.operators.numbering import number_rows
+from rowferry.schemas import LONG, TEXT, fields
 
 # Most items one bulk request of each service takes.
 REQUEST_SIZES = {"dynamodb": 25, "sqs": 10, "kinesis": 500, "search": 10_000}
 
-# monotonically_increasing_id keeps the task number above these bits.
-_PLACE_BITS = 33
-
 
 def to_broker(df: DataFrame, key: str, topic: str, value_columns: list[str],
               headers: dict[str, Column] | None = None) -> DataFrame:
@@ -52,18 +54,32 @@ def chunk_in_order(df: DataFrame, order: list[str], size: int) -> DataFrame:
 def chunk(df: DataFrame, size: int) -> DataFrame:
     """``chunk_id, n, payload``: requests of at most ``size`` rows, in no given order.
 
-    Rows are numbered inside their own task, so nothing is sorted, and each
-    chunk is complete before the shuffle that only moves finished chunks.
+    Spark makes the JSON text of each row; a task then joins its own rows, so
+    nothing is sorted or shuffled, and a repeated task gives whole chunks again.
     """
-    place = F.monotonically_increasing_id()
-    numbered = df.select(F.struct(*[name(c) for c in df.columns]).alias("_row"), place.alias("_place"))
-    task = F.shiftright("_place", _PLACE_BITS)
-    within = F.floor(F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) / F.lit(size))
-    keyed = numbered.select(task.alias("task"), within.alias("number"), "_row")
-    gathered = keyed.groupBy("task", "number").agg(
-        F.count("*").alias("n"), F.to_json(F.collect_list("_row")).alias("payload")
-    )
-    return gathered.select(F.concat_ws("-", "task", "number").alias("chunk_id"), "n", "payload")
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, held = TaskContext.get().partitionId(), 0, []
+
+        def requests(full: bool) -> pa.RecordBatch:
+            nonlocal made, held
+            end = len(held) - len(held) % size if full else len(held)
+            groups = [held[i:i + size] for i in range(0, end, size)]
+            ids = [f"{task}-{made + i}" for i in range(len(groups))]
+            made, held = made + len(groups), held[end:]
+            bodies = ["[" + ",".join(g) + "]" for g in groups]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.string()), pa.array([len(g) for g in groups], pa.int64()), pa.array(bodies, pa.string())],
+                names=["chunk_id", "n", "payload"],
+            )
+
+        for batch in batches:
+            held.extend(batch.column(0).to_pylist())
+            if len(held) >= size:
+                yield requests(full=True)
+        if held:
+            yield requests(full=False)
+
+    return df.select(record_json(df.columns).alias("item")).mapInArrow(pack, fields(chunk_id=TEXT, n=LONG, payload=TEXT))
 
 
 def bulk_lines(df: DataFrame, index: str, id_column: str) -> DataFrame:

@@ -24,7 +24,8 @@ from rowferry.operators.deadletter import split, to_dlq
 from rowferry.operators.mapping import ERRORS
 
 RAW = "_raw"
-CARRY = (ERRORS, RAW)
+TOPIC = "_topic"
+CARRY = (ERRORS, RAW, TOPIC)
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -50,14 +51,15 @@ def parse_records(df: DataFrame, job: Job, schema: T.StructType | None, column:
         if schema is not None and job.flags.enable_schema_validation:
             return contract.conform(contract.validate(marked, schema), schema, CARRY)
         return mapping.add_errors(marked, [F.lit(None).cast("string")])
-    raw = df.select(name(column).alias(RAW))
+    topic = [name("topic").alias(TOPIC)] if "topic" in df.columns else []
+    raw = df.select(name(column).alias(RAW), *topic)
     if schema is None:
         return mapping.add_errors(raw.withColumn(column, name(RAW)), [F.lit(None).cast("string")])
     # Unknown fields are faults, or go; under alter_table the caller passes the widened schema.
     # Unless validation is on, an absent field is no fault; a value that would be lost always is.
     expected = schema if job.flags.enable_schema_validation else contract.nullable(schema)
     records = contract.read_records(raw, RAW, expected, unknown=job.schema.drift_policy in ("dlq", "halt"))
-    return records.select(*[name(c) for c in schema.names], *CARRY)
+    return records.select(*[name(c) for c in schema.names], *[c for c in CARRY if c in records.columns])
 
 
 def steps_of(job: Job, extra: dict[str, Callable[..., Step]] | None = None) -> list[Step]:
@@ -83,9 +85,11 @@ def mark(df: DataFrame, job: Job, at: datetime, schema: T.StructType | None = No
     marked = observe(parse_records(df, job, schema))
     out = mapping.chain(marked, steps_of(job, extra))
     if job.flags.enable_lineage:
-        out = mapping.add_lineage(out, job.pipeline_id, str(job.source.get("topics", job.source.type)), at)
+        declared = str(job.source.get("topics", job.source.type))
+        origin = F.coalesce(name(TOPIC), F.lit(declared)) if TOPIC in out.columns else declared
+        out = mapping.add_lineage(out, job.pipeline_id, origin, at)
     # The raw text is needed for refused rows only; without it a held batch is half as large.
-    return out.withColumn(RAW, F.when(F.size(ERRORS) > 0, name(RAW)))
+    return out.drop(TOPIC).withColumn(RAW, F.when(F.size(ERRORS) > 0, name(RAW)))
 
 
 def outcome(marked: DataFrame, job: Job, at: datetime) -> tuple[DataFrame, DataFrame]:

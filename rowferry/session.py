@@ -56,6 +56,8 @@ def ship_package(spark: SparkSession) -> None:
     if app in _shipped or spark.conf.get("spark.rowferry.ship", "true") == "false":
         return
     source = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(source):
+        return  # imported from an archive, so it was sent along already
     base = os.path.join(tempfile.mkdtemp(prefix="rowferry-package-"), "rowferry")
     archive = shutil.make_archive(base, "zip", os.path.dirname(source), os.path.basename(source))
     spark.sparkContext.addPyFile(archive)

@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rowferry.config import Connector, Job
-from rowferry.errors import ConfigError, ConnectorMissing, SchemaDriftError
-from rowferry.functions.records import TIME_FORMATS
+from rowferry.errors import ConfigError, ConnectorMissing, SchemaDriftError, TransformError
+from rowferry.functions.records import TIME_FORMATS, name
 from rowferry.operators import contract
+from rowferry.operators.cdc import latest
 from rowferry.operators.deadletter import error_category, write_dlq
 from rowferry.operators.mapping import ERRORS
 from rowferry.operators.monitoring import DEFAULT_RULES, alerts, archive
@@ -236,31 +237,33 @@ def process_batch(
 
     held = mark(df, job, at, schema, extra, count_in).persist()
     try:
+        clean, event_time = F.size(ERRORS) == 0, job.source.get("event_time")
+        newest = F.max(F.unix_micros(name(event_time).cast("timestamp"))) if event_time else F.max(F.lit(None).cast("bigint"))
         counted = held.observe(
-            exit_, F.count_if(F.size(ERRORS) > 0).alias("records_dlq"), F.count_if(F.size(ERRORS) == 0).alias("records_sunk")
+            exit_, F.count_if(~clean).alias("records_dlq"), F.count_if(clean).alias("records_sunk"), newest.alias("newest")
         )
         # One pass fills the cache and both counts; the writes below read the cache.
-        file_sinks.discard(counted.select(ERRORS))
+        file_sinks.discard(counted.select(ERRORS, *([name(event_time)] if event_time else [])))
         seen = {**entry.get, **exit_.get}
         if not seen["records_consumed"]:
             return
         if seen["records_dlq"]:
             record_drift(held, job, state, at)
+            if not (job.flags.enable_dlq and job.dlq.storage_uri):
+                raise TransformError(f"{seen['records_dlq']} records refused, and no dead-letter store is declared")
         good, bad = outcome(held, job, at)
         path = write(good, job.sink, job, batch_id)
-        if seen["records_dlq"] and job.flags.enable_dlq:
-            if not job.dlq.storage_uri:
-                raise ConfigError("refused records need dlq.storage_uri")
+        if seen["records_dlq"]:
             write_dlq(bad, f"{job.dlq.storage_uri}/{job.dlq.prefix}", job.dlq, batch_id)
     finally:
         held.unpersist()
     size = files.list_files(spark, path, "part-*").agg(F.sum("length")).first()[0] if path else 0
     row = (job.pipeline_id, batch_id, seen["records_consumed"], seen["records_validated"],
            seen["records_validated"] - (seen["records_dlq"] - (seen["records_consumed"] - seen["records_validated"])),
-           seen["records_dlq"], seen["records_sunk"], int(size or 0))
+           seen["records_dlq"], seen["records_sunk"], int(size or 0), _lag(at, seen["newest"]))
     counters = one_row(spark, COUNTERS, *row)
     archive(counters, f"{state}/metrics", at)
-    raised = alerts(counters, tuple(r for r in DEFAULT_RULES if "lag" not in r.condition), at)
+    raised = alerts(counters, DEFAULT_RULES, at)
     if not raised.isEmpty():
         raised.write.mode("append").parquet(f"{state}/alerts")
 
@@ -272,10 +275,17 @@ ALERT = T.StructType([
 
 COUNTERS = fields(
     pipeline_id=TEXT, batch_id=LONG, records_consumed=LONG, records_validated=LONG,
-    records_transformed=LONG, records_dlq=LONG, records_sunk=LONG, bytes_written=LONG,
+    records_transformed=LONG, records_dlq=LONG, records_sunk=LONG, bytes_written=LONG, lag_seconds=LONG,
 )
 
 
+def _lag(at: datetime, newest_micros: int | None) -> int | None:
+    """Seconds from the newest record of the batch to the batch time (both UTC)."""
+    if newest_micros is None:
+        return None
+    return int(at.replace(tzinfo=timezone.utc).timestamp() - newest_micros / 1_000_000)
+
+
 def record_drift(held: DataFrame, job: Job, state: str, at: datetime) -> None:
     """Append the drift of this batch to the history; under the halt policy, alert and stop."""
     spark = held.sparkSession
@@ -342,4 +352,5 @@ def run_history(spark: SparkSession, state: str) -> DataFrame:
 
 
 def run_metrics(spark: SparkSession, state: str) -> DataFrame:
-    return spark.read.parquet(f"{state}/metrics")
+    """Archived counters; a batch that was repeated counts once."""
+    return latest(spark.read.parquet(f"{state}/metrics"), ["pipeline_id", "batch_id"], ["at"])

@@ -119,6 +119,7 @@ def test_chunks_hold_every_row_once(spark):
     df = spark.range(103).toDF("id").repartition(3)
     ordered = payloads.chunk_in_order(df, ["id"], 10).orderBy("chunk_id").collect()
     assert [r.n for r in ordered] == [10] * 10 + [3] and ordered[0].payload.startswith('[{"id":0},{"id":1}')
+    assert exchanges(payloads.chunk(spark.range(9).toDF("id"), 4)) == 0
     free = payloads.chunk(df, 10).collect()
     assert sum(r.n for r in free) == 103 and max(r.n for r in free) == 10 and len({r.chunk_id for r in free}) == len(free)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rowferry.config import job_from_dict
 from rowferry.errors import ConfigError
 from rowferry.operators import deadletter, monitoring
+from rowferry.schemas import LONG, fields
 from rowferry.sinks import tables
 from rowferry.streaming import ledger, limits
 from rowferry.streaming.run import finish, open_source, run_history, run_metrics, run_pipeline
@@ -226,6 +227,30 @@ def test_kafka_sink_without_its_package(spark, place):
         place.run(spark, place.job(sink=sink))
 
 
+def test_refused_rows_without_a_store_stop_the_run(spark, place):
+    place.drop({"id": 1, "v": "a"}, "{")
+    with pytest.raises(StreamingQueryException, match="1 records refused"):
+        place.run(spark, place.job(flags={"enable_dlq": False}))
+    assert not os.listdir(place.path("out"))
+
+
+def test_lag_of_a_batch_raises_an_alert(spark, place):
+    place.drop({"id": 1, "at": "2024-01-31T23:50:00Z"}, {"id": 2, "at": "2024-01-31T23:54:00Z"})
+    job = place.job(schema={"ddl": "id BIGINT, at TIMESTAMP"},
+                    source={"type": "lines", "properties": {"path": place.path("in"), "event_time": "at"}})
+    place.run(spark, job)
+    assert run_metrics(spark, place.path("state")).first().lag_seconds == 360
+    assert [r.title for r in spark.read.parquet(place.path("state") + "/alerts").collect()] == ["lag"]
+
+
+def test_lineage_names_the_topic_of_each_record(spark, rows):
+    from rowferry.plans.assemble import mark
+
+    job = job_with({"type": "kafka", "properties": {"topics": "a,b"}}, schema={"ddl": "id BIGINT"})
+    df = rows("topic STRING, raw_json STRING", ("a", '{"id":1}'), ("b", '{"id":2}'))
+    assert [(r.id, r["_source_topic"]) for r in mark(df, job, AT, fields(id=LONG)).collect()] == [(1, "a"), (2, "b")]
+
+
 def test_refused_rows_raise_an_alert(spark, place):
     place.drop({"id": 1, "v": "a"}, "{")
     place.run(spark, place.job())
