@@ -20,6 +20,9 @@ from rowferry.functions.records import name
 ERROR = "_error"
 FAILED_INPUT = "_input"
 
+# A parser may make many rows of one payload; they leave in batches of about this many.
+BATCH_ROWS = 10_000
+
 
 def apply_row_function(
     df: DataFrame, fn: Callable[[dict[str, Any]], dict[str, Any]], schema: T.StructType
@@ -81,22 +84,31 @@ def _map_rows(
         except Exception as reason:
             return [failed(row, reason)]
 
-    def fitting(row: dict[str, Any]) -> list[dict[str, Any]]:
-        made = rows_of(row)
+    def fitting(row: dict[str, Any], made: list[dict[str, Any]]) -> list[dict[str, Any]]:
         try:
             pa.RecordBatch.from_pylist(made, schema=arrow)
             return made
         except (pa.ArrowException, TypeError, ValueError, AttributeError) as reason:
             return [failed(row, reason)]
 
+    def batch_of(done: list[tuple[dict[str, Any], list[dict[str, Any]]]]) -> pa.RecordBatch:
+        try:
+            return pa.RecordBatch.from_pylist([m for _, made in done for m in made], schema=arrow)
+        except (pa.ArrowException, TypeError, ValueError, AttributeError):
+            # Some value has the wrong type: find its row, keep the rest.
+            return pa.RecordBatch.from_pylist([m for row, made in done for m in fitting(row, made)], schema=arrow)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            made = [m for row in rows for m in rows_of(row)]
-            try:
-                yield pa.RecordBatch.from_pylist(made, schema=arrow)
-            except (pa.ArrowException, TypeError, ValueError, AttributeError):
-                # Some value has the wrong type: find its row, keep the rest.
-                yield pa.RecordBatch.from_pylist([m for row in rows for m in fitting(row)], schema=arrow)
+            done, held = [], 0
+            for row in batch.to_pylist():
+                made = rows_of(row)
+                done.append((row, made))
+                held += len(made)
+                if held >= BATCH_ROWS:
+                    yield batch_of(done)
+                    done, held = [], 0
+            if done:
+                yield batch_of(done)
 
     return df.mapInArrow(run, target)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+from typing import Any
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +38,23 @@ def does_not_fit(col: Column, target: T.DataType) -> Column:
     return col.isNotNull() & col.try_cast(target).isNull()
 
 
+def constant(value: Any, kind: T.DataType) -> Column:
+    """A Python value as a literal of the given type.
+
+    A time without a zone is UTC, whatever the zone of the driver's machine.
+    """
+    if isinstance(value, datetime):
+        if isinstance(kind, T.TimestampNTZType):
+            aware = value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+            return F.lit(aware.isoformat(sep=" ")).cast(kind)
+        value = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+    return F.lit(value).cast(kind)
+
+
+def instant(at: datetime | None) -> Column:
+    return constant(at, T.TimestampType())
+
+
 def epoch_to_timestamp(col: Column, unit: str = "s") -> Column:
     if unit == "s":
         return F.timestamp_seconds(col)

@@ -14,6 +14,7 @@ from rowferry.config import DeadLetters
 from rowferry.errors import ConfigError
 from rowferry.formats.custom import ERROR, apply_row_function
 from rowferry.formats.parse import parse_json
+from rowferry.functions.casts import instant
 from rowferry.functions.records import TIME_FORMATS, name, record_json, record_key
 from rowferry.operators.mapping import ERRORS, add_errors, chain
 from rowferry.session import ADVISORY_SIZE, sql_settings, stage
@@ -100,7 +101,7 @@ def to_dlq(
     pairs = [part for label, value in notes.items() for part in (F.lit(label), value.cast("string"))]
     shaped = bad.select(
         F.lit(pipeline_id).alias("pipeline_id"),
-        F.lit(at).cast("timestamp").alias("timestamp"),
+        instant(at).alias("timestamp"),
         kind.alias("error_category"),
         message.alias("error_message"),
         original.alias("original_data"),

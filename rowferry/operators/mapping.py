@@ -9,7 +9,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowferry.config import FieldMapping
 from rowferry.errors import TransformError
@@ -85,7 +84,7 @@ def to_utc(df: DataFrame, column: str, zone: str, into: str | None = None) -> Da
 def fill_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
     """Replace null by the declared default, in the column's own type."""
     filled = {
-        c: F.coalesce(name(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in defaults.items() if c in df.columns
+        c: F.coalesce(name(c), casts.constant(v, df.schema[c].dataType)) for c, v in defaults.items() if c in df.columns
     }
     return df.withColumns(filled) if filled else df
 
@@ -93,7 +92,7 @@ def fill_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
 def add_lineage(df: DataFrame, pipeline_id: str, source: str | Column, at: datetime) -> DataFrame:
     """Who moved the row, from where, and when; the time is passed in, so a retry repeats it."""
     origin = F.lit(source) if isinstance(source, str) else source
-    values = (F.lit(pipeline_id), origin, F.lit(at).cast(T.TimestampType()))
+    values = (F.lit(pipeline_id), origin, casts.instant(at))
     return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.errors import ConfigError
+from rowferry.functions.casts import instant
 from rowferry.functions.records import name
 from rowferry.operators.cdc import latest
 from rowferry.operators.deadletter import error_category
@@ -42,7 +43,7 @@ def run_counters(df: DataFrame, kept: Column | None = None, by: list[str] | None
 def lag_seconds(ts: str, now: datetime) -> Column:
     """Whole seconds from the newest record of a group to ``now``."""
     newest = F.max(name(ts)).cast("timestamp")
-    micros = F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(newest)
+    micros = F.unix_micros(instant(now)) - F.unix_micros(newest)
     return F.floor(micros / F.lit(1_000_000)).cast("bigint")
 
 
@@ -83,7 +84,7 @@ def alerts(metrics: DataFrame, rules: tuple[AlertRule, ...] = DEFAULT_RULES, at:
     labels = F.create_map(*[part for c in numbers for part in (F.lit(c), name(c).cast("string"))])
     holding = F.filter(F.array(*[raised(r) for r in rules]), lambda a: a.isNotNull())
     rows = metrics.select("pipeline_id", F.explode(holding).alias("a"), labels.alias("labels"))
-    return rows.select("pipeline_id", "a.*", F.lit(at).cast("timestamp").alias("timestamp"), "labels")
+    return rows.select("pipeline_id", "a.*", instant(at).alias("timestamp"), "labels")
 
 
 def current_runs(history: DataFrame) -> DataFrame:
@@ -111,5 +112,5 @@ def usage(df: DataFrame, pipeline: str, ts: str, size: Column) -> DataFrame:
 
 def archive(metrics: DataFrame, root: str, at: datetime) -> None:
     """Append counters as Parquet, by job and day."""
-    dated = metrics.withColumns({"at": F.lit(at).cast("timestamp"), "date": F.to_date(F.lit(at).cast("timestamp"))})
+    dated = metrics.withColumns({"at": instant(at), "date": F.to_date(instant(at))})
     dated.write.mode("append").partitionBy("pipeline_id", "date").parquet(root)

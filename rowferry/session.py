@@ -11,9 +11,10 @@ from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.functions.casts import constant
+
 STAGING_SETTING = "spark.checkpoint.dir"
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -115,5 +116,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def one_row(spark: SparkSession, schema: T.StructType, *values: Any) -> DataFrame:
     """A table of one row, made without shipping Python objects."""
-    cells = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema.fields, values)]
+    cells = [constant(v, f.dataType).alias(f.name) for f, v in zip(schema.fields, values)]
     return spark.range(1, numPartitions=1).select(*cells)

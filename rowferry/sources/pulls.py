@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.formats.parse import evaluate_once
+from rowferry.functions.casts import constant
 from rowferry.functions.records import name
 from rowferry.operators.numbering import number_rows
 from rowferry.session import one_row
@@ -29,12 +30,12 @@ def pull_since(df: DataFrame, column: str, cursor: Any) -> DataFrame:
     """Rows newer than the cursor; the comparison reaches the scan."""
     if cursor is None:
         return df
-    return df.where(name(column) > F.lit(cursor).cast(df.schema[column].dataType))
+    return df.where(name(column) > constant(cursor, df.schema[column].dataType))
 
 
 def next_cursor(df: DataFrame, column: str, cursor: Any) -> DataFrame:
     """One row with the highest value seen, or the old cursor when there is none."""
-    old = F.lit(cursor).cast(df.schema[column].dataType)
+    old = constant(cursor, df.schema[column].dataType)
     return df.agg(F.coalesce(F.max(name(column)), old).alias("cursor"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowferry.config import Connector, Job
 from rowferry.errors import ConfigError, ConnectorMissing, SchemaDriftError, TransformError
+from rowferry.functions.casts import instant
 from rowferry.functions.records import TIME_FORMATS, name
 from rowferry.operators import contract
 from rowferry.operators.cdc import latest
@@ -290,7 +291,7 @@ def record_drift(held: DataFrame, job: Job, state: str, at: datetime) -> None:
     """Append the drift of this batch to the history; under the halt policy, alert and stop."""
     spark = held.sparkSession
     found = contract.drift_of_errors(held)
-    dated = found.select(F.lit(job.pipeline_id).alias("pipeline_id"), F.lit(at).cast("timestamp").alias("at"), "*")
+    dated = found.select(F.lit(job.pipeline_id).alias("pipeline_id"), instant(at).alias("at"), "*")
     dated.write.mode("append").parquet(f"{state}/drift")
     if job.schema is None or job.schema.drift_policy != "halt":
         return

@@ -67,6 +67,18 @@ def test_hot_key_combines_before_the_shuffle(rows):
     assert text.index("partial_max_by") and "Window" not in text
 
 
+def test_a_key_with_a_third_of_the_rows(spark):
+    n = 30_000
+    df = spark.range(n).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS id", "id AS lsn", "'u' AS op", "CAST(id AS INT) AS amount")
+    newest = cdc.latest(df, ["id"], ["lsn"])
+    assert newest.count() == n - n // 3 + 1 and newest.where("id = 0").first().lsn == n - 3
+    assert cdc.dedup(df, ["id"]).count() == n - n // 3 + 1
+    numbered = number_rows(df.repartition(6), ["id"], "at")
+    assert numbered.selectExpr("count(DISTINCT at)", "min(at)", "max(at)").first() == (n, 0, n - 1)
+    ranges = numbered.where("id = 0").selectExpr("min(at)", "max(at)").first()
+    assert tuple(ranges) == (0, n // 3 - 1)
+
+
 def test_bucketed_target_is_not_shuffled(spark, rows, tmp_path):
     spark.sql("DROP TABLE IF EXISTS bucket_test")
     target = rows("id INT, amount INT", *[(i, i) for i in range(50)])

@@ -104,6 +104,23 @@ def test_pull_reaches_the_scan(spark, sf):
     assert "TakeOrderedAndProject" in plan(top) and exchanges(top) == 0
 
 
+def test_times_without_a_zone_are_utc(spark, rows, monkeypatch):
+    import time
+
+    from rowferry.functions.casts import constant
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        at = datetime(2024, 1, 15, 6, 30, 0, 5)
+        for kind in (T.TimestampType(), T.TimestampNTZType()):
+            found = spark.range(1).select(constant(at, kind).cast("string").alias("t")).first().t
+            assert found == "2024-01-15 06:30:00.000005"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_cursors(spark, rows, tmp_path):
     df = rows("ts BIGINT", (5,), (9,))
     assert pulls.next_cursor(pulls.pull_since(df, "ts", 6), "ts", 6).first().cursor == 9

@@ -187,8 +187,6 @@ def test_mapping_filter_mask_encrypt(spark, place, monkeypatch):
 
 
 def test_own_steps_and_partitioned_sink(spark, place):
-    from rowferry.formats.custom import apply_row_function  # noqa: F401
-
     place.drop({"id": 1, "v": "a"}, {"id": 2, "v": "b"})
     job = place.job(transforms=[{"type": "shout", "params": {"column": "v"}}],
                     sink={"type": "parquet", "properties": {"path": place.path("out"), "partition_by": ["v"]}})

@@ -171,6 +171,12 @@ def test_custom_parser_gives_several_rows(rows):
     assert [(r.id, r.n, r["_error"] is None) for r in made] == [(1, 1, True), (1, 2, True), (2, None, False)]
 
 
+def test_a_parser_may_make_many_rows(rows):
+    df = rows("n INT", (25_000,), (0,), (3,))
+    made = parse_custom(df, "n", lambda n: [{"v": i} for i in range(n)], fields(v=LONG))
+    assert made.count() == 25_003 and made.where("_error IS NOT NULL").count() == 0
+
+
 def test_avro_without_its_package_says_so(rows):
     from rowferry.errors import ConnectorMissing
 
