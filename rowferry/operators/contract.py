@@ -123,9 +123,11 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     fits, broken = F.col("_p.typed")[CORRUPT].isNull(), F.col("_p.text")[CORRUPT].isNotNull()
     found = [F.when(broken, F.lit("corrupt"))]
     if unknown:
-        extra = F.array_except("_p.keys", F.array(*[F.lit(n) for n in schema.names]))
+        # Records with just the declared names in their order are told by one comparison.
+        known = F.array(*[F.lit(n) for n in schema.names])
+        extra = F.array_except("_p.keys", known)
         texts = F.concat(F.lit("added:"), F.array_join(extra, f"{MARK}added:"))
-        found.append(F.when(~broken & (F.size(extra) > 0), texts))
+        found.append(F.when((F.col("_p.keys") != known) & ~broken & (F.size(extra) > 0), texts))
     values = []
     for f in schema.fields:
         direct, raw = F.col("_p.typed")[f.name], F.col("_p.text")[f.name]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,27 +58,24 @@ def chunk(df: DataFrame, size: int) -> DataFrame:
     Spark makes the JSON text of each row; a task then joins its own rows, so
     nothing is sorted or shuffled, and a repeated task gives whole chunks again.
     """
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made, held = TaskContext.get().partitionId(), 0, []
-
-        def requests(full: bool) -> pa.RecordBatch:
-            nonlocal made, held
-            end = len(held) - len(held) % size if full else len(held)
-            groups = [held[i:i + size] for i in range(0, end, size)]
-            ids = [f"{task}-{made + i}" for i in range(len(groups))]
-            made, held = made + len(groups), held[end:]
-            bodies = ["[" + ",".join(g) + "]" for g in groups]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.string()), pa.array([len(g) for g in groups], pa.int64()), pa.array(bodies, pa.string())],
-                names=["chunk_id", "n", "payload"],
-            )
+    def requests(items: pa.Array, first: int) -> pa.RecordBatch:
+        ends = [*range(0, len(items), size), len(items)]
+        groups = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+        ids = [f"{TaskContext.get().partitionId()}-{first + i}" for i in range(len(groups))]
+        body = pc.binary_join_element_wise("[", pc.binary_join(groups, ","), "]", "")
+        counts = pc.list_value_length(groups).cast(pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(ids), counts, body], names=["chunk_id", "n", "payload"])
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held = 0, pa.array([], pa.string())
         for batch in batches:
-            held.extend(batch.column(0).to_pylist())
-            if len(held) >= size:
-                yield requests(full=True)
-        if held:
-            yield requests(full=False)
+            held = pa.concat_arrays([held, batch.column(0)])
+            full = len(held) - len(held) % size
+            if full:
+                yield requests(held[:full], made)
+                made, held = made + full // size, held[full:]
+        if len(held):
+            yield requests(held, made)
 
     return df.select(record_json(df.columns).alias("item")).mapInArrow(pack, fields(chunk_id=TEXT, n=LONG, payload=TEXT))
 
