@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowferry.llm import bpe  # noqa: F401
+from rowferry.llm import bpe, decontaminate, html_text, quality, records  # noqa: F401
 from rowferry.llm.common import ORACLES, QUERIES, Query
 
 

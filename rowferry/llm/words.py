@@ -12,8 +12,17 @@ import pyarrow.compute as pc
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_WORDS = np.ones(256, np.uint8)
+_WORDS[[9, 10, 11, 12, 13, 32]] = 0
+
+# Kinds of bytes for tokens: letters, digits, and each mark on its own. All
+# digits count as one, and case is kept.
+_DIGITS = np.arange(256, dtype=np.uint8)
+_DIGITS[48:58] = 48
+_TOKENS = np.arange(256, dtype=np.uint8)
+_TOKENS[[9, 10, 11, 12, 13, 32]] = 0
+_TOKENS[65:91] = _TOKENS[97:123] = _TOKENS[128:] = 1
+_TOKENS[48:58] = 2
 # Low bytes kept of a block that ends after 0 to 7 bytes.
 _KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)], np.uint64)
 
@@ -49,13 +58,17 @@ class Words:
     begins at ``bounds[i]``.
     """
 
+    kinds, letters = _WORDS, _LOWER
+
     def __init__(self, column: pa.Array):
         self.data, self.bounds = byte_rows(column)
         size = self.data.size
-        inside = ~_SPACE[self.data]
+        kinds = self.kinds[self.data]
+        inside = kinds > 0
         begins, ends = inside.copy(), inside.copy()
-        begins[1:] &= ~inside[:-1]
-        ends[:-1] &= ~inside[1:]
+        change = kinds[1:] != kinds[:-1]
+        begins[1:] &= change
+        ends[:-1] &= change
         edges = self.bounds[(self.bounds > 0) & (self.bounds < size)]
         begins[edges] = inside[edges]
         ends[edges - 1] = inside[edges - 1]
@@ -66,7 +79,7 @@ class Words:
 
     def _hash(self) -> np.ndarray:
         padded = np.zeros(self.data.size + 8, np.uint8)
-        np.take(_LOWER, self.data, out=padded[:self.data.size])
+        np.take(self.letters, self.data, out=padded[:self.data.size])
         blocks = np.ndarray(self.data.size + 1, "<u8", padded, strides=(1,))
         left = self.ends - self.starts
         found = left.astype(np.uint64) * _MANY
@@ -87,6 +100,12 @@ class Words:
                 return found
 
 
+class Tokens(Words):
+    """The same for runs of letters, of digits, and of one mark, with their case."""
+
+    kinds, letters = _TOKENS, _DIGITS
+
+
 def runs(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``length`` words, and the bounds of rows in them.
 
