@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowferry.llm import bpe, decontaminate, fuzzy_lines, html_text, jaccard_groups, quality, records  # noqa: F401
+from rowferry.llm import bpe, decontaminate, fuzzy_lines, html_text, jaccard_groups, passages, quality, records  # noqa: F401
 from rowferry.llm.common import ORACLES, QUERIES, Query
 
 
