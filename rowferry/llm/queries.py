@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from rowferry.llm import bpe, decontaminate, fuzzy_lines, html_text, jaccard_groups, passages, quality, records  # noqa: F401
+from rowferry.llm import (  # noqa: F401
+    bpe, decontaminate, fuzzy_lines, html_text, jaccard_groups, passages, quality, records, vector_graphs,
+)
 from rowferry.llm.common import ORACLES, QUERIES, Query
 
 
