@@ -303,6 +303,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of lowest id left of each component; same columns.
+
+    Rows without id stay. Rows that repeat an id stay or go together, and of
+    equal ones with equal text one stays.
+    """
+    found = staged(near_duplicates(docs).where("doc_id is not null"), "components")
+    ids = found.groupBy("doc_id").agg(F.max(F.expr("component_id = doc_id")).alias("stays"), F.count("*").alias("rows"))
+    gone = ids.where("not stays").select(F.col("doc_id").alias("_doc_id"))
+    left = docs.join(gone, F.col("doc_id") == F.col("_doc_id"), "left_anti")
+    repeated = staged(ids.where("stays and rows > 1").select(F.col("doc_id").alias("_doc_id")), "repeated")
+    if repeated.isEmpty():
+        return left
+    same = F.col("doc_id") == F.col("_doc_id")
+    return left.join(repeated, same, "left_anti").unionAll(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 @query("op2_jaccard_groups")
 def op2_jaccard_groups(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))

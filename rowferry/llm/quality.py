@@ -247,6 +247,16 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, training_rows: int =
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the documents predicted as label 0; same columns.
+
+    Rows without id stay; rows that repeat an id go only if all are rejected.
+    """
+    scored = score_documents(docs, labels).where("doc_id is not null")
+    gone = scored.groupBy(F.col("doc_id").alias("_doc_id")).agg(F.max("predicted").alias("best")).where("best = 0")
+    return docs.join(gone, F.col("doc_id") == F.col("_doc_id"), "left_anti")
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
     return score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
