@@ -60,6 +60,21 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, lengthened until no column of ``df`` has that name."""
+    taken = {column.lower() for column in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
+def without(docs: DataFrame, ids: DataFrame, keep: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` is not in the single column of ``ids``; or is, with ``keep``."""
+    name = free_name(docs, "_id")
+    named = ids.toDF(name)
+    return docs.join(named, docs["doc_id"] == named[name], "left_semi" if keep else "left_anti")
+
+
 def map_arrow(
     df: DataFrame, work: Callable[[pa.RecordBatch], dict[str, Any] | Iterable[dict[str, Any]]], schema: str,
 ) -> DataFrame:

@@ -113,20 +113,25 @@ def best_stretch(same: np.ndarray) -> tuple[int, int]:
     return int(scores[:stop + 1].argmin()), stop
 
 
+def seed_tables(benchmark: DataFrame, slice_items: int) -> Iterator[SeedTable]:
+    """The benchmark in slices of bounded size."""
+    items = only(benchmark, "item_id", "text").where("text is not null")
+    slices = max(1, math.ceil(items.count() / slice_items))
+    for number in range(slices):
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == number).orderBy("item_id", "text").collect()
+        yield SeedTable([row.item_id for row in part], [row.text for row in part])
+
+
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, slice_items: int = SLICE_ITEMS) -> DataFrame:
     """``doc_id, item_id, start_word, end_word, n_matched``: all benchmark passages in ``docs``.
 
     Words are counted from 0, ``end_word`` is exclusive. Repeated passages
     within a document give a row each.
     """
-    items = only(benchmark, "item_id", "text").where("text is not null")
-    slices = max(1, math.ceil(items.count() / slice_items))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, context = docs.schema["doc_id"].dataType.simpleString(), docs.sparkSession.sparkContext
     found = None
-    for number in range(slices):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == number).orderBy("item_id", "text").collect()
-        seeds = SeedTable([row.item_id for row in part], [row.text for row in part])
-        own = map_arrow(only(docs, "doc_id", "text"), _searcher(docs.sparkSession.sparkContext.broadcast(seeds)), f"doc_id {kind}, {FOUND}")
+    for seeds in seed_tables(benchmark, slice_items):
+        own = map_arrow(only(docs, "doc_id", "text"), _searcher(context.broadcast(seeds)), f"doc_id {kind}, {FOUND}")
         found = own if found is None else found.unionAll(own)
     return found
 
@@ -146,13 +151,22 @@ def _searcher(seeds):
     return work
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage; same columns.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, slice_items: int = SLICE_ITEMS) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark passage; same columns, no shuffle."""
+    at, context = docs.columns.index("text"), docs.sparkSession.sparkContext
+    for seeds in seed_tables(benchmark, slice_items):
+        docs = docs.mapInArrow(_cleaner(context.broadcast(seeds), at), docs.schema)
+    return docs
 
-    A null ``doc_id`` cannot be told apart, so such rows are judged together.
-    """
-    bad = find_overlaps(docs, benchmark).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad_id"]), "left_anti")
+
+def _cleaner(seeds, at: int):
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = Words(batch.column(at))
+            each = (words.hashes[begin:end] for begin, end in zip(words.rows, words.rows[1:]))
+            yield batch.filter(pa.array([next(seeds.value.overlaps(own), None) is None for own in each], pa.bool_()))
+
+    return clean
 
 
 @query("op4_decontaminate")

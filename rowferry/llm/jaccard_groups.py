@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import map_arrow, only, query, staged, table
+from rowferry.llm.common import map_arrow, only, query, staged, table, without
 from rowferry.llm.components import components
 from rowferry.llm.words import Words, distinct_runs, mixed
 
@@ -311,13 +311,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     found = staged(near_duplicates(docs).where("doc_id is not null"), "components")
     ids = found.groupBy("doc_id").agg(F.max(F.expr("component_id = doc_id")).alias("stays"), F.count("*").alias("rows"))
-    gone = ids.where("not stays").select(F.col("doc_id").alias("_doc_id"))
-    left = docs.join(gone, F.col("doc_id") == F.col("_doc_id"), "left_anti")
-    repeated = staged(ids.where("stays and rows > 1").select(F.col("doc_id").alias("_doc_id")), "repeated")
+    left = without(docs, ids.where("not stays").select("doc_id"))
+    repeated = staged(ids.where("stays and rows > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
         return left
-    same = F.col("doc_id") == F.col("_doc_id")
-    return left.join(repeated, same, "left_anti").unionAll(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return without(left, repeated).unionAll(without(left, repeated, keep=True).dropDuplicates(["doc_id", "text"]))
 
 
 @query("op2_jaccard_groups")
