@@ -65,6 +65,7 @@ class RateLimits:
     max_source_tps: int = 10_000
     max_sink_tps: int = 5_000
     max_concurrent_connections: int = 10
+    declared: bool = False
 
 
 @dataclass(frozen=True)
@@ -99,6 +100,7 @@ class Job:
     rate_limits: RateLimits = RateLimits()
     flags: Flags = Flags()
     dlq: DeadLetters = DeadLetters()
+    run_id: str = ""
 
 
 def resolve_secret(reference: str) -> str:
@@ -129,7 +131,7 @@ def job_from_dict(raw: dict[str, Any]) -> Job:
         field_mappings=tuple(_block(FieldMapping, m) for m in raw.get("field_mappings", ())),
         transforms=tuple(_block(Transform, t) for t in raw.get("transforms", ())),
         schema=schema,
-        rate_limits=_block(RateLimits, raw.get("rate_limits", {})),
+        rate_limits=_block(RateLimits, {**raw["rate_limits"], "declared": True}) if raw.get("rate_limits") else RateLimits(),
         flags=_block(Flags, raw.get("flags", {})),
         dlq=_block(DeadLetters, raw.get("dlq", {})),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -89,12 +90,29 @@ def infer_schema(df: DataFrame, column: str, first: int | None = None) -> T.Stru
     fields = infer_fields(df, column, first).orderBy("field").take(MAX_FIELDS + 1)
     if len(fields) > MAX_FIELDS:
         raise ConfigError(f"more than {MAX_FIELDS} distinct fields: declare a schema instead")
-    ddl = ", ".join(f"`{r.field}` {_sql_type(r.type)}" for r in fields)
+    ddl = ", ".join(f"{_quoted(r.field)} {_sql_type(r.type)}" for r in fields)
     return T.StructType.fromDDL(ddl) if ddl else T.StructType([])
 
 
+# A quoted name, a name before its colon, or a type.
+_TYPE_PART = re.compile(r"`(?:[^`]|``)*`|\w+(?=\s*:)|DECIMAL\(\s*\d+\s*,\s*\d+\s*\)|\w+")
+
+
+def _quoted(field: str) -> str:
+    return "`" + field.replace("`", "``") + "`"
+
+
 def _sql_type(variant_type: str) -> str:
-    return variant_type.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")
+    """The type in SQL; fractional numbers are widened, since later records may need more digits."""
+    def part(found: re.Match) -> str:
+        text, after = found[0], variant_type[found.end():]
+        if text.startswith("`") or after.lstrip().startswith(":"):
+            return text
+        if text.startswith("DECIMAL"):
+            return "DOUBLE"
+        return {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING"}.get(text, text)
+
+    return _TYPE_PART.sub(part, variant_type)
 
 
 def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str = "missing",
@@ -103,7 +121,8 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
 
     The usual record is parsed once, straight into its types, and is faultless
     in types when that works. Only a record that does not parse is parsed again
-    as text, to tell a broken body from single values that do not fit. With
+    as text, to tell a broken body from single values that do not fit. Null or
+    blank text is a broken body. With
     ``unknown`` a field outside the schema is the fault ``added:<field>``.
     Input columns stay, except those named like a field of the schema.
     """
@@ -120,7 +139,9 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     kept = [name(c) for c in df.columns if c not in schema.names]
     parsed = df.select("*", F.explode(F.transform(F.array(typed), with_text)).alias("_p"))
 
-    fits, broken = F.col("_p.typed")[CORRUPT].isNull(), F.col("_p.text")[CORRUPT].isNotNull()
+    blank = F.coalesce(F.trim(name(column)) == "", F.lit(True))
+    fits = F.col("_p.typed")[CORRUPT].isNull() & ~blank
+    broken = F.col("_p.text")[CORRUPT].isNotNull() | blank
     found = [F.when(broken, F.lit("corrupt"))]
     if unknown:
         # Records with just the declared names in their order are told by one comparison.

@@ -111,18 +111,19 @@ def to_dlq(
     return shaped.select(identity.alias("id"), "*")
 
 
-def write_dlq(letters: DataFrame, root: str, settings: DeadLetters = DeadLetters(), batch_id: int | None = None) -> None:
+def write_dlq(letters: DataFrame, root: str, settings: DeadLetters = DeadLetters(), batch_id: int | None = None,
+              run_id: str = "") -> None:
     """One folder per job, category and day, each row in its own.
 
     Rows are rebalanced by folder: small folders get one file, and a folder
     that holds most of the rows is cut into several tasks of about the largest
-    file size. A micro-batch has folders of its own, which a repeat replaces.
+    file size. A micro-batch of a run has folders of its own, which a repeat replaces.
     """
     dated = letters.withColumn("date", F.to_date("timestamp"))
     layout = list(LAYOUT)
     if batch_id is not None:
-        dated = dated.withColumn("batch_id", F.lit(batch_id))
-        layout.append("batch_id")
+        dated = dated.withColumns({"run_id": F.lit(run_id or "none"), "batch_id": F.lit(batch_id)})
+        layout += ["run_id", "batch_id"]
     with sql_settings(letters.sparkSession, {ADVISORY_SIZE: settings.max_file_size_bytes}):
         writer = (
             dated.hint("rebalance", *layout).write.partitionBy(*layout).options(**TIME_FORMATS)

@@ -52,14 +52,16 @@ def date_parts(df: DataFrame, ts: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, root: str, keys: list[str], fmt: str = "parquet", mode: str = "append",
-                      replace_partitions: bool = False, rows_per_file: int = 0) -> None:
+                      replace_partitions: bool = False, rows_per_file: int = 0, **options: str) -> None:
     """Hive folders ``key=value/``.
 
     Rows are rebalanced by the keys, so a folder is written by few tasks, and
     one that holds a third of all rows by several. ``replace_partitions``
-    overwrites only the folders that occur in ``df``.
+    overwrites only the folders that occur in ``df``. Text formats keep
+    microseconds.
     """
     writer = df.hint("rebalance", *keys).write.partitionBy(*keys).format(fmt)
+    writer = writer.options(**(TIME_FORMATS if fmt in ("json", "csv") else {})).options(**options)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if replace_partitions:

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from rowferry.functions.records import name
 
+# Fixed value: all characters that count as white space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def clean_lines(df: DataFrame, column: str = "raw_json") -> DataFrame:
-    """Trim the line and drop it when nothing is left."""
-    return df.withColumn(column, F.trim(name(column))).where(name(column) != "")
+    """Trim white space of any kind off the line and drop it when nothing is left."""
+    return df.withColumn(column, F.trim(name(column), F.lit(WHITE_SPACE))).where(name(column) != "")
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:

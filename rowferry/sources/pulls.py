@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +76,11 @@ def save_cursor(spark: SparkSession, path: str, pipeline_id: str, offset: str, a
 
 
 def load_cursor(spark: SparkSession, path: str, pipeline_id: str) -> str | None:
-    """The last saved position of a job, or None."""
-    saved = spark.read.schema(CURSOR_SCHEMA).parquet(path).where(F.col("pipeline_id") == pipeline_id)
-    return saved.agg(F.max_by("offset", "timestamp")).first()[0]
+    """The last saved position of a job, or None, as on its first run."""
+    try:
+        saved = spark.read.schema(CURSOR_SCHEMA).parquet(path).where(F.col("pipeline_id") == pipeline_id)
+        return saved.agg(F.max_by("offset", "timestamp")).first()[0]
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

@@ -22,18 +22,22 @@ def records_per_trigger(job: Job) -> int:
     return max(1, min(source, sink) * job.flags.batch_flush_interval_ms // 1000)
 
 
-def reader_limits(job: Job) -> dict[str, str]:
-    """Reader options that hold a micro-batch to the source limit.
+def reader_limits(job: Job, once: bool = False) -> dict[str, str]:
+    """Reader options that hold a micro-batch to the declared source limit.
 
-    A file source counts whole files or bytes; the record size for the byte
-    bound is the property ``record_bytes`` (1024 when not given).
+    A rate needs a clock: without declared limits, and in a run that drains
+    the source and ends, micro-batches are as large as Spark makes them. A
+    file source counts whole files or bytes; it is held to a rate only when
+    the property ``record_bytes`` says how large records are.
     """
-    if job.source.type == "kafka":
-        return {"maxOffsetsPerTrigger": str(records_per_trigger(job))}
     if job.source.get("max_files_per_trigger"):
         return {"maxFilesPerTrigger": str(job.source.get("max_files_per_trigger"))}
-    size = int(job.source.get("record_bytes", 1024))
-    return {"maxBytesPerTrigger": str(records_per_trigger(job) * size)}
+    if once or not job.rate_limits.declared:
+        return {}
+    if job.source.type == "kafka":
+        return {"maxOffsetsPerTrigger": str(records_per_trigger(job))}
+    size = job.source.get("record_bytes")
+    return {"maxBytesPerTrigger": str(records_per_trigger(job) * int(size))} if size else {}
 
 
 def writer_trigger(job: Job, once: bool) -> dict[str, Any]:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from functools import partial
 from typing import Any
@@ -21,7 +22,7 @@ from rowferry.functions.records import TIME_FORMATS, name
 from rowferry.operators import contract
 from rowferry.operators.cdc import latest
 from rowferry.operators.deadletter import error_category, write_dlq
-from rowferry.operators.mapping import ERRORS
+from rowferry.operators.mapping import ERRORS, add_errors
 from rowferry.operators.monitoring import DEFAULT_RULES, alerts, archive
 from rowferry.operators.payloads import to_broker
 from rowferry.operators.routing import Rule, route
@@ -34,11 +35,12 @@ from rowferry.sources import broker, files, lines
 from rowferry.streaming import ledger, limits
 
 HISTORY = fields(pipeline_id=TEXT, seq=LONG, status=TEXT)
+RUN = fields(run_id=TEXT)
 
 
-def open_source(spark: SparkSession, job: Job, stream: bool = True) -> DataFrame:
+def open_source(spark: SparkSession, job: Job, stream: bool = True, once: bool = False) -> DataFrame:
     """The declared source as a stream or a table; unknown names are refused."""
-    source, bounds = job.source, limits.reader_limits(job) if stream else {}
+    source, bounds = job.source, limits.reader_limits(job, once) if stream else {}
     kind = source.type
     if kind in ("lines", "stdin"):
         return lines.read_lines(spark, source.require("path"), stream, **bounds)
@@ -61,13 +63,18 @@ def open_source(spark: SparkSession, job: Job, stream: bool = True) -> DataFrame
 Writer = Callable[[DataFrame, Connector, Job, int], "str | None"]
 
 
+def _step(job: Job, batch_id: int) -> str:
+    """A name that no other run's micro-batch has."""
+    return f"run_id={job.run_id}/batch_id={batch_id}"
+
+
 def _files(fmt: str, df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:
-    """A folder per micro-batch, replaced when the batch is repeated."""
-    path = f"{sink.require('path')}/batch_id={batch_id}"
+    """A folder per micro-batch of a run, replaced when the batch is repeated."""
+    path = f"{sink.require('path')}/{_step(job, batch_id)}"
     keys = sink.get("partition_by", [])
     options = {**(TIME_FORMATS if fmt in ("json", "csv") else {}), **sink.get("options", {})}
     if keys:
-        file_sinks.write_partitioned(df, path, list(keys), fmt, mode="overwrite")
+        file_sinks.write_partitioned(df, path, list(keys), fmt, mode="overwrite", **sink.get("options", {}))
     else:
         df.write.mode("overwrite").format(fmt).options(**options).save(path)
     return path
@@ -89,12 +96,12 @@ def _merge(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
     order = _names(sink.require("order_by"))
     columns = df.drop("op") if sink.get("keep_order", False) else df.drop("op", *order)
     tables.create_target(columns, table, f"{path}/start")
-    tables.merge_into(df, table, path, keys, order, f"batch_id={batch_id}", few=bool(sink.get("few_changes", False)))
+    tables.merge_into(df, table, path, keys, order, _step(job, batch_id), few=bool(sink.get("few_changes", False)))
 
 
 def _routed(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:
     """One folder per target table, by the rules of the sink."""
-    path = f"{sink.require('path')}/batch_id={batch_id}"
+    path = f"{sink.require('path')}/{_step(job, batch_id)}"
     rules = [Rule(**r) for r in sink.require("rules")]
     file_sinks.write_routed(route(df, rules, sink.get("default")), path, sink.get("format", "parquet"), mode="overwrite")
     return path
@@ -185,7 +192,8 @@ def run_pipeline(
         raise ConfigError(f"unknown sink {job.sink.type!r}")
     write = writers[job.sink.type]
     schema = declared_schema(spark, job)
-    run_id = hashlib.sha256(f"{job.pipeline_id}\u001f{state}".encode()).hexdigest()
+    run_id = run_identity(spark, state)
+    job = replace(job, run_id=run_id)
     record_state(spark, state, job.pipeline_id, "starting")
 
     def batch(df: DataFrame, batch_id: int) -> None:
@@ -196,7 +204,7 @@ def run_pipeline(
         )
 
     query = (
-        open_source(spark, job)
+        open_source(spark, job, once=once)
         .writeStream.queryName(job.pipeline_id)
         .option("checkpointLocation", f"{state}/checkpoint")
         .trigger(**limits.writer_trigger(job, once))
@@ -207,6 +215,24 @@ def run_pipeline(
     return query
 
 
+def run_identity(spark: SparkSession, state: str) -> str:
+    """The id of the run that ``state`` belongs to: new with the folder, kept as long as it.
+
+    Folders of results and steps of a merge carry it, so a run with a new
+    state adds to what earlier ones wrote.
+    """
+    try:
+        found = spark.read.schema(RUN).json(f"{state}/run").agg(F.min("run_id")).first()[0]
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = None
+    if found is None:
+        found = uuid.uuid4().hex
+        one_row(spark, RUN, found).write.mode("append").json(f"{state}/run")
+    return found
+
+
 def finish(spark: SparkSession, query: StreamingQuery, job: Job, state: str) -> None:
     """Wait for the end of a run and enter it in the history."""
     try:
@@ -236,7 +262,12 @@ def process_batch(
             F.count_if((F.size(ERRORS) == 0) | ~contract_fault).alias("records_validated"),
         )
 
-    held = mark(df, job, at, schema, extra, count_in).persist()
+    marked = mark(df, job, at, schema, extra, count_in)
+    if job.sink.type == "merge":
+        # A change without key or order cannot be placed, and would be added again by every repeat.
+        needed = [*_names(job.sink.require("upsert_keys")), *_names(job.sink.require("order_by"))]
+        marked = add_errors(marked, [F.when((F.size(ERRORS) == 0) & name(c).isNull(), F.lit(f"missing:{c}")) for c in needed if c in marked.columns])
+    held = marked.persist()
     try:
         clean, event_time = F.size(ERRORS) == 0, job.source.get("event_time")
         newest = F.max(F.unix_micros(name(event_time).cast("timestamp"))) if event_time else F.max(F.lit(None).cast("bigint"))
@@ -255,7 +286,7 @@ def process_batch(
         good, bad = outcome(held, job, at)
         path = write(good, job.sink, job, batch_id)
         if seen["records_dlq"]:
-            write_dlq(bad, f"{job.dlq.storage_uri}/{job.dlq.prefix}", job.dlq, batch_id)
+            write_dlq(bad, f"{job.dlq.storage_uri}/{job.dlq.prefix}", job.dlq, batch_id, job.run_id)
     finally:
         held.unpersist()
     size = files.list_files(spark, path, "part-*").agg(F.sum("length")).first()[0] if path else 0

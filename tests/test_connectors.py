@@ -3,6 +3,8 @@ from datetime import datetime
 
 import pytest
 from plans import exchanges, plan
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowferry.config import Connector
 from rowferry.errors import ConfigError, ConnectorMissing
@@ -14,8 +16,7 @@ from rowferry.sinks import jdbc
 from rowferry.sinks import tables as catalogue
 from rowferry.sources import broker, files, lines, pulls, tables
 from rowferry.sources.changes import parse_changes
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from rowferry.sources.lines import clean_lines
 
 
 def test_lines_from_compressed_files(spark, rows, tmp_path):
@@ -126,11 +127,24 @@ def test_cursors(spark, rows, tmp_path):
     assert pulls.next_cursor(pulls.pull_since(df, "ts", 6), "ts", 6).first().cursor == 9
     assert pulls.next_cursor(pulls.pull_since(df, "ts", 9), "ts", 9).first().cursor == 9
     path = str(tmp_path / "cursor")
+    assert pulls.load_cursor(spark, path, "p") is None
     pulls.save_cursor(spark, path, "p", "1", datetime(2024, 1, 1), 3)
     pulls.save_cursor(spark, path, "p", "2", datetime(2024, 1, 2), 3)
     assert pulls.load_cursor(spark, path, "p") == "2" and pulls.load_cursor(spark, path, "q") is None
 
 
+def test_lines_lose_white_space_of_any_kind(rows):
+    df = rows("raw_json STRING", ("\t \r",), ("\u3000{}\u00a0",), ("\x0b",))
+    assert [r.raw_json for r in clean_lines(df).collect()] == ["{}"]
+
+
+def test_partitioned_text_keeps_microseconds(spark, rows, tmp_path):
+    df = rows("k STRING, at STRING", ("a", "2024-01-15 06:30:00.123456")).withColumn("at", F.col("at").cast("timestamp"))
+    for fmt in ("json", "csv"):
+        sinks.write_partitioned(df, str(tmp_path / fmt), ["k"], fmt)
+        assert ".123456" in spark.read.text(str(tmp_path / fmt)).first()[0]
+
+
 def test_pages_that_are_no_array(rows):
     df = rows("page INT, body STRING", (1, '[{"id":1},{"id":2}]'), (2, '{"id":3}'), (3, "oops"), (4, "[]"), (5, None))
     items, refused = pulls.explode_pages(df, "body", fields(id=LONG))

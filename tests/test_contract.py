@@ -44,11 +44,24 @@ def test_halt(rows):
 def test_inference_merges_types(rows):
     df = rows("j STRING", ('{"a":1,"b":"x","n":{"k":1}}',), ('{"a":2.5,"c":null}',), ("broken",))
     found = contract.infer_schema(df, "j")
-    assert found["a"].dataType.simpleString().startswith("decimal") or found["a"].dataType.simpleString() == "double"
+    assert found["a"].dataType.simpleString() == "double"
     assert found["b"].dataType == TEXT and found["n"].dataType == fields(k=LONG)
     assert contract.infer_schema(df, "j", first=1).names == ["a", "b", "n"]
 
 
+def test_inferred_fractions_take_later_records(rows):
+    first = rows("j STRING", ('{"a":9.99,"AVOIDED":{"AVOIDED":1.5,"x y":[1.25]},"b`c":null}',))
+    schema = contract.infer_schema(first, "j")
+    assert schema.names == ["AVOIDED", "a", "b`c"] and schema["AVOIDED"].dataType.names == ["AVOIDED", "x y"]
+    later = contract.read_records(rows("j STRING", ('{"a":12.5,"AVOIDED":{"AVOIDED":1234.125}}',)), "j", schema)
+    assert later.first()["_errors"] == [] and later.first()["a"] == 12.5
+
+
+def test_null_and_blank_text_are_broken(rows):
+    marked = contract.read_records(rows("j STRING", (None,), ("",), (" ",), ('{"a":1,"b":"x"}',)), "j", STRICT)
+    assert sorted(tuple(r["_errors"]) for r in marked.collect()) == [(), ("corrupt",), ("corrupt",), ("corrupt",)]
+
+
 def test_inference_refuses_maps(rows, monkeypatch):
     monkeypatch.setattr(contract, "MAX_FIELDS", 2)
     with pytest.raises(ConfigError):

@@ -52,7 +52,7 @@ class Place:
         return query
 
     def out(self, spark, ddl="id BIGINT, v STRING"):
-        return sorted((tuple(r) for r in spark.read.schema(ddl).json(self.path("out") + "/batch_id=*").collect()), key=repr)
+        return sorted((tuple(r) for r in spark.read.schema(ddl).json(self.path("out") + "/run_id=*/batch_id=*").collect()), key=repr)
 
 
 @pytest.fixture
@@ -87,7 +87,7 @@ def test_a_failed_batch_is_repeated_and_replaces_its_rows(spark, place):
     calls = []
 
     def flaky(df, sink, job, batch_id):
-        df.write.mode("overwrite").json(f"{sink.require('path')}/batch_id={batch_id}")
+        df.write.mode("overwrite").json(f"{sink.require('path')}/run_id={job.run_id}/batch_id={batch_id}")
         calls.append(batch_id)
         if len(calls) == 1:
             raise OSError("store went away")
@@ -191,7 +191,7 @@ def test_own_steps_and_partitioned_sink(spark, place):
     job = place.job(transforms=[{"type": "shout", "params": {"column": "v"}}],
                     sink={"type": "parquet", "properties": {"path": place.path("out"), "partition_by": ["v"]}})
     place.run(spark, job, extra={"shout": lambda column: lambda df: df.withColumn(column, F.upper(column))})
-    assert sorted(os.listdir(place.path("out") + "/batch_id=0"))[-2:] == ["v=A", "v=B"]
+    assert sorted(p.name for p in place.root.glob("out/run_id=*/batch_id=0/v=*")) == ["v=A", "v=B"]
 
 
 def test_changes_merge_into_a_table(spark, place):
@@ -206,10 +206,52 @@ def test_changes_merge_into_a_table(spark, place):
     assert sorted(tuple(r) for r in spark.table("stream_merge").collect()) == [(1, 7), (3, 8)]
     before = tables.location(spark, "stream_merge")
     feed = spark.createDataFrame([(1, "d", None, 9)], "id BIGINT, op STRING, amount INT, lsn BIGINT")
-    tables.merge_into(feed, "stream_merge", place.path("out"), ["id"], ["lsn"], "batch_id=1")
+    step = before.split("/out/")[1]
+    tables.merge_into(feed, "stream_merge", place.path("out"), ["id"], ["lsn"], step)
     assert tables.location(spark, "stream_merge") == before and spark.table("stream_merge").count() == 2
 
 
+def other_state(place, spark, job):
+    """A run that has lost its state, or another job on the same sink."""
+    path = place.path("other")
+    finish(spark, run_pipeline(spark, job, path, at=AT), job, path)
+
+
+def test_a_run_with_another_state_adds_to_the_sink(spark, place):
+    place.drop({"id": 1, "v": "a"}, "{")
+    place.run(spark, place.job())
+    for old in (place.root / "in").iterdir():
+        old.write_text('{"id": 2, "v": "b"}\n[')
+    other_state(place, spark, place.job())
+    assert place.out(spark) == [(1, "a"), (2, "b")]
+    assert deadletter.read_dlq(spark, place.path("dlq") + "/dlq").count() == 2
+
+
+def test_a_merge_with_another_state_applies_its_changes(spark, place):
+    spark.sql("DROP TABLE IF EXISTS stream_merge_again")
+    job = place.job(
+        schema={"ddl": "id BIGINT, op STRING NOT NULL, amount INT, lsn BIGINT"},
+        sink={"type": "merge", "properties": {"table": "stream_merge_again", "path": place.path("out"), "upsert_keys": "id", "order_by": "lsn"}},
+    )
+    place.drop({"id": 1, "op": "c", "amount": 5, "lsn": 1}, {"op": "c", "amount": 5, "lsn": 1}, {"id": 7, "op": "c", "amount": 5})
+    place.run(spark, job)
+    for old in (place.root / "in").iterdir():
+        old.write_text('{"id": 2, "op": "c", "amount": 6, "lsn": 2}')
+    other_state(place, spark, job)
+    assert sorted(tuple(r) for r in spark.table("stream_merge_again").collect()) == [(1, 5), (2, 6)]
+    refused = deadletter.read_dlq(spark, place.path("dlq") + "/dlq").collect()
+    assert sorted(r.error_message for r in refused) == ["missing:id", "missing:lsn"]
+
+
+def test_an_undeclared_rate_is_no_limit(spark, place):
+    for number in range(5):
+        place.drop({"id": number, "v": "x"})
+    job = place.job(source={"type": "lines", "properties": {"path": place.path("in")}})
+    place.run(spark, job)
+    assert run_metrics(spark, place.path("state")).count() == 1
+    assert limits.reader_limits(job) == {} and len(place.out(spark)) == 5
+
+
 def test_routed_sink(spark, place):
     rules = [{"field": "v", "operator": "=", "value": "a", "target_table": "first"}]
     place.drop({"id": 1, "v": "a"}, {"id": 2, "v": "b"})
