@@ -172,7 +172,7 @@ def train(rows: np.ndarray, labels: np.ndarray, seed: int = 5) -> Network:
     """Adam on the log loss, then the temperature on the rows kept aside."""
     width = rows.shape[1] if rows.ndim == 2 else _FEATURES
     share = float(labels.mean()) if labels.size else 0.5
-    if not 0 < share < 1:
+    if not labels.size or not 0 < share < 1:
         flat = np.clip(share, 1e-6, 1 - 1e-6)
         return Network(np.zeros(width), np.ones(width), np.zeros((width, 1)), np.zeros(1), np.zeros(1), float(np.log(flat / (1 - flat))), 1.0)
     random = np.random.default_rng(seed)
