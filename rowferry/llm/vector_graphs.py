@@ -230,7 +230,7 @@ def found_pairs(distinct: DataFrame, shards: int) -> DataFrame:
     shard = F.pmod(F.xxhash64("cls"), F.lit(shards)).cast("int")
     indexed = distinct.select(shard.alias("shard"), F.length("vector").alias("size"), F.lit(0).alias("asked"), "cls", "vector")
     asked = distinct.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.length("vector").alias("size"), F.lit(1).alias("asked"), "cls", "vector")
-    dealt = indexed.unionAll(asked).repartition(shards, "shard", "size").sortWithinPartitions("shard", "size", "asked", "cls")
+    dealt = indexed.unionAll(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "size", "asked", "cls")
     return dealt.mapInArrow(_search_shards, "a bigint, b bigint").distinct()
 
 
