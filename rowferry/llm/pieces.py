@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from itertools import compress
+from operator import not_
 
-_ODD_SPACE = re.compile(r"\s\s|\A\s|\s\Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_BESIDE = [pair for c in map(chr, range(0x3001)) if c.isspace() for pair in (c + " ", " " + c)]
 
 
 def cut(text: str) -> list[str]:
     """Pieces; before each but the first stands one space that is left out here."""
-    return _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+    odd = text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _BESIDE)
+    return _CUT.split(text) if odd else text.split(" ")
 
 
 class PieceCache:
@@ -40,17 +43,16 @@ class PieceCache:
         return self.encode([first])[0] + self._joined(rest)
 
     def _joined(self, words: Sequence[str]) -> bytes:
-        try:
-            return b"".join(map(self.new.__getitem__, words))
-        except KeyError:
-            self._learn(words)
-            return b"".join(map(self.new.__getitem__, words))
-
-    def _learn(self, words: Sequence[str]) -> None:
-        missing = [word for word in set(words) if word not in self.new]
+        found = list(map(self.new.get, words))
+        if None in found:
+            self._learn(words, set(compress(words, map(not_, found))))
+            found = map(self.new.__getitem__, words)
+        return b"".join(found)
+
+    def _learn(self, words: Sequence[str], missing: set[str]) -> None:
         if len(self.new) + len(missing) > self.limit:
             self.old, self.new = self.new, {}
-            missing = list(set(words))
+            missing = set(words)
         unknown = []
         for word in missing:
             known = self.old.get(word)

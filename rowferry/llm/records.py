@@ -28,6 +28,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,7 +148,7 @@ class Tokenizer:
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(each.ids, "<u4").tobytes() for each in found]
+        return [array("I", each.ids).tobytes() for each in found]
 
     def encode(self, text: str, end_id: int) -> np.ndarray:
         return np.frombuffer(self.cache.ids(text) + end_id.to_bytes(4, "little"), "<u4")
