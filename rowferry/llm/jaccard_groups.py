@@ -12,13 +12,15 @@ first fifth of each, so the sparse matrix only holds those.
    a bound on the overlap with any member, from the sizes and the places of
    that token. Only groups that reach the bound are opened.
 3. Members of opened groups are compared by folded bit sets, which bound the
-   overlap too, and then exactly.
+   overlap too, in the same task; the few pairs left are compared exactly. A
+   first pass takes the nearest member for each query only, so that groups
+   that belong together are united before the second takes all.
 
 The result is exact: no link is lost except by a collision of 64-bit hashes.
 A group of copies, however large, gives links in proportion to its size, since
-inside a group no further pairs are formed. Frequent tokens are counted on
-half of each prefix; at most ``MOST_FREQUENT`` of them, the most frequent, are
-sent to the tasks. That only decides their order, never the result.
+inside a group no further pairs are formed. Of the tokens that ``FREQUENT``
+sets hold, at most ``MOST_FREQUENT``, those most held, are sent to the tasks.
+That only decides their order, never the result.
 
 Null text counts as empty. An empty set links with nothing. Rows that repeat a
 ``doc_id`` are each judged by their own text. A row without ``doc_id`` gets the
@@ -28,6 +30,7 @@ component of its set.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +42,12 @@ from rowferry.llm.components import components
 from rowferry.llm.words import Words, distinct_runs, mixed
 
 SHINGLE_WORDS = 5
-FREQUENT = 8
+FREQUENT = 16
 MOST_FREQUENT = 1_000_000
 BROADCAST_IDS = 500_000
+BLOCK_ROWS = 1_024
+FEW_BYTES = 128
+QUERIES = 256
 
 # Overlap that two sets of together n tokens need: 9 * overlap >= 4 * n.
 _NEEDED = "(4 * ({a} + {b}) + 8) div 9"
@@ -66,6 +72,14 @@ def bit_set(tokens: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(bits: bytes, most: int) -> bytes:
+    """The same with at most so many bytes; it bounds differences less tightly."""
+    own = np.frombuffer(bits, np.uint64)
+    while own.size * 8 > most:
+        own = own[:own.size // 2] ^ own[own.size // 2:]
+    return own.tobytes()
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """A lower bound on the number of tokens in one of two sets only."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -77,26 +91,53 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, cls, bits`` of every row; ``cls`` is null for an empty set."""
+    """``doc_id, n_shingles, cls, bits, few_bits`` of every row; ``cls`` is null for an empty set."""
     def work(batch: pa.RecordBatch) -> dict:
         sets = distinct_runs(Words(batch.column(1)), SHINGLE_WORDS)
         return {
             "doc_id": batch.column(0), "n_shingles": pa.array([s.size for s in sets], pa.int64()),
             "cls": pa.array([class_hash(s) if s.size else None for s in sets], pa.int64()),
-            "bits": pa.array([bit_set(s) if s.size else None for s in sets], pa.binary()),
+            "bits": pa.array(bits := [bit_set(s) if s.size else None for s in sets], pa.binary()),
+            "few_bits": pa.array([None if b is None else folded(b, FEW_BYTES) for b in bits], pa.binary()),
         }
 
-    return map_arrow(docs, work, f"doc_id {_id_type(docs)}, n_shingles bigint, cls bigint, bits binary")
+    return map_arrow(docs, work, f"doc_id {_id_type(docs)}, n_shingles bigint, cls bigint, bits binary, few_bits binary")
 
 
 def _id_type(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
-def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that many prefixes hold, ascending, and their ranks by frequency."""
+class Frequent:
+    """Tokens that many sets hold, by a short key, with their ranks by frequency.
+
+    A key is one of ``places``, of which there are more with more data, and the
+    upper half of the token.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, places: int):
+        order = np.argsort(keys)
+        self.keys, counts, self.places = keys[order], counts[order], places
+        self.ranks = np.empty(self.keys.size, np.int64)
+        self.ranks[np.lexsort((self.keys, counts))] = np.arange(self.keys.size)
+
+    def find(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which tokens are frequent, and where their keys stand."""
+        if not self.keys.size:
+            return np.zeros(tokens.size, bool), np.zeros(tokens.size, np.int64)
+        keys = token_place(tokens, self.places) << np.uint64(32) | tokens >> np.uint64(32)
+        at = np.minimum(np.searchsorted(self.keys, keys), self.keys.size - 1)
+        return self.keys[at] == keys, at
+
+
+def token_place(tokens: np.ndarray, places: int) -> np.ndarray:
+    return mixed(tokens, 5) % np.uint64(places)
+
+
+def frequent_tokens(docs: DataFrame) -> Frequent:
+    """The tokens that ``FREQUENT`` sets or more hold, copies within a task counted once."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    places = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -106,22 +147,28 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 own = class_hash(tokens) if tokens.size else 0
                 if tokens.size and own not in seen:
                     seen.add(own)
-                    found.append(tokens[:prefix_length(tokens.size) // 2 + 1])
+                    found.append(tokens)
             tokens = np.concatenate(found)
-            place = (mixed(tokens, 5) % np.uint64(parts)).astype(np.int64)
+            place = token_place(tokens, places).astype(np.int64)
             order = np.argsort(place, kind="stable")
-            bounds = np.searchsorted(place[order], np.arange(parts + 1))
-            blobs = [tokens[order[a:b]].tobytes() for a, b in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_pydict({"place": pa.array(range(parts), pa.int32()), "tokens": pa.array(blobs, pa.binary())})
+            bounds = np.searchsorted(place[order], np.arange(places + 1))
+            upper = (tokens >> np.uint64(32)).astype(np.uint32)[order]
+            blobs = [upper[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_pydict({"place": pa.array(range(places), pa.int32()), "tokens": pa.array(blobs, pa.binary())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [blob for batch in batches for blob in batch.column(1).to_pylist()]
-        tokens, counts = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_counts=True)
-        many = counts >= FREQUENT
-        yield pa.RecordBatch.from_pydict({"token": pa.array(tokens[many].view(np.int64)), "held": pa.array(counts[many].astype(np.int64))})
+        blobs: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for place, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                blobs.setdefault(place, []).append(blob)
+        for place, parts in blobs.items():
+            upper, counts = np.unique(np.frombuffer(b"".join(parts), np.uint32), return_counts=True)
+            many = counts >= FREQUENT
+            keys = np.uint64(place) << np.uint64(32) | upper[many].astype(np.uint64)
+            yield pa.RecordBatch.from_pydict({"token": pa.array(keys.view(np.int64)), "held": pa.array(counts[many].astype(np.int64))})
 
     blobs = docs.select("text").mapInArrow(collect, "place int, tokens binary")
-    held = staged(blobs.repartition(parts, "place").mapInArrow(count, "token bigint, held bigint"), "frequent")
+    held = staged(blobs.repartition(places, "place").mapInArrow(count, "token bigint, held bigint"), "frequent")
     least, total = FREQUENT, 0
     for row in held.groupBy("held").count().orderBy(F.desc("held")).toLocalIterator():
         total += row["count"]
@@ -129,27 +176,18 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = row.held + 1
             break
     kept = held.where(F.col("held") >= least).toArrow()
-    tokens = kept.column("token").to_numpy().view(np.uint64)
-    counts = kept.column("held").to_numpy()
-    order = np.argsort(tokens)
-    tokens, counts = tokens[order], counts[order]
-    ranks = np.empty(tokens.size, np.int64)
-    ranks[np.lexsort((tokens, counts))] = np.arange(tokens.size)
-    return tokens, ranks
+    return Frequent(kept.column("token").to_numpy().view(np.uint64), kept.column("held").to_numpy(), places)
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+def prefix(tokens: np.ndarray, frequent: Frequent) -> np.ndarray:
     """The first tokens of an ascending set in the common order."""
     need = prefix_length(tokens.size)
-    if not frequent.size:
-        return tokens[:need]
-    at = np.minimum(np.searchsorted(frequent, tokens), frequent.size - 1)
-    common = frequent[at] == tokens
+    common, at = frequent.find(tokens)
     rare = tokens[~common][:need]
     if rare.size == need:
         return rare
     late = np.flatnonzero(common)
-    late = late[np.argsort(ranks[at[late]])][:need - rare.size]
+    late = late[np.lexsort((tokens[late], frequent.ranks[at[late]]))][:need - rare.size]
     return np.concatenate((rare, tokens[late]))
 
 
@@ -158,12 +196,11 @@ def matrix(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs))
 
     def work(batch: pa.RecordBatch) -> dict:
-        frequent, ranks = shared.value
         tokens, classes, sizes, places, seen = [np.zeros(0, np.uint64)], [], [], [np.zeros(0, np.int64)], set()
         for own in distinct_runs(Words(batch.column(0)), SHINGLE_WORDS):
             if own.size and (cls := class_hash(own)) not in seen:
                 seen.add(cls)
-                first = prefix(own, frequent, ranks)
+                first = prefix(own, shared.value)
                 tokens.append(first)
                 places.append(np.arange(first.size))
                 classes.append((cls, first.size))
@@ -263,24 +300,85 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return staged(map_arrow(both, compared, "a bigint, b bigint"), "linked")
 
 
-def between_groups(shared: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes from different groups whose bound allows a link."""
+def between_groups(shared: DataFrame, groups: DataFrame, classes: DataFrame, nearest: bool = False) -> DataFrame:
+    """Pairs of classes from different groups whose bounds allow a link; ``nearest``: the best of each class only.
+
+    A row of the matrix that many classes share is cut into blocks of about
+    ``BLOCK_ROWS``, and each pair of blocks is looked at in a task of its own.
+    """
     placed = shared.join(groups, F.col("cls") == F.col("node"), "left")
     placed = placed.select("token", "cls", "n", "place", F.coalesce("root", "cls").alias("grp"))
-    several = placed.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select("token")
-    placed = staged(placed.join(several, "token", "left_semi"), "between")
-    unions = placed.groupBy(F.col("token").alias("token_"), F.col("grp").alias("other")).agg(
-        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max(F.expr("n - place")).alias("left"),
+    several = placed.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y"), F.count("*").alias("rows")).where("x <> y")
+    blocks = several.select("token", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
+    placed = placed.join(blocks, "token").join(classes.select("cls", F.col("few_bits").alias("bits")), "cls")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("grp", "cls"), "blocks").cast("int"))
+    dealt = placed.select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("facing")).select(
+        "token", F.least("block", "facing").alias("low"), F.greatest("block", "facing").alias("high"),
+        "grp", "cls", "n", "place", "block", "bits",
     )
-    partner = "greatest(least_n, (4 * n + 4) div 5)"
-    opened = placed.join(unions, F.expr(
-        "token = token_ and grp < other and 5 * most_n >= 4 * n and 4 * least_n <= 5 * n"
-        f" and least(n - place, left) >= {_NEEDED.format(a='n', b=partner)}"
-    )).select(F.col("cls").alias("a"), F.col("n").alias("a_n"), "other").distinct()
-    members = classes.join(groups, F.col("cls") == F.col("node"), "left")
-    members = members.select(F.col("cls").alias("b"), F.col("n").alias("b_n"), F.coalesce("root", "cls").alias("grp"))
-    pairs = opened.join(members, F.expr("other = grp and 5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"))
-    return pairs.select("a", "b")
+    ordered = dealt.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "grp", "cls")
+    return ordered.mapInArrow(partial(_open_groups, nearest), "a bigint, b bigint").distinct()
+
+
+def _open_groups(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rest, rest_bits = np.zeros((8, 0), np.int64), []
+    for batch in batches:
+        rows = np.stack([column.to_numpy().astype(np.int64) for column in batch.columns[:8]])
+        rows = np.concatenate((rest, rows), 1)
+        bits = rest_bits + batch.column(8).to_pylist()
+        cuts = [0, *(np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(0)) + 1).tolist()]
+        for begin, end in zip(cuts, cuts[1:]):
+            yield _near_pairs(rows[:, begin:end], bits[begin:end], nearest)
+        rest, rest_bits = rows[:, cuts[-1]:], bits[cuts[-1]:]
+    yield _near_pairs(rest, rest_bits, nearest)
+
+
+def _near_pairs(rows: np.ndarray, bits: list[bytes], nearest: bool) -> pa.RecordBatch:
+    """Pairs of one row of the matrix, sorted by group: query and group first, then query and member."""
+    _, low, high, groups, classes, n, place, block = rows
+    found = [np.zeros((2, 0), np.int64)]
+    if n.size > 1 and groups[0] != groups[-1]:
+        starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+        own = np.cumsum(np.concatenate(([True], groups[1:] != groups[:-1]))) - 1
+        least, most = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
+        left = np.maximum.reduceat(n - place, starts)
+        for begin in range(0, n.size, QUERIES):
+            q = np.arange(begin, min(begin + QUERIES, n.size))
+            size, rest = n[q, None], (n - place)[q, None]
+            needed = (4 * (size + np.maximum(least, (4 * size + 4) // 5)) + 8) // 9
+            opened = (np.arange(starts.size) > own[q, None]) & (5 * most >= 4 * size) & (4 * least <= 5 * size)
+            opened &= np.minimum(rest, left) >= needed
+            a, b = np.nonzero(opened[:, own])
+            a = q[a]
+            fits = 5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])
+            fits &= 9 * np.minimum(n[a] - place[a], n[b] - place[b]) >= 4 * (n[a] + n[b])
+            if low[0] != high[0]:
+                fits &= block[a] != block[b]
+            a, b = a[fits], b[fits]
+            for part in range(0, a.size, QUERIES * 64):
+                x, y = a[part:part + QUERIES * 64], b[part:part + QUERIES * 64]
+                over = 9 * differences(bits, x, y) - n[x] - n[y]
+                near = over <= 0
+                x, y, over = x[near], y[near], over[near]
+                if nearest:
+                    order = np.lexsort((over, x))
+                    first = np.unique(x[order], return_index=True)[1]
+                    x, y = x[order][first], y[order][first]
+                found.append(np.stack((classes[x], classes[y])))
+    pairs = np.concatenate(found, 1)
+    return pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+
+
+def differences(bits: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """:func:`least_difference` of many pairs, given by their places in ``bits``."""
+    sizes = np.array([len(own) // 8 for own in bits])
+    common, found = np.minimum(sizes[a], sizes[b]), np.zeros(a.size, np.int64)
+    for size in np.unique(common):
+        at = np.flatnonzero(common == size)
+        used, where = np.unique(np.concatenate((a[at], b[at])), return_inverse=True)
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(bits[i], np.uint64).reshape(-1, size), 0) for i in used])
+        found[at] = np.bitwise_count(folded[where[:at.size]] ^ folded[where[at.size:]]).sum(1)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -288,12 +386,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = only(docs, "doc_id", "text")
     marked = staged(signatures(docs), "signatures")
     smallest = marked.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    one = marked.select("cls", "doc_id", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["cls"])
+    one = marked.select("cls", "doc_id", F.col("n_shingles").alias("n"), "bits", "few_bits").dropDuplicates(["cls"])
     classes = staged(one.drop("doc_id").join(smallest, "cls"), "classes")
     shared = staged(matrix(docs), "matrix")
     pairs = shared.where("cls <> first_cls").where(_fits("n", "place", "first_n", "first_place"))
     links = linked(pairs.select(F.col("first_cls").alias("a"), F.col("cls").alias("b")).distinct(), classes, docs)
     groups = staged(components(links), "groups")
+    links = links.unionAll(linked(between_groups(shared, groups, classes, nearest=True), classes, docs))
+    groups = staged(components(links), "groups")
     links = links.unionAll(linked(between_groups(shared, groups, classes), classes, docs))
     roots = components(links)
     placed = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
