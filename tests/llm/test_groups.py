@@ -151,3 +151,30 @@ def test_a_passage_that_most_documents_hold(rows):
     counts = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("n_matched").alias("matched")).collect()
     assert {row.doc_id for row in counts} == set(range(1, 80))
     assert all(row.n <= 2 and row.matched == 55 for row in counts)
+
+
+def test_all_passages_of_one_pair_and_those_between_them(rows):
+    source = random.Random(9)
+    first, second, inner = (random_words(source, 60, 10 ** 6) for _ in range(3))
+    own = lambda count: random_words(source, count, 10 ** 6)
+    texts = [own(20) + first + own(40) + second + own(20), own(30) + inner + own(30)]
+    texts += [own(20) + first + own(40) + second + own(20), own(20) + first + inner + second + own(20)]
+    found = passages.repeated_passages(rows("doc_id bigint, text string", *[(i, " ".join(t)) for i, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.start_word, r.end_word) for r in found} == {(2, 20, 80), (2, 120, 180), (3, 20, 80), (3, 80, 140), (3, 140, 200)}
+    assert {(r.start_word, r.other_id) for r in found if r.doc_id == 3} == {(20, 0), (80, 1), (140, 0)}
+
+
+def test_stretches_are_the_best_and_then_the_best_on_either_side():
+    source = np.random.default_rng(4)
+
+    def slow(same, begin):
+        scores = np.concatenate(([0], np.cumsum(np.where(same, 1, -passages.EDIT_COST))))
+        value, start, stop = max(((scores[j] - scores[i], -j, -i) for j in range(len(scores)) for i in range(j)), default=(0, 0, 0))
+        start, stop = -stop, -start
+        if value <= 0:
+            return []
+        return slow(same[:start], begin) + [(begin + start, begin + stop)] + slow(same[stop:], begin + stop)
+
+    for _ in range(60):
+        same = source.random(source.integers(0, 50)) < source.choice([0.6, 0.8, 0.9])
+        assert sum(b - a for a, b in passages.stretches(same)) == sum(b - a for a, b in slow(same, 0))
