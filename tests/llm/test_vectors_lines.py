@@ -109,6 +109,26 @@ def test_lines_against_brute_force(rows):
             assert i not in result
 
 
+def united(rows, texts):
+    """Component of each text, a line each."""
+    docs = rows("doc_id bigint, text string", *enumerate(texts))
+    return {row.doc_id: row.component for row in fuzzy_lines.line_classes(docs).collect()}
+
+
+def test_lines_without_spaces_that_are_shifted(rows):
+    source = random.Random(21)
+    line = "".join(chr(source.randint(0x4E00, 0x9FA5)) for _ in range(200))
+    other = "".join(chr(source.randint(0x4E00, 0x9FA5)) for _ in range(200))
+    url = "https://example.org/" + "".join(source.choice("abcdef0123456789/") for _ in range(150))
+    texts = [line, "x" + line, line[:10] + "x" + line[10:], line[:100] + line[101:], other, url, url[:30] + url[31:], "short", "shor"]
+    found = united(rows, texts)
+    nine = [{t[i:i + 9] for i in range(max(1, len(t) - 8))} for t in texts]
+    links = [(a, b) for a in range(9) for b in range(a) if len(nine[a] & nine[b]) >= 0.8 * len(nine[a] | nine[b])]
+    expected = smallest_reachable(range(9), links)
+    assert expected[3] == 0 and expected[6] == 5
+    assert all((found[a] == found[b]) == (expected[a] == expected[b]) for a in range(9) for b in range(9))
+
+
 def test_no_lines(rows):
     assert fuzzy_lines.line_classes(rows("doc_id bigint, text string")).collect() == []
     assert fuzzy_lines.line_classes(rows("doc_id bigint, text string", (1, None), (2, " \n"))).collect() == []
