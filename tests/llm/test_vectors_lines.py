@@ -129,6 +129,23 @@ def test_lines_without_spaces_that_are_shifted(rows):
     assert all((found[a] == found[b]) == (expected[a] == expected[b]) for a in range(9) for b in range(9))
 
 
+def test_pairs_in_a_family_of_template_lines(rows):
+    source = random.Random(22)
+    word = lambda count: "".join(source.choice("abcdefghijklmnop") for _ in range(count))
+    template, texts = word(133), []
+    for _ in range(400):  # 125 shingles of the template; strangers share two thirds of theirs
+        own = word(31)
+        texts += [template + own, template + own[:-3] + word(3)]
+    source.shuffle(texts)
+    sets = [{t[i:i + 9] for i in range(len(t) - 8)} for t in texts]
+    near = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    pairs = [(a, b) for a in range(800) for b in range(a) if near(a, b) >= 0.8]
+    assert len(pairs) == 400 and near(*pairs[0]) > 0.9
+    found = united(rows, texts)
+    assert sum(found[a] == found[b] for a, b in pairs) >= 0.95 * len(pairs)
+    assert len(set(found.values())) >= 400
+
+
 def test_no_lines(rows):
     assert fuzzy_lines.line_classes(rows("doc_id bigint, text string")).collect() == []
     assert fuzzy_lines.line_classes(rows("doc_id bigint, text string", (1, None), (2, " \n"))).collect() == []
