@@ -6,9 +6,12 @@
    below, by adding vectors in blocks: a block searches the graph built so far,
    and of the candidates those are linked that are nearer than to one another.
 3. All classes then stream through every shard. A search widens its beam while
-   all it found is similar enough, and the shard's beam is widened until an
-   audit of ``AUDIT`` of its vectors against all others of the shard finds
-   ``AUDIT_RECALL`` of the pairs.
+   all it found is similar enough, and the shard's beam is widened until each
+   of three audits against all vectors of the shard finds ``AUDIT_RECALL`` of
+   the pairs, those of a vector with itself left out: vectors of the shard,
+   near copies made of some of them, so that there are pairs where the data
+   has few, and the first of the classes that stream in, most of them of other
+   shards. An audit ends at ``AUDIT_PAIRS`` pairs or ``AUDIT_MOST`` vectors.
 4. Pairs found are verified by cosine in double precision, and their
    components are united across shards.
 
@@ -41,6 +44,9 @@ BLOCK = 256
 BUILD_BEAM = 48
 FIRST_BEAM = 32
 AUDIT = 128
+AUDIT_PAIRS = 256
+AUDIT_STEP = 32
+AUDIT_MOST = 2048
 AUDIT_RECALL = 0.98
 SLACK = 1e-4  # of single precision in the search
 EXPANDED = 4
@@ -167,7 +173,7 @@ class Graphs:
                 layer.add(own, found)
             self.layers.append(layer)
         self.beam = FIRST_BEAM
-        self.audit()
+        self.audit_own()
 
     def entries(self, queries: np.ndarray, below: int) -> np.ndarray:
         """Where to begin in the next layer, of which so many vectors are built."""
@@ -199,13 +205,40 @@ class Graphs:
             rows, found = np.concatenate((rows, full[more])), np.concatenate((found, more_ids))
         return rows, found
 
-    def audit(self) -> None:
-        """Widen the beam until enough pairs of a sample are found."""
-        sample = np.linspace(0, len(self.vectors) - 1, min(AUDIT, len(self.vectors))).astype(np.int64)
-        queries = self.vectors[sample]
-        wanted = int((queries @ self.vectors.T >= LEAST_COSINE).sum())
-        while self.beam < len(self.vectors):
-            if len(self.similar(queries, LEAST_COSINE)[0]) >= AUDIT_RECALL * wanted:
+    def audit_own(self) -> None:
+        """Audit by vectors of the shard and by near copies made of some."""
+        count, size = self.vectors.shape
+        own = np.linspace(0, count - 1, min(AUDIT_MOST, count)).astype(np.int64)
+        self.audit(self.vectors[own], own)
+        own = own[np.linspace(0, own.size - 1, min(AUDIT, own.size)).astype(np.int64)]
+        if size > 1:
+            source = np.random.default_rng(count)
+            base = self.vectors[own].astype(np.float64)
+            aside = source.normal(size=base.shape)
+            aside -= (aside * base).sum(1, keepdims=True) * base
+            cosine = source.uniform(LEAST_COSINE, (1 + LEAST_COSINE) / 2, (own.size, 1))
+            copies = cosine * base + np.sqrt(1 - cosine ** 2) * unit(aside)
+            self.audit(copies.astype(np.float32), np.full(own.size, -1))
+
+    def audit(self, queries: np.ndarray, own: np.ndarray) -> None:
+        """Widen the beam until enough pairs of the queries are found; ``own`` is a query's id, or -1."""
+        count = len(self.vectors)
+        wanted, end, pairs = [], 0, 0
+        while end < len(queries) and pairs < AUDIT_PAIRS:
+            part = slice(end, end + AUDIT_STEP)
+            rows, ids = np.nonzero(queries[part] @ self.vectors.T >= LEAST_COSINE)
+            rows += end
+            other = ids != own[rows]
+            wanted.append(rows[other] * count + ids[other])
+            pairs += wanted[-1].size
+            end += AUDIT_STEP
+        if not pairs:
+            return
+        wanted = np.concatenate(wanted)
+        asked = np.unique(wanted // count)
+        while self.beam < count:
+            rows, found = self.similar(queries[asked], LEAST_COSINE - SLACK)
+            if np.isin(asked[rows] * count + found, wanted).sum() >= AUDIT_RECALL * pairs:
                 break
             self.beam *= 2
 
@@ -240,8 +273,55 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+class Shard:
+    """The vectors of one shard and size, and the classes that ask for their like."""
+
+    def __init__(self):
+        self.held: list[bytes] = []
+        self.ids: list[int] = []
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.graphs: Graphs | None = None
+
+    def build(self) -> None:
+        exact = unit(np.frombuffer(b"".join(self.held), np.float64).reshape(len(self.held), -1))
+        order = np.random.default_rng(len(self.held)).permutation(len(self.held))
+        self.exact, self.names, self.held = exact[order], np.array(self.ids, np.int64)[order], []
+        self.graphs = Graphs(self.exact.astype(np.float32))
+
+    def ask(self, vectors: list[bytes], classes: list[int]) -> Iterator[pa.RecordBatch]:
+        """Pairs of classes asked; the first wait until there are enough for an audit."""
+        queries = unit(np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1))
+        if self.graphs is not None:
+            yield from self.answer(queries, np.array(classes, np.int64))
+            return
+        self.waiting.append((queries, np.array(classes, np.int64)))
+        if sum(len(own) for _, own in self.waiting) >= AUDIT_MOST:
+            yield from self.finish()
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        """Audit by the classes that wait, which come in order of their hash, and answer them."""
+        if not self.waiting or not self.ids:
+            return
+        self.build()
+        queries, own = (np.concatenate(parts) for parts in zip(*self.waiting))
+        self.waiting = []
+        order = np.argsort(self.names)
+        at = order[np.minimum(np.searchsorted(self.names, own, sorter=order), order.size - 1)]
+        self.graphs.audit(queries[:AUDIT_MOST].astype(np.float32), np.where(self.names[at] == own, at, -1)[:AUDIT_MOST])
+        yield from self.answer(queries, own)
+
+    def answer(self, queries: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(own), BLOCK):
+            part = slice(start, start + BLOCK)
+            rows, found = self.graphs.similar(queries[part].astype(np.float32), LEAST_COSINE - SLACK)
+            cosine = np.einsum("nd,nd->n", queries[part][rows], self.exact[found])
+            a, b = own[part][rows], self.names[found]
+            good = (cosine >= LEAST_COSINE) & (a != b)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)[good]), "b": pa.array(np.maximum(a, b)[good])})
+
+
 def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    key, held, ids, graphs, exact = None, [], [], None, None
+    key, own = None, Shard()
     for batch in batches:
         columns = [column.to_pylist() for column in batch.columns]
         begin = 0
@@ -252,27 +332,15 @@ def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 end += 1
             shard, size, asked = kinds[begin]
             if key != (shard, size):
-                key, held, ids, graphs = (shard, size), [], [], None
+                yield from own.finish()
+                key, own = (shard, size), Shard()
             if not asked:
-                held += columns[4][begin:end]
-                ids += columns[3][begin:end]
-            elif held:
-                if graphs is None:
-                    exact = unit(np.frombuffer(b"".join(held), np.float64).reshape(len(held), -1))
-                    names = np.array(ids, np.int64)
-                    order = np.random.default_rng(len(held)).permutation(len(held))
-                    exact, names, held = exact[order], names[order], [b""]
-                    graphs = Graphs(exact.astype(np.float32))
-                queries = unit(np.frombuffer(b"".join(columns[4][begin:end]), np.float64).reshape(end - begin, -1))
-                own = np.array(columns[3][begin:end], np.int64)
-                for start in range(0, len(own), BLOCK):
-                    part = slice(start, start + BLOCK)
-                    rows, found = graphs.similar(queries[part].astype(np.float32), LEAST_COSINE - SLACK)
-                    cosine = np.einsum("nd,nd->n", queries[part][rows], exact[found])
-                    a, b = own[part][rows], names[found]
-                    good = (cosine >= LEAST_COSINE) & (a != b)
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)[good]), "b": pa.array(np.maximum(a, b)[good])})
+                own.held += columns[4][begin:end]
+                own.ids += columns[3][begin:end]
+            elif own.ids:
+                yield from own.ask(columns[4][begin:end], columns[3][begin:end])
             begin = end
+    yield from own.finish()
 
 
 def link_vectors(vectors: DataFrame) -> DataFrame:

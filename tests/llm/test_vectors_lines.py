@@ -109,6 +109,35 @@ def test_lines_against_brute_force(rows):
             assert i not in result
 
 
+@pytest.mark.parametrize("inside", [True, False])
+def test_audits_leave_self_pairs_out(monkeypatch, inside):
+    source = np.random.default_rng(2)
+    own = source.normal(size=(3_000, 24))
+    own[1::2] = own[::2] + source.normal(size=(1_500, 24)) * 0.05  # each vector has one near copy
+    own = vector_graphs.unit(own).astype(np.float32)
+    graphs = vector_graphs.Graphs(own)
+    if not inside:
+        own_ids = np.full(300, -1)
+        queries = vector_graphs.unit(own[:300] + source.normal(size=(300, 24)) * 0.02).astype(np.float32)
+    else:
+        own_ids = np.arange(300)
+        queries = own[:300]
+    search = graphs.similar
+
+    def only_self(asked, least, beam=None):
+        rows, found = search(asked, least, beam)
+        if graphs.beam < 128:  # a narrow beam finds nothing but the vector itself
+            at = np.argmax(asked @ own.T, 1)
+            keep = found == at[rows]
+            rows, found = rows[keep], found[keep]
+        return rows, found
+
+    monkeypatch.setattr(graphs, "similar", only_self)
+    graphs.beam = vector_graphs.FIRST_BEAM
+    graphs.audit(queries, own_ids)
+    assert graphs.beam >= 128
+
+
 def united(rows, texts):
     """Component of each text, a line each."""
     docs = rows("doc_id bigint, text string", *enumerate(texts))
