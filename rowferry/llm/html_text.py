@@ -1,12 +1,14 @@
 """Main text of web pages by scoring the element tree.
 
 A page is parsed into a tree of elements. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts and comments are left out by element name,
-role, class or id. Each paragraph gives points for its length and its commas
+notices, adverts, forms, scripts and comments are left out by element name or
+role. A class or id that names one leaves an element out unless it holds as
+much text as all that is not so named, and few links; then it wraps the page or
+its article, and only lowers the points of what is below. Each paragraph gives points for its length and its commas
 to its ancestors: all to its parent, half to the next, and less further up.
 Points are discounted by the share of text that stands in links. The container
 with most points is kept, together with siblings that score well themselves or
-are plain paragraphs; an enclosing article element is kept whole.
+have few links; an enclosing article element is kept whole.
 
 Blocks are joined in page order by one space, with white space inside each
 turned into one space. Null or empty html gives empty text; nothing is cut
@@ -63,10 +65,9 @@ HIDDEN = re.compile(r"\shidden(?=[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|display
 
 PARAGRAPHS = frozenset("p pre td th blockquote li dd div section article main body figcaption h1 h2 h3 h4 h5 h6".split())
 POINTS = {"article": 25.0, "main": 15.0}
-LEAST_SIBLING = 10.0
 SIBLING_SHARE = 0.2
-PLAIN_LENGTH = 80
 PLAIN_LINKS = 0.25
+NAMED_WEIGHT = 0.25
 # Elements nested deeper become siblings, as in browsers.
 DEEPEST = 512
 
@@ -77,42 +78,44 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z]+")
+# What a page says it has, has not or lays out around is not the thing itself.
+_HARMLESS = re.compile(r"(?<![a-z])(?:has|have|no|not|non|with|without|hide|show)[-_]+[a-z]+(?:[-_]+[a-z]+)*|(?<![a-z])[a-z]+[-_]+free(?![a-z])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "text", "links", "commas")
+    __slots__ = ("tag", "parent", "children", "dropped", "named", "weight", "score", "text", "links", "commas")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Element | None, dropped: bool = False, named: bool = False):
+        self.tag, self.parent, self.dropped, self.named, self.weight = tag, parent, dropped, named, 1.0
         self.children: list[Element | str] = []
         self.score = 0.0
         self.text = self.links = self.commas = 0
 
 
-def is_dropped(tag: str, attributes: str, stack: list[Element]) -> bool:
-    """Whether an element stands around the article and not in it."""
+def is_dropped(tag: str, attributes: str, stack: list[Element]) -> tuple[bool, bool]:
+    """Whether an element stands around the article for sure, and whether its class or id says so."""
     if tag in DROPPED:
-        return True
+        return True, False
     inside = any(e.tag == "article" for e in stack)
     if tag == "header" and not inside:
-        return True
+        return True, False
     if not attributes or tag in KEPT_WHOLE and "comment" not in attributes.lower():
-        return False
+        return False, False
     if HIDDEN.search(attributes):
-        return True
+        return True, False
+    named = False
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values)
         if name.lower() == "role":
             if value.lower() in DROPPED_ROLES:
-                return True
+                return True, False
             continue
-        words = set(_NAME.findall(_CAMEL.sub(" ", value).lower())) & DROPPED_NAMES
+        words = set(_NAME.findall(_HARMLESS.sub(" ", _CAMEL.sub("-", value).lower()))) & DROPPED_NAMES
         if inside:
             words.discard("header")  # the heading of the article itself
-        if words:
-            return True
-    return False
+        named = named or bool(words)
+    return False, named
 
 
 def parse(page: str) -> Element:
@@ -153,7 +156,8 @@ def parse(page: str) -> Element:
             at = end.end() if end else len(page)
             continue
         top = stack[-1]
-        own = Element(tag, top, top.dropped or is_dropped(tag, found[3], stack))
+        dropped, named = is_dropped(tag, found[3], stack)
+        own = Element(tag, top, top.dropped or dropped, named)
         top.children.append(own)
         if tag not in VOID and len(stack) < DEEPEST and not (found[3].endswith("/") and tag not in BLOCKS and tag not in ("a", "b", "i", "span")):
             stack.append(own)
@@ -172,6 +176,38 @@ def in_order(root: Element) -> list[Element]:
     return found
 
 
+def judge_named(root: Element) -> None:
+    """Drop the elements named as surroundings, but not one that the text of the page stands in."""
+    elements = in_order(root)
+    if not any(e.named for e in elements):
+        return
+    sizes: dict[Element, tuple[int, int, int]] = {}
+    for own in reversed(elements):
+        text = links = plain = 0
+        for child in own.children:
+            if type(child) is str:
+                text += len(child.strip())
+                plain += len(child.strip())
+            elif not child.dropped:
+                below = sizes[child]
+                text, plain = text + below[0], plain + (0 if child.named else below[2])
+                links += below[0] if child.tag == "a" else below[1]
+        sizes[own] = text, links, plain
+    plain = sizes[root][2]
+    for own in sorted((e for e in elements if e.named), key=lambda e: -sizes[e][0]):
+        above = own.parent
+        while above is not None and not above.dropped:
+            above = above.parent
+        text, links, inner = sizes[own]
+        if above is None and text and text >= plain and links <= PLAIN_LINKS * text:
+            plain += inner
+        else:
+            own.dropped = True
+    for own in elements:
+        if own.parent is not None:
+            own.weight = own.parent.weight * (NAMED_WEIGHT if own.named else 1.0)
+
+
 def score(root: Element) -> list[Element]:
     """Give all elements their points; returns them, parents first."""
     elements = in_order(root)
@@ -189,7 +225,7 @@ def score(root: Element) -> list[Element]:
                     direct += child.text
         own.text += sum(len(c.strip()) for c in own.children if type(c) is str)
         if own.tag in PARAGRAPHS and direct:
-            points = (1 + own.commas + min(direct / 100, 3.0)) * (1 - density(own))
+            points = (1 + own.commas + min(direct / 100, 3.0)) * (1 - density(own)) * own.weight
             above, share = own if own.tag in ("div", "section", "article", "main", "body") else own.parent, 1.0
             level = 0
             while above is not None:
@@ -209,6 +245,7 @@ def density(element: Element) -> float:
 
 def chosen(root: Element) -> list[Element]:
     """The best container and the siblings to keep, in page order."""
+    judge_named(root)
     best = max(score(root), key=lambda e: e.score)
     if not best.score:
         return [root]
@@ -219,13 +256,13 @@ def chosen(root: Element) -> list[Element]:
         above = above.parent
     if best.parent is None:
         return [best]
-    least = max(LEAST_SIBLING, SIBLING_SHARE * best.score)
+    least = SIBLING_SHARE * best.score
     kept = []
     for child in best.parent.children:
         if type(child) is str or child.dropped:
             continue
-        plain = child.tag in ("p", "pre", "blockquote") and child.text >= PLAIN_LENGTH and density(child) <= PLAIN_LINKS
-        if child is best or child.score >= least or plain:
+        plain = child.tag in BLOCKS and child.text and density(child) <= PLAIN_LINKS
+        if child is best or not child.named and (child.score >= least or plain):
             kept.append(child)
     return kept
 

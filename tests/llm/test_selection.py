@@ -142,6 +142,26 @@ def test_main_text(page):
     assert html_text.main_text(page) == PAGES[page]
 
 
+LONG = ["The report, as read, says " + f"word{i}, " * 40 for i in range(5)]
+
+
+@pytest.mark.parametrize("name", [
+    "content has-sidebar", "no-sidebar", "layout-with-header", "ad-free", "share-page", "legal-news", "page hasSidebar",
+])
+def test_a_wrapper_named_like_its_surroundings_stays(name):
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    side = "<div class='sidebar'><a href='x'>Other news</a> of today</div>"
+    page = f"<body><div class='{name}'><div class='menu'><a href='y'>Home</a></div><div>{body}</div>{side}</div></body>"
+    assert html_text.main_text(page) == " ".join(" ".join(LONG).split())
+    assert html_text.main_text(f"<body><section id='{name}'>{body}</section></body>") == " ".join(" ".join(LONG).split())
+
+
+def test_short_closings_stay_and_named_neighbours_go():
+    body = "".join(f"<p>{p}</p>" for p in LONG)
+    page = f"<div><div>{body}</div><div><p>A short closing.</p></div><div class='comments'><p>First, I say!</p></div><div><a href='x'>More</a></div></div>"
+    assert html_text.main_text(page) == " ".join((" ".join(LONG) + " A short closing.").split())
+
+
 def test_odd_pages_end_soon():
     for page in ("<" * 100_000, "<div>" * 50_000 + "deep", "<a href=\"x" * 20_000, "<p>" * 50_000, "&" * 100_000, "<!--" * 50_000):
         html_text.main_text(page)
