@@ -7,11 +7,13 @@ On top, generators of high recall propose spans that may overlap, among them
 ones that no format covers. Features of a candidate's form and surroundings
 are put into few steps each. Candidates that are a base span are examples for,
 those that touch none examples against; the others say nothing. Candidates of
-equal features are counted together, which leaves a table of at most
-``MOST_VECTORS`` rows, the most frequent, whatever the corpus. Trees of two
-levels are boosted on one half of the documents; on the other half the lowest
-score is sought, kind by kind, from which on ``PRECISION`` of the examples are
-base spans. The trees become conditional expressions, and candidates that
+equal features are counted together, and trees of two levels are boosted on
+the ``MOST_VECTORS`` most frequent rows of one half of the documents. On all of
+the other half the lowest score is sought, kind by kind, from which on
+``PRECISION`` of the examples are base spans. A kind in ``STANDS_FOR`` can never
+equal a base span: it is no example, its features are those of the text it
+stands for, and its threshold is that of that kind, or of all kinds together
+where that one has none. The trees become conditional expressions, and candidates that
 touch no base span are added from that score on; of added spans that overlap,
 the one of best score is kept, then the longer, then the earlier.
 
@@ -43,12 +45,15 @@ NEEDED = {"email": "@", "ip": "[0-9]", "card": "[0-9]", "phone": "[+][0-9]"}
 
 GENERATORS = {
     "email": r"(?<![^\s@])[^\s@]++@[^\s@]++",
-    "hidden_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?[A-Za-z0-9.-]++",
+    "hidden_email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "number": r"(?:[+(]\x20?)?[0-9](?:[\x20().-]{0,2}[0-9])++",
     "dotted": r"(?<![0-9A-Fa-f])[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]++){3,}+",
 }
 GENERATORS_NEED = {"email": "@", "hidden_email": r"[\[({]\x20?(?i:at)\x20?[\])}]", "number": "[0-9]", "dotted": r"[0-9A-Fa-f][.:][0-9A-Fa-f]"}
 
+# Kinds no base span can equal: the kind meant, and what turns their text into one of it.
+STANDS_FOR = {"hidden_email": ("email", r"\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?", "@")}
+
 KINDS = [*BASE, *[kind for kind in GENERATORS if kind not in BASE]]
 CONTEXT = r"(?i)(?:phone|tel|call|fax|mobile|mail|contact|card|visa|account|address|ip|host|server)\W{0,4}$"
 
@@ -112,9 +117,11 @@ def valid(kind: str, match: Column) -> Column:
 FEATURES = ("digits", "letters", "ats", "dots", "colons", "groups", "longest", "plus", "bracket", "spaces", "dashes", "upper", "left", "right", "named")
 
 
-def features(span: Column) -> list[Column]:
+def features(span: Column, kind: str) -> list[Column]:
     """Form and surroundings of a candidate in small whole numbers."""
     text = span["match"]
+    if kind in STANDS_FOR:
+        text = F.regexp_replace(text, *STANDS_FOR[kind][1:])
 
     def count(pattern: str, most: int) -> Column:
         return F.least(F.length(F.regexp_replace(text, pattern, "")), F.lit(most))
@@ -147,14 +154,14 @@ def found_spans(docs: DataFrame) -> DataFrame:
     base = [base_spans(kind) for kind in BASE]
     marked = texts.select("doc_id", "text", F.array_sort(F.concat(*base)).alias("base"))
 
-    def candidate(span: Column, rank: int) -> Column:
+    def candidate(span: Column, kind: str) -> Column:
         same = F.exists(F.col("base"), lambda b: (b["start"] == span["start"]) & (b["stop"] == span["stop"]))
         touch = F.exists(F.col("base"), lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
         label = F.when(same, 1).when(~touch, 0)
-        return F.struct(span["start"].alias("start"), F.lit(rank).alias("kind"), span["stop"].alias("stop"), label.alias("label"), *features(span))
+        return F.struct(span["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), span["stop"].alias("stop"), label.alias("label"), *features(span, kind))
 
     def proposals(kind: str) -> Column:
-        return F.transform(matches(GENERATORS[kind], GENERATORS_NEED[kind]), lambda span: candidate(span, KINDS.index(kind)))
+        return F.transform(matches(GENERATORS[kind], GENERATORS_NEED[kind]), lambda span: candidate(span, kind))
 
     proposed = [proposals(kind) for kind in GENERATORS]
     fold = F.pmod(F.xxhash64("text"), F.lit(2)).alias("fold")
@@ -233,23 +240,36 @@ def calibrated(kinds: np.ndarray, scores: np.ndarray, hits: np.ndarray, total: n
     return found
 
 
-def examples(spans: DataFrame) -> list:
+def examples(spans: DataFrame) -> DataFrame:
     """Counts of labelled candidates by features, kind and half of the documents."""
     each = spans.select("fold", F.explode("candidates").alias("c")).select("fold", "c.*").where("label is not null")
-    counted = each.groupBy("fold", "kind", *FEATURES).agg(F.sum("label").alias("hits"), F.count("*").alias("total"))
-    return counted.orderBy(F.desc("total"), "fold", "kind", *FEATURES).limit(MOST_VECTORS).collect()
+    each = each.where(~F.col("kind").isin([KINDS.index(kind) for kind in STANDS_FOR]))
+    return each.groupBy("fold", "kind", *FEATURES).agg(F.sum("label").alias("hits"), F.count("*").alias("total"))
+
+
+def score_of(trees: list[Tree], candidate: Column | None = None) -> Column:
+    """The score of a candidate, or of a row that has its features as columns."""
+    at = F.struct(*FEATURES) if candidate is None else candidate
+    return reduce(lambda a, b: a + b, [tree.column(at) for tree in trees], F.lit(0.0))
 
 
 def model(spans: DataFrame) -> tuple[list[Tree], dict[int, float]]:
-    """Trees and thresholds learned from all candidates."""
-    rows = examples(spans)
+    """Trees learned from the most frequent features, thresholds from all candidates."""
+    counted = staged(examples(spans), "examples")
+    rows = counted.where("fold = 0").orderBy(F.desc("total"), "kind", *FEATURES).limit(MOST_VECTORS).collect()
     x = np.array([[row[name] for name in FEATURES] for row in rows], float).reshape(-1, len(FEATURES))
-    hits, total = np.array([row.hits for row in rows], float), np.array([row.total for row in rows], float)
-    first = np.array([row.fold == 0 for row in rows], bool)
-    trees = boost(x[first], hits[first], total[first])
-    scores = sum((tree.values(x) for tree in trees), np.zeros(len(rows)))
-    kinds = np.array([row.kind for row in rows], int)
-    return trees, calibrated(kinds[~first], scores[~first], hits[~first], total[~first])
+    trees = boost(x, np.array([row.hits for row in rows], float), np.array([row.total for row in rows], float))
+    # Rounded, so that few scores are left, whatever the number of features.
+    scored = counted.where("fold = 1").select("kind", F.round(score_of(trees), 6).alias("score"), "hits", "total")
+    levels = scored.groupBy("kind", "score").agg(F.sum("hits").alias("hits"), F.sum("total").alias("total")).collect()
+    kinds, scores, hits, total = (np.array([row[i] for row in levels], kind) for i, kind in enumerate((int, float, float, float)))
+    least = calibrated(kinds, scores, hits, total)
+    pooled = calibrated(kinds * 0, scores, hits, total)
+    for kind, (meant, *_) in STANDS_FOR.items():
+        level = least.get(KINDS.index(meant), pooled.get(0))
+        if level is not None and trees:
+            least[KINDS.index(kind)] = level
+    return trees, least
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -261,13 +281,13 @@ def personal_data(docs: DataFrame) -> DataFrame:
     trees, least = model(spans)
 
     def scored(candidate: Column) -> Column:
-        score = reduce(lambda a, b: a + b, [tree.column(candidate) for tree in trees], F.lit(0.0))
+        score = F.round(score_of(trees, candidate), 6)
         wanted = F.lit(False)
         for kind, level in least.items():
             wanted = wanted | ((candidate["kind"] == kind) & (score >= level - 1e-9))
         length = candidate["stop"] - candidate["start"]
         return F.struct(
-            F.round(score, 6).alias("score"), length.alias("length"), (-candidate["start"]).alias("early"),
+            score.alias("score"), length.alias("length"), (-candidate["start"]).alias("early"),
             candidate["start"].alias("start"), candidate["kind"].alias("kind"), candidate["stop"].alias("stop"),
             ((candidate["label"] == 0) & wanted).alias("wanted"),
         )

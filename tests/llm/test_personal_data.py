@@ -85,6 +85,19 @@ def test_trees_learn_a_form_and_add_what_no_format_covers(spark, rows):
     assert all(found[1000 + i].n_email == 0 for i in range(5))
 
 
+def test_hidden_addresses_are_added(spark, rows):
+    prepare(spark)
+    random_ = random.Random(2)
+    docs = [(i, f"call {random_.randint(10, 99)} or write user{i}@mail{i % 7}.example.com today, at 10.{i} @ noon@x") for i in range(300)]
+    hidden = ["joe [at] example.com", "joe(at)example.com", "joe.doe { AT } mail.example.com"]
+    docs += [(1000 + i, f"write {text} today.") for i, text in enumerate(hidden)] + [(2000, "look (at) this"), (2001, "none")]
+    found = {row.doc_id: row for row in pii.personal_data(rows("doc_id bigint, text string", *docs)).collect()}
+    for i, text in enumerate(hidden):
+        assert (found[1000 + i].n_added, found[1000 + i].spans) == (1, f"hidden_email:6:{6 + len(text)}")
+        assert found[1000 + i].n_email == 0
+    assert found[2000].n_added == found[2001].n_added == 0
+
+
 def test_boosting_separates_and_thresholds_keep_precision():
     import numpy as np
 
