@@ -178,3 +178,14 @@ def test_stretches_are_the_best_and_then_the_best_on_either_side():
     for _ in range(60):
         same = source.random(source.integers(0, 50)) < source.choice([0.6, 0.8, 0.9])
         assert sum(b - a for a, b in passages.stretches(same)) == sum(b - a for a, b in slow(same, 0))
+
+
+@pytest.mark.parametrize("every", [8, 10])
+def test_passages_with_a_word_replaced_regularly(rows, every):
+    source, texts = random.Random(every), []
+    for _ in range(100):
+        passage = random_words(source, 60, 10 ** 6)
+        other = [f"other{i}" if i % every == every - 1 else word for i, word in enumerate(passage)]
+        texts += [" ".join(random_words(source, 20, 10 ** 6) + inner + random_words(source, 20, 10 ** 6)) for inner in (passage, other)]
+    found = passages.repeated_passages(rows("doc_id bigint, text string", *enumerate(texts))).collect()
+    assert {(row.doc_id, row.other_id) for row in found} == {(i + 1, i) for i in range(0, 200, 2)}
