@@ -7,10 +7,10 @@ first fifth of each, so the sparse matrix only holds those.
 
 1. In each row of the matrix, classes are compared with the row's first class.
    Those linked by exact comparison form the groups of similar documents.
-2. The matrix then keeps, for each token and group, one entry: the union of
-   the group's tokens. A query document and a group that share a token have
-   a bound on the overlap with any member, from the sizes and the places of
-   that token. Only groups that reach the bound are opened.
+2. The rows of the matrix then hold all members of the groups, and go to the
+   tasks whole. A query document and a group that share a token have a bound on
+   the overlap with any member, from the least and greatest sizes and places of
+   that token among the members. Only groups that reach the bound are opened.
 3. Members of opened groups are compared by folded bit sets, which bound the
    overlap too, in the same task; the few pairs left are compared exactly. A
    first pass takes the nearest member for each query only, so that groups
