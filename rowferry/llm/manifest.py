@@ -94,10 +94,10 @@ def way(node: Node, place: int, levels: int) -> list[tuple[bytes, bytes]]:
     return found[::-1]
 
 
-def levels_of(size: int) -> int:
-    """Levels above ``size`` nodes until one is left, at most those of a block."""
+def levels_of(size: int, most: int) -> int:
+    """Levels above ``size`` nodes until one is left, at most ``most``."""
     levels = 0
-    while levels < BLOCK_LEVELS and FAN_OUT ** levels < size:
+    while levels < most and FAN_OUT ** levels < size:
         levels += 1
     return levels
 
@@ -141,45 +141,45 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return joined.select(*rows.columns, (F.col("at") - F.col("first") + F.col("start")).alias("place"), "total")
 
 
-def by_block(nodes: DataFrame) -> DataFrame:
+def by_block(nodes: DataFrame, block: int) -> DataFrame:
     """``nodes`` with the number of their ``block`` and their place in it."""
-    size = F.lit(FAN_OUT ** BLOCK_LEVELS)
+    size = F.lit(FAN_OUT ** block)
     return nodes.withColumn("block", F.floor(F.col("place") / size)).withColumn("place", (F.col("place") % size).cast("int"))
 
 
-def _tree(part: pa.Table) -> tuple[pa.Table, Node, int]:
+def _tree(part: pa.Table, block: int) -> tuple[pa.Table, Node, int]:
     """The rows of a block in order, their tree and its levels."""
     part = part.sort_by("place")
-    levels = levels_of(part["total"][0].as_py())
+    levels = levels_of(part["total"][0].as_py(), block)
     return part, grow([own.hex().encode() for own in part["own"].to_pylist()], levels), levels
 
 
-def tops(nodes: DataFrame) -> DataFrame:
+def tops(nodes: DataFrame, block: int) -> DataFrame:
     """``tree, place, own, total``: the top node of each block of ``nodes``, as nodes of the next pass."""
     def top(part: pa.Table) -> pa.Table:
-        _, tree, _ = _tree(part)
-        total = -(-part["total"][0].as_py() // FAN_OUT ** BLOCK_LEVELS)
+        _, tree, _ = _tree(part, block)
+        total = -(-part["total"][0].as_py() // FAN_OUT ** block)
         return pa.table({
             "tree": part["tree"][:1], "place": part["block"][:1],
             "own": pa.array([bytes.fromhex(tree.digest.decode())], pa.binary()), "total": pa.array([total], pa.int64()),
         })
 
-    blocks = by_block(nodes.select("tree", "place", "own", "total")).groupBy("tree", "block")
+    blocks = by_block(nodes.select("tree", "place", "own", "total"), block).groupBy("tree", "block")
     return blocks.applyInArrow(top, "tree string, place bigint, own binary, total bigint")
 
 
-def passes(nodes: DataFrame) -> list[DataFrame]:
+def passes(nodes: DataFrame, block: int) -> list[DataFrame]:
     """``nodes`` and the tops of their blocks, pass after pass, until each tree has one node."""
     found = [nodes]
     while not found[-1].where("total > 1").isEmpty():
-        found.append(staged(tops(found[-1]), "manifest-tops"))
+        found.append(staged(tops(found[-1], block), "manifest-tops"))
     return found
 
 
-def _ways(part: pa.Table, above: pa.Table) -> Iterator[tuple[int, Node, int, list[tuple[bytes, bytes]]]]:
+def _ways(part: pa.Table, above: pa.Table, block: int) -> Iterator[tuple[int, Node, int, list[tuple[bytes, bytes]]]]:
     """For each row of a block: its place, the tree, its levels, and the way to the root, through the way above."""
     on = [(step["before"], step["after"]) for step in above["way"][0].as_py()]
-    _, tree, levels = _tree(part)
+    _, tree, levels = _tree(part, block)
     for place in range(part.num_rows):
         yield place, tree, levels, way(tree, place, levels) + on
 
@@ -188,18 +188,18 @@ def _repeated(part: pa.Table, name: str, rows: int) -> pa.Array:
     return pa.array(part[name][:1].to_pylist() * rows, pa.binary())
 
 
-def ways_below(nodes: DataFrame, above: DataFrame) -> DataFrame:
+def ways_below(nodes: DataFrame, above: DataFrame, block: int) -> DataFrame:
     """``nodes`` as ``tree, place, way, subroot, root``, from the ways of their blocks."""
     def ways(part: pa.Table, way_above: pa.Table) -> pa.Table:
-        found = [[{"before": b, "after": a} for b, a in steps] for _, _, _, steps in _ways(part, way_above)]
-        first = part["block"][0].as_py() * FAN_OUT ** BLOCK_LEVELS
+        found = [[{"before": b, "after": a} for b, a in steps] for _, _, _, steps in _ways(part, way_above, block)]
+        first = part["block"][0].as_py() * FAN_OUT ** block
         return pa.table({
             "tree": part["tree"], "place": pa.array(range(first, first + part.num_rows), pa.int64()),
             "way": pa.array(found, pa.list_(pa.struct([("before", pa.binary()), ("after", pa.binary())]))),
             "subroot": _repeated(way_above, "subroot", part.num_rows), "root": _repeated(way_above, "root", part.num_rows),
         })
 
-    blocks = by_block(nodes.select("tree", "place", "own", "total")).groupBy("tree", "block")
+    blocks = by_block(nodes.select("tree", "place", "own", "total"), block).groupBy("tree", "block")
     return blocks.cogroup(above.groupBy("tree", "place")).applyInArrow(ways, f"tree string, place bigint, {_ABOVE}")
 
 
@@ -208,40 +208,43 @@ def folded(own: bytes, steps: list[tuple[bytes, bytes]]) -> bytes:
     return reduce(lambda below, step: digest(step[0], below, step[1]), steps, own)
 
 
-def ways_to_root(subroots: DataFrame) -> DataFrame:
+def ways_to_root(subroots: DataFrame, block: int) -> DataFrame:
     """``tree, place, way, subroot, root``: the way from the subroot of each language to the root."""
     over = subroots.select(F.lit("").alias("tree"), F.col("tree").alias("lang_key"), "own")
     over = numbered(over, ["lang_key"])
-    levels = passes(over)
+    levels = passes(over, block)
     no_way = F.array().cast(_WAY).alias("way")
     ways = levels[-1].select("tree", "place", no_way, F.col("own").alias("subroot"), F.col("own").alias("root"))
     for nodes in levels[-2::-1]:
-        ways = ways_below(nodes, ways)
+        ways = ways_below(nodes, ways, block)
     found = over.join(ways.select("place", "way", "root"), "place")
     return staged(found.select(
         F.col("lang_key").alias("tree"), F.lit(0).cast("bigint").alias("place"), "way", F.col("own").alias("subroot"), "root",
     ), "manifest-subroots")
 
 
-def manifest(docs: DataFrame) -> DataFrame:
-    """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` of every row."""
+def manifest(docs: DataFrame, block: int = BLOCK_LEVELS) -> DataFrame:
+    """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` of every row.
+
+    ``block`` is how many levels of a tree one task builds; any number gives the same rows.
+    """
     docs = only(docs, *FIELDS)
     rows = numbered(leaves(docs), ["doc_id", "own"])
-    levels = passes(rows)
-    ways = ways_to_root(levels[-1])
+    levels = passes(rows, block)
+    ways = ways_to_root(levels[-1], block)
     for nodes in levels[-2:0:-1]:
-        ways = staged(ways_below(nodes, ways), "manifest-ways")
-    return versions(rows, ways)
+        ways = staged(ways_below(nodes, ways, block), "manifest-ways")
+    return versions(rows, ways, block)
 
 
-def versions(rows: DataFrame, above: DataFrame) -> DataFrame:
+def versions(rows: DataFrame, above: DataFrame, block: int) -> DataFrame:
     """The rows of the manifest: each leaf with its proof and the root of its own version."""
     def made(part: pa.Table, way_above: pa.Table) -> pa.Table:
         ordered = part.sort_by("place")
         owns, others = ordered["own"].to_pylist(), ordered["other"].to_pylist()
         subroot, root = (way_above[name][0].as_py().hex() for name in ("subroot", "root"))
         proofs, roots = [], []
-        for place, tree, levels, steps in _ways(part, way_above):
+        for place, tree, levels, steps in _ways(part, way_above, block):
             version = tree if others[place] is None else changed(tree, place, levels, others[place].hex().encode())
             proofs.append(digest(*[side for step in steps for side in step]).decode())
             roots.append(folded(version.digest, steps[levels:]).decode())
@@ -254,7 +257,7 @@ def versions(rows: DataFrame, above: DataFrame) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = "leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
-    blocks = by_block(rows).groupBy("tree", "block")
+    blocks = by_block(rows, block).groupBy("tree", "block")
     return blocks.cogroup(above.groupBy("tree", "place")).applyInArrow(made, f"doc_id {kind}, {names}")
 
 

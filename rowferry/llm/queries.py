@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from rowferry.llm import (  # noqa: F401
-    bpe, decontaminate, fuzzy_lines, html_text, jaccard_groups, manifest, passages, personal_data, quality, records,
-    vector_graphs, whitening,
+    bpe, decontaminate, fuzzy_lines, html_text, jaccard_groups, manifest, ngram_model, passages, personal_data, quality,
+    records, vector_graphs, whitening,
 )
 from rowferry.llm.common import ORACLES, QUERIES, Query
 
