@@ -51,6 +51,7 @@ PRIOR = 200.0
 SHARD_TOKENS = 2_000_000
 SLICE_BYTES = 96 << 20
 SLICE_WORDS = 4_000_000
+FETCHES = 8
 
 START, END = np.uint64(0x5B8D3C9F1A7E2460), np.uint64(0xC3A1F0E5D7926B48)
 _PAIR = np.uint64(0xA24BAED4963EE407)
@@ -170,15 +171,17 @@ class Slice:
 
     @classmethod
     def read(cls, made: DataFrame, shards: int, first: int, last: int) -> Slice:
-        """Collects the named segments; the caller bounds their size."""
-        rows = made.where((F.col("shard") >= first) & (F.col("shard") < last)).orderBy("shard").collect()
-        bits, sizes = np.ones(last - first, np.uint64), np.ones(last - first, np.int64)
-        parts = [b"\0"] * (last - first)  # a shard without items
-        for row in rows:
-            at = row.shard - first
-            bits[at], sizes[at], parts[at] = row.bits, len(row.data), bytes(row.data)
-        offsets = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.uint64)
-        return cls(shards, first, last, bits, offsets, np.frombuffer(b"".join(parts), np.uint8))
+        """Fetches the named segments, a partition at a time, into one array; the caller bounds their size."""
+        own = made.where((F.col("shard") >= first) & (F.col("shard") < last))
+        bits, sizes = np.ones(last - first, np.uint64), np.ones(last - first, np.int64)  # a shard without items has one byte
+        for row in own.select("shard", "bits", F.octet_length("data").alias("size")).collect():
+            bits[row.shard - first], sizes[row.shard - first] = row.bits, row.size
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        data = np.zeros(offsets[-1], np.uint8)
+        for row in own.select("shard", "data").toLocalIterator():
+            at = int(offsets[row.shard - first])
+            data[at:at + len(row.data)] = np.frombuffer(row.data, np.uint8)
+        return cls(shards, first, last, bits, offsets[:-1].astype(np.uint64), data)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         """Which hashes are asked for here."""
@@ -266,11 +269,13 @@ def _shards_a_slice(pairs: DataFrame) -> int:
 
 
 def _known(words: DataFrame, number: int, slices: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of one slice of the exact counts, ascending, and their counts."""
-    own = words.where(F.shiftrightunsigned("hash", 1) % slices == number).toArrow()
-    hashes = own["hash"].to_numpy().view(np.uint64)
+    """Hashes of one slice of the exact counts, ascending, and their counts; fetched in ``FETCHES`` parts."""
+    place = F.shiftrightunsigned("hash", 1) % (slices * FETCHES)
+    parts = [words.where(place == number + slices * part).toArrow() for part in range(FETCHES)]
+    hashes = np.concatenate([part["hash"].to_numpy().view(np.uint64) for part in parts])
+    amounts = np.concatenate([part["n"].to_numpy() for part in parts])
     order = np.argsort(hashes)
-    return hashes[order], own["n"].to_numpy()[order]
+    return hashes[order], amounts[order]
 
 
 def partial_scores(docs: DataFrame, counts: Counts, singles: Slice, known: tuple, pair_slice: Slice | None, number: int, slices: int) -> DataFrame:
@@ -333,6 +338,7 @@ def scores(docs: DataFrame) -> DataFrame:
             pairs = Slice.read(counts.pairs, counts.shards, number * step, min(counts.shards, (number + 1) * step))
         part = partial_scores(docs, counts, singles, known, pairs, number, word_slices)
         parts = part if parts is None else parts.unionAll(part)
+        del known, pairs  # before the next slice is fetched
     # Each pass has each row once, so rows that repeat id and text are so many times the passes.
     copies = F.count("*") / passes
     whole = parts.groupBy("doc_id", "text_hash").agg(
