@@ -16,6 +16,7 @@ from rowferry.operators import cdc, payloads, routing
 from rowferry.operators.routing import TARGET, Rule
 from rowferry.session import staging_path
 from rowferry.sinks import files, plugin, tables
+from rowferry.sinks.keyed import KeyedTable
 from rowferry.sources import broker
 from rowferry.sources.changes import snapshot_plus_changes
 from rowferry.sources.tables import read_table
@@ -248,6 +249,51 @@ def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(cdc.merge(read_table(spark, table), fx.changes(spark, sf), ["id"], ["lsn"]))
 
 
+def _keyed(spark: SparkSession, sf: str, folders: int = 16) -> KeyedTable:
+    """A keyed table that holds the customers, in no known order."""
+    target = fx.change_target(spark, sf)
+    keyed = KeyedTable(f"rowferry_keyed_{uuid.uuid4().hex}", staging_path(spark, "keyed"), ["id"], ["lsn"], folders)
+    keyed.create(spark, target.schema, fx.changes(spark, sf).schema)
+    keyed.load(target, "load")
+    return keyed
+
+
+@check("merge_late_changes", _MERGED_SQL)
+def merge_late_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The newer half of the changes first, then the older half, then the newer half again."""
+    keyed, changes = _keyed(spark, sf), fx.changes(spark, sf)
+    middle = changes.approxQuantile("lsn", [0.5], 0.1)[0]
+    for step, half in enumerate(["lsn >= {}", "lsn < {}", "lsn >= {}"]):
+        keyed.merge(changes.where(half.format(middle)), f"step-{step}")
+    return _readable(keyed.rows(spark))
+
+
+@check("merge_late_delete", f"""
+{_LATEST_SQL}, n AS (SELECT id, op = 'd' AS gone, lsn FROM r WHERE rn = 1)
+SELECT coalesce(n.id, c_custkey) AS id, coalesce(gone, false) AS gone, lsn FROM customer FULL OUTER JOIN n ON n.id = c_custkey""")
+def merge_late_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """Deletes first, then everything older: a deleted key stays a tombstone until a newer change comes."""
+    keyed, changes = _keyed(spark, sf), fx.changes(spark, sf)
+    keyed.merge(changes.where("op = 'd'"), "deletes")
+    keyed.merge(changes.where("op <> 'd'"), "others", few=True)
+    return keyed.state(spark).select("id", F.col("_gone").alias("gone"), "_order.lsn")
+
+
+@check("merge_touched_folders", f"""
+WITH d AS ({CHANGES_SQL}), r AS (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY lsn DESC) AS rn FROM d WHERE id = (SELECT min(id) FROM d)),
+n AS (SELECT * FROM r WHERE rn = 1),
+t AS (SELECT c_custkey AS id, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM customer)
+SELECT coalesce(n.id, t.id) AS id, CASE WHEN n.id IS NOT NULL THEN n.amount ELSE t.amount END AS amount
+FROM t FULL OUTER JOIN n ON t.id = n.id WHERE n.op IS NULL OR n.op <> 'd'""")
+def merge_touched_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of one key write one folder; the others stay as they were loaded."""
+    keyed, changes = _keyed(spark, sf), fx.changes(spark, sf)
+    one = changes.join(changes.agg(F.min("id").alias("id")), "id", "left_semi")
+    keyed.merge(one, "one-key")
+    return _readable(keyed.rows(spark))
+
+
 @check("upsert_result", f"""
 WITH d AS ({CHANGES_SQL}), u AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lsn DESC) AS rn FROM d WHERE op <> 'd'),
 n AS (SELECT * FROM u WHERE rn = 1),

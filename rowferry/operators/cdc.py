@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,7 @@ from rowferry.functions.records import name
 from rowferry.session import stage
 from rowferry.sources.changes import DELETE, UPDATE
 
-GONE = "_gone"
+GONE, GONE_AT, ORDER = "_gone", "_gone_at", "_order"
 
 _FIXED_WIDTH = (
     T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -60,6 +62,10 @@ def _newest_state(target: DataFrame, changes: DataFrame, keys: list[str], order:
 def merge(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str], op: str = "op") -> DataFrame:
     """The target after all changes: matched rows updated, new ones added, deleted ones gone.
 
+    The changes are compared with each other, not with those applied before;
+    :func:`merge_state` and keyed tables also refuse late ones. Keys and orders
+    are not null (see :func:`unplaced`).
+
     One full outer join on the keys. A target bucketed by its keys is not
     shuffled. Applying the same changes twice gives the same rows. Write the
     result beside the target, never over it.
@@ -92,6 +98,69 @@ def merge_few(target: DataFrame, changes: DataFrame, keys: list[str], order: lis
     return kept.unionByName(added).select(*[name(c) for c in target.columns])
 
 
+def unplaced(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Changes that no merge can place, since a key or an order is null."""
+    return changes.where(_any_null([*keys, *order]))
+
+
+def _any_null(columns: list[str]) -> Column:
+    return reduce(Column.__or__, [name(c).isNull() for c in columns])
+
+
+def newest_changes(changes: DataFrame, keys: list[str], order: list[str], op: str = "op") -> DataFrame:
+    """The newest change per key with its order in ``_order`` and whether it was a delete in ``_gone``.
+
+    Order columns that are no keys leave the row unless ``_order`` is read.
+    """
+    placed = changes.where(~_any_null([*keys, *order]))
+    gone = (F.col(op) == DELETE) if op in changes.columns else F.lit(False)
+    ordered = placed.withColumns({ORDER: F.struct(*[name(c).alias(c) for c in order]), GONE: F.coalesce(gone, F.lit(False))})
+    return latest(ordered.drop(op) if op in changes.columns else ordered, keys, [ORDER])
+
+
+def merge_state(state: DataFrame, newest: DataFrame, keys: list[str], at: Column, few: bool = False) -> DataFrame:
+    """``state`` after the newest change of each key, where that is newer than the row it finds.
+
+    A state row has an ``_order``, null where it is unknown, and is a tombstone
+    with ``_gone`` since ``_gone_at``; only live rows have values. The result
+    holds either the old or the new form of a key, so it may come in any
+    order, and again. With ``few`` changes the state is read twice, once its
+    keys only, and is not shuffled as long as the changes are small enough for
+    a broadcast.
+    """
+    values = [c for c in state.columns if c not in [*keys, ORDER, GONE, GONE_AT]]
+    carried = [*values, ORDER, GONE]
+    kind = {c: state.schema[c].dataType for c in carried}
+    new = newest.select(
+        *[name(k) for k in keys], *[_live(c, values).cast(kind[c]).alias(f"_new_{c}") for c in carried], F.lit(True).alias("_new"),
+    )
+    wins = F.col("_new") & (F.col(ORDER).isNull() | (F.col(f"_new_{ORDER}") > F.col(ORDER)))
+    since = F.when(F.col(f"_new_{GONE}"), at)
+
+    def chosen(joined: DataFrame, won: Column) -> DataFrame:
+        return joined.select(
+            *[name(k) for k in keys], *[F.when(won, name(f"_new_{c}")).otherwise(name(c)).alias(c) for c in carried],
+            F.when(won, since).otherwise(F.col(GONE_AT)).alias(GONE_AT),
+        )
+
+    if not few:
+        joined = state.select(*[name(k) for k in keys], *[name(c) for c in carried], GONE_AT, F.lit(True).alias("_old")).join(new, keys, "full_outer")
+        merged = chosen(joined, F.col("_old").isNull() | F.coalesce(wins, F.lit(False)))
+    else:
+        kept = chosen(state.join(new, keys, "left"), F.coalesce(wins, F.lit(False)))
+        hits = state.select(*[name(k) for k in keys]).join(newest.select(*[name(k) for k in keys]), keys, "left_semi")
+        added = newest.join(hits, keys, "left_anti").select(
+            *[name(k) for k in keys], *[_live(c, values).cast(kind[c]).alias(c) for c in carried], F.when(F.col(GONE), at).alias(GONE_AT),
+        )
+        merged = kept.unionByName(added)
+    return merged.select(*[name(c) for c in state.columns])
+
+
+def _live(column: str, values: list[str]) -> Column:
+    """A value of a change, null in a tombstone."""
+    return F.when(~F.col(GONE), name(column)) if column in values else name(column)
+
+
 def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Insert, update and delete by a change feed with an ``op`` column."""
     return merge(target, changes, keys, order)

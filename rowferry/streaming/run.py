@@ -30,7 +30,8 @@ from rowferry.plans.assemble import declared_schema, mark, outcome
 from rowferry.schemas import LONG, TEXT, fields
 from rowferry.session import one_row
 from rowferry.sinks import files as file_sinks
-from rowferry.sinks import jdbc, tables
+from rowferry.sinks import jdbc, tables, versions
+from rowferry.sinks.keyed import KeyedTable
 from rowferry.sources import broker, files, lines
 from rowferry.streaming import ledger, limits
 
@@ -91,12 +92,21 @@ def _table(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
 
 
 def _merge(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
-    """Changes into a catalogue table by key; a repeated batch changes nothing."""
-    table, path, keys = sink.require("table_name"), sink.require("path"), _names(sink.require("upsert_keys"))
-    order = _names(sink.require("order_by"))
-    columns = df.drop("op") if sink.get("keep_order", False) else df.drop("op", *order)
-    tables.create_target(columns, table, f"{path}/start")
-    tables.merge_into(df, table, path, keys, order, _step(job, batch_id), few=bool(sink.get("few_changes", False)))
+    """Changes into a keyed table; neither a repeated batch nor a late change undoes a newer one.
+
+    A table that exists and is no keyed table is merged as a whole, without
+    memory of the order.
+    """
+    table, path, step = sink.require("table_name"), sink.require("path"), _step(job, batch_id)
+    keys, order, few = _names(sink.require("upsert_keys")), _names(sink.require("order_by")), bool(sink.get("few_changes", False))
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table) and versions.current(spark, table) is None:
+        tables.merge_into(df, table, path, keys, order, step, few)
+        return
+    keyed = KeyedTable(table, path, keys, order, int(sink.get("folders", 64)), sink.get("tombstone_retention"))
+    columns = df.drop("op") if sink.get("keep_order", False) else df.drop("op", *[c for c in order if c not in keys])
+    keyed.create(spark, columns.schema, df.schema)
+    keyed.merge(df, step, few=few)
 
 
 def _routed(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:

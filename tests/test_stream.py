@@ -10,7 +10,8 @@ from rowferry.config import job_from_dict
 from rowferry.errors import ConfigError
 from rowferry.operators import deadletter, monitoring
 from rowferry.schemas import LONG, fields
-from rowferry.sinks import tables
+from rowferry.sinks import tables, versions
+from rowferry.sinks.keyed import KeyedTable
 from rowferry.streaming import ledger, limits
 from rowferry.streaming.run import finish, open_source, run_history, run_metrics, run_pipeline
 
@@ -204,11 +205,34 @@ def test_changes_merge_into_a_table(spark, place):
     place.drop({"id": 2, "op": "d", "lsn": 4}, {"id": 3, "op": "c", "amount": 8, "lsn": 5})
     place.run(spark, job)
     assert sorted(tuple(r) for r in spark.table("stream_merge").collect()) == [(1, 7), (3, 8)]
-    before = tables.location(spark, "stream_merge")
+    version = versions.current(spark, "stream_merge")
+    keyed = KeyedTable("stream_merge", place.path("out"), ["id"], ["lsn"])
     feed = spark.createDataFrame([(1, "d", None, 9)], "id BIGINT, op STRING, amount INT, lsn BIGINT")
-    step = before.split("/out/")[1]
-    tables.merge_into(feed, "stream_merge", place.path("out"), ["id"], ["lsn"], step)
-    assert tables.location(spark, "stream_merge") == before and spark.table("stream_merge").count() == 2
+    keyed.merge(feed, version.step)
+    assert versions.current(spark, "stream_merge") == version and spark.table("stream_merge").count() == 2
+
+
+def test_late_changes_of_another_batch_do_not_win(spark, place):
+    job = place.job(
+        schema={"ddl": "id BIGINT NOT NULL, op STRING NOT NULL, amount INT, lsn BIGINT NOT NULL"},
+        sink={"type": "merge", "properties": {"table": "stream_late", "path": place.path("out"), "upsert_keys": "id", "order_by": "lsn", "folders": 4}},
+    )
+    place.drop({"id": 1, "op": "u", "amount": 7, "lsn": 10}, {"id": 2, "op": "d", "lsn": 10}, {"id": 3, "op": "c", "amount": 1, "lsn": 1})
+    place.run(spark, job)
+    place.drop({"id": 1, "op": "u", "amount": 5, "lsn": 5}, {"id": 2, "op": "u", "amount": 5, "lsn": 5}, {"id": 3, "op": "u", "amount": 2, "lsn": 2})
+    place.run(spark, job)
+    assert sorted(tuple(r) for r in spark.table("stream_late").collect()) == [(1, 7), (3, 2)]
+
+
+def test_a_plain_table_is_still_merged(spark, place):
+    spark.createDataFrame([(1, 1), (2, 2)], "id BIGINT, amount INT").write.option("path", place.path("plain")).saveAsTable("stream_plain")
+    job = place.job(
+        schema={"ddl": "id BIGINT NOT NULL, op STRING NOT NULL, amount INT, lsn BIGINT NOT NULL"},
+        sink={"type": "merge", "properties": {"table": "stream_plain", "path": place.path("out"), "upsert_keys": "id", "order_by": "lsn"}},
+    )
+    place.drop({"id": 1, "op": "u", "amount": 7, "lsn": 10}, {"id": 2, "op": "d", "lsn": 10})
+    place.run(spark, job)
+    assert [tuple(r) for r in spark.table("stream_plain").collect()] == [(1, 7)]
 
 
 def other_state(place, spark, job):
