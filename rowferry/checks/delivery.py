@@ -16,6 +16,7 @@ from rowferry.operators import cdc, payloads, routing
 from rowferry.operators.routing import TARGET, Rule
 from rowferry.session import staging_path
 from rowferry.sinks import files, plugin, tables
+from rowferry.sinks.appends import AppendTable
 from rowferry.sinks.keyed import KeyedTable
 from rowferry.sources import broker
 from rowferry.sources.changes import snapshot_plus_changes
@@ -249,6 +250,19 @@ def merge_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(cdc.merge(read_table(spark, table), fx.changes(spark, sf), ["id"], ["lsn"]))
 
 
+@check("table_sink_repeat", "SELECT event_id, user_id, event_type, value FROM events")
+def table_sink_repeat(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches into an append table, each delivered twice, the second with a column more."""
+    events = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    table = AppendTable(f"rowferry_append_{uuid.uuid4().hex}", staging_path(spark, "append"))
+    table.create(spark, events.drop("value").schema)
+    for number in range(3):
+        part = events.where(F.col("event_id") % 3 == number)
+        for _ in range(2):
+            table.append(part, f"batch-{number}", widen=True)
+    return spark.table(table.table)
+
+
 def _keyed(spark: SparkSession, sf: str, folders: int = 16) -> KeyedTable:
     """A keyed table that holds the customers, in no known order."""
     target = fx.change_target(spark, sf)

@@ -19,13 +19,19 @@ LEDGER = T.StructType([
 ])
 
 
+def _entry(path: str, run_id: str, batch_id: int) -> str:
+    """A folder for each entry, so that looking one up reads no other."""
+    return f"{path}/{run_id}/{batch_id}"
+
+
 def finished_batches(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    return spark.read.schema(LEDGER).parquet(path).where(F.col("run_id") == run_id)
+    found = spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(path)
+    return found.where(F.col("run_id") == run_id)
 
 
 def is_finished(spark: SparkSession, path: str, run_id: str, batch_id: int) -> bool:
     try:
-        return not finished_batches(spark, path, run_id).where(F.col("batch_id") == batch_id).isEmpty()
+        return not spark.read.schema(LEDGER).parquet(_entry(path, run_id, batch_id)).isEmpty()
     except AnalysisException as absent:
         if absent.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -42,5 +48,5 @@ def once(df: DataFrame, path: str, run_id: str, batch_id: int, at: datetime, wri
     if is_finished(spark, path, run_id, batch_id):
         return False
     write(df)
-    one_row(spark, LEDGER, run_id, batch_id, at).write.mode("append").parquet(path)
+    one_row(spark, LEDGER, run_id, batch_id, at).coalesce(1).write.mode("overwrite").parquet(_entry(path, run_id, batch_id))
     return True

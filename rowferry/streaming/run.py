@@ -31,12 +31,14 @@ from rowferry.schemas import LONG, TEXT, fields
 from rowferry.session import one_row
 from rowferry.sinks import files as file_sinks
 from rowferry.sinks import jdbc, tables, versions
+from rowferry.sinks.appends import AppendTable
 from rowferry.sinks.keyed import KeyedTable
 from rowferry.sources import broker, files, lines
 from rowferry.streaming import ledger, limits
 
 HISTORY = fields(pipeline_id=TEXT, seq=LONG, status=TEXT)
 RUN = fields(run_id=TEXT)
+_BATCH_AT = "_rowferry_batch_at"
 
 
 def open_source(spark: SparkSession, job: Job, stream: bool = True, once: bool = False) -> DataFrame:
@@ -82,10 +84,17 @@ def _files(fmt: str, df: DataFrame, sink: Connector, job: Job, batch_id: int) ->
 
 
 def _table(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
-    table = sink.require("table_name")
-    if sink.get("create_table_if_not_exists", False):
-        tables.create_target(df, table, sink.require("path"))
-    if job.schema is not None and job.schema.drift_policy == "alter_table":
+    """Append to a catalogue table: exactly once where this sink made it, else at least once."""
+    spark, table = df.sparkSession, sink.require("table_name")
+    widen = job.schema is not None and job.schema.drift_policy == "alter_table"
+    if sink.get("create_table_if_not_exists", False) or sink.get("path"):
+        appended = AppendTable(table, sink.require("path"))
+        if not spark.catalog.tableExists(table):
+            appended.create(spark, df.schema)
+        if appended.exists(spark):
+            appended.append(df, _step(job, batch_id), widen)
+            return
+    if widen:
         tables.append_widening(df, table)
     else:
         df.write.insertInto(table)
@@ -151,7 +160,9 @@ def _names(listed: str | list[str]) -> list[str]:
 
 
 def _format(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
-    df.write.format(sink.require("format")).mode("append").options(**sink.get("options", {})).save()
+    """A user-written sink; it is told the batch, so that it can tell a repeat."""
+    told = {"run_id": job.run_id, "batch_id": str(batch_id)}
+    df.write.format(sink.require("format")).mode("append").options(**told, **sink.get("options", {})).save()
 
 
 def _console(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
@@ -193,7 +204,9 @@ def run_pipeline(
     With ``once`` the query drains what the source holds and ends. Each
     micro-batch is read once, held, split, written, counted and then entered in
     the ledger; the checkpoint moves on after that. ``at`` fixes the batch time
-    (tests); otherwise it is the time the batch starts.
+    (tests); otherwise it is the time in the stream's own log, which a repeat
+    of the batch has again, so dead letters of a repeat replace the first ones
+    even after midnight.
     """
     if not job.enabled:
         return None
@@ -207,14 +220,14 @@ def run_pipeline(
     record_state(spark, state, job.pipeline_id, "starting")
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        started = at or datetime.now(timezone.utc).replace(tzinfo=None)
+        started, df = at or _logged_time(df), df.drop(_BATCH_AT)
         ledger.once(
             df, f"{state}/ledger", run_id, batch_id, started,
             lambda rows: process_batch(rows, job, batch_id, started, write, state, schema, extra),
         )
 
     query = (
-        open_source(spark, job, once=once)
+        open_source(spark, job, once=once).withColumn(_BATCH_AT, F.current_timestamp())
         .writeStream.queryName(job.pipeline_id)
         .option("checkpointLocation", f"{state}/checkpoint")
         .trigger(**limits.writer_trigger(job, once))
@@ -225,6 +238,14 @@ def run_pipeline(
     return query
 
 
+def _logged_time(df: DataFrame) -> datetime:
+    """When the stream planned this micro-batch; now for an empty one."""
+    first = df.select(F.unix_micros(_BATCH_AT)).first()
+    if first is None:
+        return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.fromtimestamp(first[0] / 1_000_000, timezone.utc).replace(tzinfo=None)
+
+
 def run_identity(spark: SparkSession, state: str) -> str:
     """The id of the run that ``state`` belongs to: new with the folder, kept as long as it.
 
@@ -290,7 +311,7 @@ def process_batch(
         if not seen["records_consumed"]:
             return
         if seen["records_dlq"]:
-            record_drift(held, job, state, at)
+            record_drift(held, job, state, batch_id, at)
             if not (job.flags.enable_dlq and job.dlq.storage_uri):
                 raise TransformError(f"{seen['records_dlq']} records refused, and no dead-letter store is declared")
         good, bad = outcome(held, job, at)
@@ -307,7 +328,7 @@ def process_batch(
     archive(counters, f"{state}/metrics", at)
     raised = alerts(counters, DEFAULT_RULES, at)
     if not raised.isEmpty():
-        raised.write.mode("append").parquet(f"{state}/alerts")
+        _write_state(raised, state, "alerts", job, batch_id)
 
 
 ALERT = T.StructType([
@@ -328,19 +349,23 @@ def _lag(at: datetime, newest_micros: int | None) -> int | None:
     return int(at.replace(tzinfo=timezone.utc).timestamp() - newest_micros / 1_000_000)
 
 
-def record_drift(held: DataFrame, job: Job, state: str, at: datetime) -> None:
-    """Append the drift of this batch to the history; under the halt policy, alert and stop."""
+def _write_state(df: DataFrame, state: str, kind: str, job: Job, batch_id: int) -> None:
+    """Rows about one micro-batch; a repeat replaces them."""
+    df.write.mode("overwrite").parquet(f"{state}/{kind}/{_step(job, batch_id)}")
+
+
+def record_drift(held: DataFrame, job: Job, state: str, batch_id: int, at: datetime) -> None:
+    """Add the drift of this batch to the history; under the halt policy, alert and stop."""
     spark = held.sparkSession
     found = contract.drift_of_errors(held)
     dated = found.select(F.lit(job.pipeline_id).alias("pipeline_id"), instant(at).alias("at"), "*")
-    dated.write.mode("append").parquet(f"{state}/drift")
+    _write_state(dated, state, "drift", job, batch_id)
     if job.schema is None or job.schema.drift_policy != "halt":
         return
     first = found.orderBy("change", "field").first()
     if first is not None:
         message = f"{first.change}:{first.field} in {first.n} records"
-        one_row(spark, ALERT, job.pipeline_id, "critical", "schema_drift", message, at).write.mode("append").parquet(
-            f"{state}/alerts")
+        _write_state(one_row(spark, ALERT, job.pipeline_id, "critical", "schema_drift", message, at), state, "alerts", job, batch_id)
         raise SchemaDriftError(message)
 
 

@@ -11,8 +11,9 @@ from rowferry.errors import ConfigError
 from rowferry.operators import deadletter, monitoring
 from rowferry.schemas import LONG, fields
 from rowferry.sinks import tables, versions
+from rowferry.sinks.appends import AppendTable
 from rowferry.sinks.keyed import KeyedTable
-from rowferry.streaming import ledger, limits
+from rowferry.streaming import ledger, limits, run
 from rowferry.streaming.run import finish, open_source, run_history, run_metrics, run_pipeline
 
 AT = datetime(2024, 2, 1)
@@ -155,6 +156,86 @@ def test_drift_widens_the_table(spark, place):
     assert sorted(tuple(r) for r in spark.table("stream_widen").select("id", "v", "extra").collect()) == [(1, "a", None), (2, "b", 7), (3, "c", None)]
 
 
+def crash_once(monkeypatch, module, label, before=False):
+    """Let a function of the run fail on its first call, after its work or before it."""
+    real, calls = getattr(module, label), []
+
+    def flaky(*args, **more):
+        calls.append(1)
+        if len(calls) == 1 and before:
+            raise OSError("lost")
+        result = real(*args, **more)
+        if len(calls) == 1:
+            raise OSError("lost")
+        return result
+
+    monkeypatch.setattr(module, label, flaky)
+
+
+@pytest.mark.parametrize("where", ["published", "written"])
+def test_an_append_table_takes_a_batch_once(spark, place, monkeypatch, where):
+    """The first attempt ends after the table shows its rows, or before it does."""
+    table = f"stream_once_{where}"
+    job = place.job(sink={"type": "table", "properties": {"table": table, "path": place.path("out"), "create_table_if_not_exists": True}})
+    place.drop({"id": 1, "v": "a"}, {"id": 2, "v": "b"})
+    if where == "published":
+        crash_once(monkeypatch, run, "archive")
+    else:
+        crash_once(monkeypatch, AppendTable, "has", before=True)
+    with pytest.raises(StreamingQueryException):
+        place.run(spark, job)
+    place.run(spark, job)
+    place.drop({"id": 3, "v": "c"})
+    place.run(spark, job)
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_a_plain_table_is_appended_to(spark, place):
+    spark.createDataFrame([(1, "a")], "id BIGINT, v STRING").write.option("path", place.path("plain")).saveAsTable("stream_plain_append")
+    place.drop({"id": 2, "v": "b"})
+    place.run(spark, place.job(sink={"type": "table", "properties": {"table": "stream_plain_append", "path": place.path("out")}}))
+    assert sorted(tuple(r) for r in spark.table("stream_plain_append").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_append_tables_refuse_lost_columns_and_cast(spark, rows, tmp_path):
+    table = AppendTable("append_casts", str(tmp_path / "t"))
+    table.create(spark, rows("a BIGINT, b STRING").schema)
+    assert table.append(rows("b STRING, a INT", ("x", 1)), "one") and not table.append(rows("a INT", (9,)), "one")
+    assert table.append(rows("a INT", (2,)), "two")
+    with pytest.raises(ConfigError):
+        table.append(rows("a INT, c INT", (3, 3)), "three")
+    assert table.append(rows("a INT, c INT", (3, 3)), "three", widen=True)
+    assert sorted(map(tuple, spark.table("append_casts").collect())) == [(1, "x", None), (2, None, None), (3, None, 3)]
+    with pytest.raises(ConfigError):
+        AppendTable("append_clash", str(tmp_path / "c")).create(spark, rows("_batch INT").schema)
+
+
+def test_a_repeat_has_the_time_of_the_first_attempt(spark, place, monkeypatch):
+    """Dead letters are dated by the stream's log, so a repeat after midnight replaces the first ones."""
+    place.drop({"id": 1, "v": "a"}, "{")
+    crash_once(monkeypatch, run, "archive")
+    times, job = [], place.job()
+    for failing in (True, False):
+        query = run_pipeline(spark, job, place.path("state"))
+        if failing:
+            with pytest.raises(StreamingQueryException):
+                finish(spark, query, job, place.path("state"))
+        else:
+            finish(spark, query, job, place.path("state"))
+        letters = deadletter.read_dlq(spark, place.path("dlq") + "/dlq").collect()
+        times.append([r.timestamp for r in letters])
+    assert len(times[0]) == 1 and times[0] == times[1]
+
+
+def test_looking_up_a_batch_reads_one_entry(spark, rows, tmp_path):
+    path, df = str(tmp_path / "ledger"), rows("a INT", (1,))
+    for batch in range(4):
+        ledger.once(df, path, "r", batch, AT, lambda d: None)
+    assert sorted(r.batch_id for r in ledger.finished_batches(spark, path, "r").collect()) == [0, 1, 2, 3]
+    (tmp_path / "ledger" / "r" / "0").rename(tmp_path / "gone")
+    assert not ledger.is_finished(spark, path, "r", 0) and ledger.is_finished(spark, path, "r", 3)
+
+
 def test_inferred_schema_is_kept(spark, place):
     place.drop({"id": 1, "v": "a"})
     place.drop({"id": "x", "v": "b"}, {"id": 3, "v": "c"})
