@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from rowferry.config import Job, job_from_dict
 from rowferry.operators import cdc, deadletter, monitoring
 from rowferry.plans.assemble import mark, outcome
 from rowferry.session import staging_path
+from rowferry.sources import plugin
 from rowferry.sources.files import stream_files
 from rowferry.sources.lines import clean_lines
 from rowferry.streaming.run import finish, run_metrics, run_pipeline
@@ -199,3 +201,72 @@ SELECT event_type AS pipeline_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS r
 def usage_metering(spark: SparkSession, sf: str) -> DataFrame:
     metered = monitoring.usage(fx.table(spark, sf, "events"), "event_type", "ts", F.octet_length("props"))
     return metered.withColumn("day", F.col("day").cast("string"))
+
+
+class LineFeed(plugin.StreamedSource):
+    """A user-written source that goes on: JSON lines in files that are numbered by name."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "rowferry_line_feed"
+
+    def schema(self) -> str:
+        return "event_id BIGINT, event_type STRING"
+
+    def _files(self) -> list[str]:
+        system, root = FileSystem.from_uri(self.options["path"])
+        return sorted(f.path for f in system.get_file_info(FileSelector(root, recursive=True)) if f.base_name.startswith("part-") and f.size)
+
+    def start(self) -> dict:
+        return {"files": 0}
+
+    def latest(self) -> dict:
+        return {"files": len(self._files())}
+
+    def parts_between(self, start: dict, end: dict) -> list[str]:
+        return self._files()[start["files"]:end["files"]]
+
+    def poll(self, part: str):
+        import pyarrow.json as reader
+
+        system, _ = FileSystem.from_uri(self.options["path"])
+        with system.open_input_file(part) as lines:
+            yield from reader.read_json(lines).select(["event_id", "event_type"]).to_batches()
+
+
+def _bare_job(source: dict, sink: str) -> Job:
+    return job_from_dict({
+        "pipeline_id": "p1", "source": source, "sink": {"type": "parquet", "properties": {"path": sink}}, "flags": {"enable_lineage": False},
+    })
+
+
+def _run_twice(spark: SparkSession, job: Job, arrive, state: str) -> None:
+    """The job after each of two deliveries, and once more after nothing new."""
+    for number in range(3):
+        if number < 2:
+            arrive(number)
+        finish(spark, run_pipeline(spark, job, state, at=AT), job, state)
+
+
+@check("src_custom_stream", "SELECT event_id, event_type FROM events")
+def src_custom_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A user-written streaming source in a job that is started three times."""
+    landing, sink, state = (staging_path(spark, label) for label in ("feed", "sink", "state"))
+    events = fx.table(spark, sf, "events").select("event_id", "event_type")
+    job = _bare_job({"type": "custom", "properties": {"format": plugin.register_source(spark, LineFeed), "options": {"path": landing}}}, sink)
+    _run_twice(spark, job, lambda n: events.where(F.col("event_id") % 2 == n).repartition(2).write.json(f"{landing}/{n}"), state)
+    return spark.read.schema(events.schema).parquet(f"{sink}/run_id=*/batch_id=*")
+
+
+@check("job_pull_since", "SELECT event_id, user_id, event_type FROM events")
+def job_pull_since(spark: SparkSession, sf: str) -> DataFrame:
+    """A table pulled by its key in pages, while it grows; no row comes twice."""
+    landing, sink, state = (staging_path(spark, label) for label in ("pulled", "sink", "state"))
+    events = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    size, half = events.count(), events.approxQuantile("event_id", [0.5], 0.01)[0]
+    job = _bare_job({"type": "pull", "properties": {
+        "path": landing, "schema": "event_id BIGINT, user_id BIGINT, event_type STRING", "cursor_column": "event_id", "page_rows": size // 3 + 1,
+    }}, sink)
+    parts = ["event_id <= {}", "event_id > {}"]
+    _run_twice(spark, job, lambda n: events.where(parts[n].format(half)).write.mode("append").parquet(landing), state)
+    return spark.read.schema(events.schema).parquet(f"{sink}/run_id=*/batch_id=*")

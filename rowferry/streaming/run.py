@@ -34,7 +34,7 @@ from rowferry.sinks import jdbc, tables, versions
 from rowferry.sinks.appends import AppendTable
 from rowferry.sinks.keyed import KeyedTable
 from rowferry.sources import broker, files, lines
-from rowferry.streaming import ledger, limits
+from rowferry.streaming import ledger, limits, pull
 
 HISTORY = fields(pipeline_id=TEXT, seq=LONG, status=TEXT)
 RUN = fields(run_id=TEXT)
@@ -57,12 +57,25 @@ def open_source(spark: SparkSession, job: Job, stream: bool = True, once: bool =
     if kind == "table":
         return spark.readStream.table(source.require("table_name")) if stream else spark.read.table(
             source.require("table_name"))
+    if kind == "pull":
+        return _pulled(spark, source)
     if kind == "custom":
         reader = (spark.readStream if stream else spark.read).format(source.require("format"))
         return reader.options(**source.get("options", {})).load()
     raise ConfigError(f"unknown source {kind!r}")
 
 
+def _pulled(spark: SparkSession, source: Connector) -> DataFrame:
+    """A table to pull from: relational, in files, or of the catalogue."""
+    if source.get("connection_string"):
+        options = {"url": source.require("connection_string"), "dbtable": source.require("table_name"), **source.get("options", {})}
+        return spark.read.format("jdbc").options(**options).load()
+    if source.get("path"):
+        reader = spark.read.format(source.get("format", "parquet")).options(**source.get("options", {}))
+        return reader.schema(source.require("schema")).load(source.require("path"))
+    return spark.read.table(source.require("table_name"))
+
+
 Writer = Callable[[DataFrame, Connector, Job, int], "str | None"]
 
 
@@ -206,7 +219,8 @@ def run_pipeline(
     the ledger; the checkpoint moves on after that. ``at`` fixes the batch time
     (tests); otherwise it is the time in the stream's own log, which a repeat
     of the batch has again, so dead letters of a repeat replace the first ones
-    even after midnight.
+    even after midnight. A source of type ``pull`` is drained before this
+    returns, and gives no query.
     """
     if not job.enabled:
         return None
@@ -218,6 +232,11 @@ def run_pipeline(
     run_id = run_identity(spark, state)
     job = replace(job, run_id=run_id)
     record_state(spark, state, job.pipeline_id, "starting")
+    if job.source.type == "pull":
+        if not once:
+            raise ConfigError("a pull ends when nothing is newer; run it again for more")
+        _pull(spark, job, state, run_id, at, write, schema, extra)
+        return None
 
     def batch(df: DataFrame, batch_id: int) -> None:
         started, df = at or _logged_time(df), df.drop(_BATCH_AT)
@@ -238,6 +257,22 @@ def run_pipeline(
     return query
 
 
+def _pull(
+    spark: SparkSession, job: Job, state: str, run_id: str, at: datetime | None, write: Writer,
+    schema: T.StructType | None, extra: dict[str, Callable[..., Any]] | None,
+) -> None:
+    """Drain a pulled table, range by range."""
+    record_state(spark, state, job.pipeline_id, "running")
+    try:
+        pull.run_ranges(
+            open_source(spark, job, stream=False), job, state, run_id,
+            lambda rows, batch_id, started: process_batch(rows, job, batch_id, started, write, state, schema, extra), at,
+        )
+    except Exception as failure:
+        record_state(spark, state, job.pipeline_id, f"failed: {str(failure).splitlines()[0]}")
+        raise
+
+
 def _logged_time(df: DataFrame) -> datetime:
     """When the stream planned this micro-batch; now for an empty one."""
     first = df.select(F.unix_micros(_BATCH_AT)).first()
@@ -264,10 +299,11 @@ def run_identity(spark: SparkSession, state: str) -> str:
     return found
 
 
-def finish(spark: SparkSession, query: StreamingQuery, job: Job, state: str) -> None:
-    """Wait for the end of a run and enter it in the history."""
+def finish(spark: SparkSession, query: StreamingQuery | None, job: Job, state: str) -> None:
+    """Wait for the end of a run and enter it in the history; a pull has ended already."""
     try:
-        query.awaitTermination()
+        if query is not None:
+            query.awaitTermination()
     except Exception as failure:
         record_state(spark, state, job.pipeline_id, f"failed: {str(failure).splitlines()[0]}")
         raise
