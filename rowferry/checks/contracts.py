@@ -73,6 +73,28 @@ def drift_drop_field(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("event_id", F.col("props").cast("string").alias("props"))
 
 
+_FAULTS_SQL = """
+SELECT event_id, event_id % 10 <> 2 AS good, CASE WHEN event_id % 10 = 2 THEN 'type:props' ELSE '' END AS errors FROM events"""
+
+
+def _judged(marked: DataFrame) -> DataFrame:
+    good, bad = deadletter.split(marked)
+    parts = [good.select("event_id", F.lit(True).alias("good"), F.lit("").alias("errors"))]
+    parts.append(bad.select("event_id", F.lit(False).alias("good"), F.array_join(ERRORS, ";").alias("errors")))
+    return parts[0].unionAll(parts[1])
+
+
+@check("drop_field_faults", _FAULTS_SQL)
+def drop_field_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and refused rows together are the input; a value of another type is refused."""
+    return _judged(contract.drop_unknown(fx.drifting(spark, sf), "raw_json", fx.DRIFT_CONTRACT))
+
+
+@check("pack_unknown_faults", _FAULTS_SQL)
+def pack_unknown_faults(spark: SparkSession, sf: str) -> DataFrame:
+    return _judged(contract.pack_unknown(fx.drifting(spark, sf), "raw_json", fx.DRIFT_CONTRACT))
+
+
 @check("drift_dlq", """
 SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'added:ref' WHEN 1 THEN 'dropped:props' ELSE 'type_changed:props' END AS errors,
   'schema_validation' AS category
@@ -98,10 +120,10 @@ def drift_alter(spark: SparkSession, sf: str) -> DataFrame:
     rows = fx.drifting(spark, sf)
     wider = fields(event_id=LONG, props=TEXT, ref=TEXT)
     has_ref = F.col("event_id") % 10 == 0
-    old = contract.drop_unknown(rows.where(~has_ref), "raw_json", T.StructType(wider.fields[:2]))
+    old = contract.drop_unknown(rows.where(~has_ref), "raw_json", T.StructType(wider.fields[:2])).drop(ERRORS)
     tables.create_target(old, table, staging_path(spark, "widened"))
     tables.append_widening(old, table)
-    tables.append_widening(contract.drop_unknown(rows.where(has_ref), "raw_json", wider), table)
+    tables.append_widening(contract.drop_unknown(rows.where(has_ref), "raw_json", wider).drop(ERRORS), table)
     return read_table(spark, table).select("event_id", "ref")
 
 
@@ -111,7 +133,7 @@ SELECT event_id, 'new' AS part, CASE WHEN event_id % 10 = 0 THEN 'x' END AS ref
 def drift_widen_union(spark: SparkSession, sf: str) -> DataFrame:
     old = fx.table(spark, sf, "events").select("event_id", F.lit("old").alias("part"))
     wider = fields(event_id=LONG, ref=TEXT)
-    new = contract.drop_unknown(fx.drifting(spark, sf), "raw_json", wider).withColumn("part", F.lit("new"))
+    new = contract.drop_unknown(fx.drifting(spark, sf), "raw_json", wider).drop(ERRORS).withColumn("part", F.lit("new"))
     return contract.widen(old, new)
 
 

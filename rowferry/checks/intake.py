@@ -119,6 +119,23 @@ def pages_refused(spark: SparkSession, sf: str) -> DataFrame:
     return pulls.explode_pages(fx.api_pages(spark, sf), "body", _ITEM)[1]
 
 
+@check("pages_item_faults", """
+SELECT event_id // 50 AS page, CAST(event_id % 50 AS BIGINT) AS pos, CASE WHEN event_id % 9 = 4 THEN NULL ELSE event_id END AS event_id,
+  CASE WHEN event_id % 9 = 4 THEN 'type:event_id' ELSE '' END AS errors
+FROM events WHERE (event_id // 50) % 10 <> 7
+UNION ALL SELECT DISTINCT event_id // 50, NULL, NULL, 'corrupt' FROM events WHERE (event_id // 50) % 10 = 7""")
+def pages_item_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Items below a path of the body; one in nine has an id of another type, one page in ten no items."""
+    events = fx.table(spark, sf, "events").selectExpr(
+        "event_id div 50 AS page", "event_id % 50 AS pos",
+        "CASE WHEN event_id % 9 = 4 THEN '{\"event_id\": \"x' || event_id || '\"}' ELSE '{\"event_id\": ' || event_id || '}' END AS item",
+    )
+    pages = events.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "item"))), lambda i: i["item"]), ",").alias("items"))
+    bodies = pages.selectExpr("page", "CASE WHEN page % 10 = 7 THEN '{\"error\": 429}' ELSE '{\"data\": {\"items\": [' || items || ']}}' END AS body")
+    found = pulls.page_items(bodies, "body", fields(event_id=LONG), "data.items")
+    return found.select("page", F.col("pos").cast("bigint").alias("pos"), "event_id", F.array_join("_errors", ";").alias("errors"))
+
+
 CHANGES_SQL = """
 SELECT event_id AS lsn, user_id AS id,
   CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
@@ -132,6 +149,24 @@ def cdc_parse(spark: SparkSession, sf: str) -> DataFrame:
     return changes.parse_changes(fx.change_events(spark, sf), "body", row).select("lsn", "id", "op", "amount")
 
 
+@check("cdc_parse_faults", """
+SELECT event_id AS lsn, user_id AS id, event_type = 'error' AS gone, '' AS errors FROM events WHERE event_id % 8 > 2
+UNION ALL SELECT event_id, user_id, true, '' FROM events WHERE event_id % 8 = 0
+UNION ALL SELECT event_id, NULL, false, 'type:after' FROM events WHERE event_id % 8 = 1
+UNION ALL SELECT event_id, NULL, true, 'missing:id' FROM events WHERE event_id % 8 = 2""")
+def cdc_parse_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Of eight changes one is a delete by key only, one has an id of another type, one a delete without key."""
+    whole = fx.table(spark, sf, "events").selectExpr("""CASE event_id % 8
+        WHEN 0 THEN to_json(named_struct('op', 'd', 'key', user_id, 'lsn', event_id))
+        WHEN 1 THEN to_json(named_struct('op', 'u', 'after', named_struct('id', 'x'), 'lsn', event_id))
+        WHEN 2 THEN to_json(named_struct('op', 'd', 'lsn', event_id))
+        ELSE CASE WHEN event_type = 'error'
+          THEN to_json(named_struct('op', 'd', 'before', named_struct('id', user_id), 'lsn', event_id))
+          ELSE to_json(named_struct('op', 'u', 'after', named_struct('id', user_id), 'lsn', event_id)) END END AS body""")
+    found = changes.parse_changes(whole, "body", fields(id=LONG, amount=DOUBLE))
+    return found.select("lsn", "id", (F.col("op") == "d").alias("gone"), F.array_join("_errors", ";").alias("errors"))
+
+
 _MADE = (("account", "integer", 1000), ("score", "float", 100), ("label", "text", 12))
 
 

@@ -132,14 +132,17 @@ def read_records(df: DataFrame, column: str, schema: T.StructType, absent: str =
     text = F.from_json(name(column), T.StructType(as_text(schema).fields + [mark]), options)
     keys = F.json_object_keys(name(column)) if unknown else F.lit(None).cast("array<string>")
 
+    # Inside the one-item array, so that no field and no fault computes it again.
+    empty_text = F.coalesce(F.trim(name(column)) == "", F.lit(True))
+
     def with_text(record: Column) -> Column:
         again = F.when(record[CORRUPT].isNotNull(), text)
-        return F.struct(record.alias("typed"), again.alias("text"), keys.alias("keys"))
+        return F.struct(record.alias("typed"), again.alias("text"), keys.alias("keys"), empty_text.alias("blank"))
 
     kept = [name(c) for c in df.columns if c not in schema.names]
     parsed = df.select("*", F.explode(F.transform(F.array(typed), with_text)).alias("_p"))
 
-    blank = F.coalesce(F.trim(name(column)) == "", F.lit(True))
+    blank = F.col("_p.blank")
     fits = F.col("_p.typed")[CORRUPT].isNull() & ~blank
     broken = F.col("_p.text")[CORRUPT].isNotNull() | blank
     found = [F.when(broken, F.lit("corrupt"))]
@@ -214,24 +217,28 @@ def halt_on_drift(df: DataFrame, column: str, expected: T.StructType) -> DataFra
 
 
 def drop_unknown(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:
-    """The expected fields only; unknown ones go without notice."""
-    kept = [name(c) for c in df.columns if c != column and c not in expected.names]
-    parsed = evaluate_once(df, "_parsed", F.from_json(name(column), expected))
-    return parsed.select(*kept, "_parsed.*")
+    """The expected fields and ``_errors``; unknown fields go without notice.
+
+    A broken body or a value that does not fit is a fault, beside the null it leaves.
+    """
+    kept = [c for c in df.columns if c != column and c not in [*expected.names, ERRORS]]
+    found = read_records(df, column, nullable(expected), unknown=False)
+    return found.select(*[name(c) for c in [*kept, *expected.names, ERRORS]])
 
 
 def pack_unknown(df: DataFrame, column: str, expected: T.StructType, into: str = "payload") -> DataFrame:
-    """The expected fields, and all others as JSON text in one column (null when there are none)."""
-    kept = [name(c) for c in df.columns if c != column and c not in expected.names]
+    """The expected fields, all others as JSON text in one column (null when there are none), and ``_errors``.
+
+    A broken body or an expected value that does not fit is a fault.
+    """
+    kept = [c for c in df.columns if c != column and c not in [*expected.names, ERRORS]]
     names = F.array(*[F.lit(n) for n in expected.names])
-    both = F.struct(
-        F.from_json(name(column), expected).alias("known"),
-        F.from_json(name(column), T.MapType(T.StringType(), T.StringType())).alias("all"),
-    )
-    parsed = evaluate_once(df, "_parsed", both)
-    rest = F.map_filter("_parsed.all", lambda k, _: ~F.array_contains(names, k))
-    packed = F.when(F.map_keys(rest) != F.array().cast("array<string>"), F.to_json(rest))
-    return parsed.select(*kept, "_parsed.known.*", packed.alias(into))
+    everything = F.from_json(name(column), T.MapType(T.StringType(), T.StringType()))
+    rest = F.map_filter(everything, lambda k, _: ~F.array_contains(names, k))
+    packed = evaluate_once(df, "_rest", rest)
+    found = read_records(packed, column, nullable(expected), unknown=False)
+    text = F.when(F.map_keys("_rest") != F.array().cast("array<string>"), F.to_json("_rest")).alias(into)
+    return found.select(*[name(c) for c in [*kept, *expected.names]], text, ERRORS)
 
 
 def widen(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -12,8 +12,14 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0
 
 
 def clean_lines(df: DataFrame, column: str = "raw_json") -> DataFrame:
-    """Trim white space of any kind off the line and drop it when nothing is left."""
-    return df.withColumn(column, F.trim(name(column), F.lit(WHITE_SPACE))).where(name(column) != "")
+    """Trim white space of any kind off the line and drop it when nothing is left.
+
+    A line whose ends are printable ASCII, as nearly all are, is left as it is.
+    """
+    first, last = F.ascii(F.left(name(column), F.lit(1))), F.ascii(F.right(name(column), F.lit(1)))
+    plain = first.between(33, 126) & last.between(33, 126)
+    trimmed = F.when(plain, name(column)).otherwise(F.trim(name(column), F.lit(WHITE_SPACE)))
+    return df.withColumn(column, trimmed).where(name(column) != "")
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:

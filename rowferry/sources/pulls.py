@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from rowferry.formats.parse import evaluate_once
 from rowferry.functions.casts import constant
 from rowferry.functions.records import name
+from rowferry.operators.contract import nullable, read_records
+from rowferry.operators.mapping import ERRORS
 from rowferry.operators.numbering import number_rows
 from rowferry.session import one_row
 
@@ -58,16 +60,41 @@ def pull_page(df: DataFrame, order: list[str], page: int, per_page: int) -> Data
     return numbered.where((F.col("_at") >= start) & (F.col("_at") < start + per_page)).drop("_at")
 
 
-def explode_pages(df: DataFrame, column: str, item: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Landed page bodies to one row per item, and the bodies that are no array.
+def page_items(df: DataFrame, column: str, item: T.StructType, path: str = "") -> DataFrame:
+    """Landed page bodies to one row per item, with ``_errors`` and the item's text in ``_raw``.
 
-    Items keep the other columns of the page and their position ``pos``.
+    ``path`` names the array inside the body, such as ``data.items``; without
+    it the body is the array. A body without that array is one row with the
+    fault ``corrupt`` and itself in ``_raw``; an item that is no object, or has
+    a value that does not fit, is a row with its own faults. Rows keep the
+    other columns of the page and the item's position ``pos``.
     """
-    kept = [name(c) for c in df.columns if c != column]
-    parsed = evaluate_once(df, "_items", F.from_json(name(column), T.ArrayType(item)))
-    is_array = F.col("_items").isNotNull() & F.startswith(F.ltrim(name(column)), F.lit("["))
-    items = parsed.where(is_array).select(*kept, F.posexplode("_items").alias("pos", "_item"))
-    return items.select(*kept, "pos", "_item.*"), parsed.where(~is_array).drop("_items")
+    kept = [c for c in df.columns if c != column]
+    body = name(column)
+    if path:
+        body = F.get_json_object(body, "$" + "".join(f"['{part}']" for part in path.split(".")))
+    found = evaluate_once(df, "_items", F.when(F.startswith(F.ltrim(body), F.lit("[")), F.from_json(body, "array<string>")))
+    whole = F.array(F.struct(F.lit(None).cast("int").alias("pos"), name(column).alias("_raw"), F.lit(True).alias("_refused")))
+    each = F.transform("_items", lambda text, pos: F.struct(pos.alias("pos"), text.alias("_raw"), F.lit(False).alias("_refused")))
+    rows = found.select(*[name(c) for c in kept], F.explode(F.coalesce(each, whole)).alias("_at"))
+    rows = rows.select(*[name(c) for c in kept if c not in ("pos", "_raw")], "_at.*")
+    read = read_records(rows, "_raw", nullable(item), unknown=False)
+    corrupt = F.array(F.lit("corrupt"))
+    shown = [c for c in kept if c not in [*item.names, "pos", "_raw"]]
+    return read.withColumn(ERRORS, F.when(F.col("_refused"), corrupt).otherwise(F.col(ERRORS))).select(
+        *[name(c) for c in shown], "pos", *[name(c) for c in item.names], ERRORS, "_raw",
+    )
+
+
+def explode_pages(df: DataFrame, column: str, item: T.StructType, path: str = "") -> tuple[DataFrame, DataFrame]:
+    """The items of landed pages, and what is refused: bodies without the array, and items with faults.
+
+    Refused rows have the columns of ``df``, with the text of the body or the
+    item. Together items and refused rows are all that the pages hold.
+    """
+    marked = page_items(df, column, item, path)
+    good, bad = marked.where(F.size(ERRORS) == 0), marked.where(F.size(ERRORS) > 0)
+    return good.drop(ERRORS, "_raw"), bad.select(*[name("_raw").alias(c) if c == column else name(c) for c in df.columns])
 
 
 def save_cursor(spark: SparkSession, path: str, pipeline_id: str, offset: str, at: datetime, records: int) -> None:

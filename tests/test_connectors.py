@@ -155,7 +155,31 @@ def test_pages_that_are_no_array(rows):
 def test_change_images(rows):
     df = rows("j STRING", ('{"op":"u","before":{"id":1,"v":"a"},"after":{"id":1,"v":"b"},"lsn":3,"ts":"t"}',),
               ('{"op":"d","before":{"id":2,"v":"c"},"lsn":4}',))
-    assert [tuple(r) for r in parse_changes(df, "j", fields(id=LONG, v=TEXT)).collect()] == [(3, "t", "u", 1, "b"), (4, None, "d", 2, "c")]
+    assert [tuple(r) for r in parse_changes(df, "j", fields(id=LONG, v=TEXT)).collect()] == [(3, "t", "u", 1, "b", []), (4, None, "d", 2, "c", [])]
+
+
+def test_faults_of_changes(rows):
+    df = rows("j STRING", ('{"op":"d","key":{"id":7,"b":"x"},"lsn":1}',), ('{"op":"d","key":"8","lsn":2}',), ('{"op":"d","key":"q","lsn":3}',),
+              ('{"op":"u","lsn":4}',), ('{"op":"z","after":{"id":1},"lsn":5}',), ('{"op":"u","after":{"id":1}}',), ("{",), (None,),
+              ('{"op":"c","after":{"v":"x"},"lsn":6}',))
+    found = [(r.id, r["_errors"]) for r in parse_changes(df, "j", fields(id=LONG, v=TEXT)).collect()]
+    assert found[:2] == [(7, []), (8, [])]
+    assert [e for _, e in found[2:]] == [["missing:id"], ["missing:after"], ["type:op"], ["missing:lsn"], ["corrupt"], ["corrupt"], ["missing:id"]]
+    two = parse_changes(df.limit(1), "j", fields(v=TEXT, id=LONG, b=TEXT), keys=["id", "b"]).first()
+    assert (two.id, two.b, two.v, two["_errors"]) == (7, "x", None, [])
+
+
+def test_faults_of_page_items(rows):
+    df = rows("page INT, body STRING, pos INT", (1, '{"data":[{"id":1},{"id":"x"},3,null]}', 9), (2, '{"data":{}}', 9), (3, None, 9), (4, '{"data":[]}', 9))
+    found = pulls.page_items(df, "body", fields(id=LONG), "data").orderBy("page", "pos").collect()
+    assert [(r.page, r.pos, r.id, list(r["_errors"]), r["_raw"]) for r in found] == [
+        (1, 0, 1, [], '{"id":1}'), (1, 1, None, ["type:id"], '{"id":"x"}'), (1, 2, None, ["corrupt"], "3"), (1, 3, None, ["corrupt"], None),
+        (2, None, None, ["corrupt"], '{"data":{}}'), (3, None, None, ["corrupt"], None)]
+
+
+def test_trims_are_only_for_lines_that_need_them(rows):
+    found = clean_lines(rows("raw_json STRING", ("{}",), (" x",), ("x\u2003",), ("\u00a0é\t",), ("é",), ("\u3000",), ("",), (None,)))
+    assert [r.raw_json for r in found.collect()] == ["{}", "x", "x", "é", "é"]
 
 
 def test_first_rule_wins(rows):
