@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowferry.formats.parse import evaluate_once
 from rowferry.functions.records import name
 
 # Fixed value: all characters that count as white space.
@@ -19,7 +20,8 @@ def clean_lines(df: DataFrame, column: str = "raw_json") -> DataFrame:
     first, last = F.ascii(F.left(name(column), F.lit(1))), F.ascii(F.right(name(column), F.lit(1)))
     plain = first.between(33, 126) & last.between(33, 126)
     trimmed = F.when(plain, name(column)).otherwise(F.trim(name(column), F.lit(WHITE_SPACE)))
-    return df.withColumn(column, trimmed).where(name(column) != "")
+    made = evaluate_once(df, "_line", trimmed).where(F.col("_line") != "")
+    return made.select(*[F.col("_line").alias(c) if c == column else name(c) for c in df.columns])
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
