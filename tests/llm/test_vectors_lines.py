@@ -209,5 +209,5 @@ def test_pipeline_of_an_empty_table(spark, sf):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert queries.all_oracles().keys() <= queries.all_queries().keys()
