@@ -9,7 +9,7 @@ text. Words repeat, so most pieces are found in memory.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import compress
 from operator import not_
 
@@ -23,6 +23,10 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if odd else text.split(" ")
 
 
+# Characters of text whose unknown pieces are learned by one call, and of a piece that is remembered.
+CHUNK, LONGEST = 4_000_000, 200
+
+
 class PieceCache:
     """Ids of pieces as bytes, for the pieces seen lately.
 
@@ -42,6 +46,28 @@ class PieceCache:
         first, *rest = cut(text)
         return self.encode([first])[0] + self._joined(rest)
 
+    def all_ids(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """Ids of each text; the unknown pieces of many texts go to the library together."""
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and size < CHUNK:
+                size += len(texts[end])
+                end += 1
+            yield from self._chunk(texts[start:end])
+            start = end
+
+    def _chunk(self, texts: Sequence[str]) -> Iterator[bytes]:
+        cuts = [cut(text) if text else [] for text in texts]
+        firsts = iter(self.encode([pieces[0] for pieces in cuts if pieces]))
+        words = set().union(*[pieces[1:] for pieces in cuts])
+        self._learn(words, words.difference(self.new))
+        for pieces in cuts:
+            yield next(firsts) + b"".join(map(self.new.__getitem__, pieces[1:])) if pieces else b""
+        for word in words:
+            if len(word) > LONGEST:
+                del self.new[word]
+
     def _joined(self, words: Sequence[str]) -> bytes:
         found = list(map(self.new.get, words))
         if None in found:
@@ -49,7 +75,7 @@ class PieceCache:
             found = map(self.new.__getitem__, words)
         return b"".join(found)
 
-    def _learn(self, words: Sequence[str], missing: set[str]) -> None:
+    def _learn(self, words: Iterable[str], missing: set[str]) -> None:
         if len(self.new) + len(missing) > self.limit:
             self.old, self.new = self.new, {}
             missing = set(words)

@@ -143,15 +143,20 @@ class Tokenizer:
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
-        self.library.encode_special_tokens = True
+        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
         self.cache = PieceCache(self._pieces)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", each.ids).tobytes() for each in found]
 
-    def encode(self, text: str, end_id: int) -> np.ndarray:
-        return np.frombuffer(self.cache.ids(text) + end_id.to_bytes(4, "little"), "<u4")
+    def encode_all(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
+        """Ids of each text. One that spells out a special token goes to the library whole, which knows it."""
+        end = end_id.to_bytes(4, "little")
+        whole = [any(token in text for token in self.special) for text in texts]
+        rest = self.cache.all_ids([text for text, spelled in zip(texts, whole) if not spelled])
+        for text, spelled in zip(texts, whole):
+            yield np.frombuffer((self._pieces([text])[0] if spelled else next(rest)) + end, "<u4")
 
 
 _ready: dict[str, Tokenizer] = {}
@@ -177,12 +182,12 @@ def write_records(
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, file = TaskContext.get().partitionId(), 0, None
-        encode = tokenizer(vocabulary).encode
+        encode_all = tokenizer(vocabulary).encode_all
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), strings(batch.column(1))):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode_all(strings(batch.column(1)), end_id)):
                 if file is None:
                     file = _File(folder, part, number)
-                file.add(doc_id, encode(text, end_id))
+                file.add(doc_id, ids)
                 if file.bytes >= file_bytes:
                     yield _row(file.close())
                     file, number = None, number + 1

@@ -91,7 +91,6 @@ def test_records_come_back_from_their_files(spark, rows, texts, tmp_path):
     manifest = records.write_records(docs, f"file://{tmp_path}/records", path, file_bytes=4_000)
     found = records.read_records(manifest).collect()
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     wanted = sorted([(-1, "null id"), (7, "again"), *[(7 * i, t or "") for i, t in enumerate(texts)]])
     start = 0
     ordered = sorted(found, key=lambda row: row.start)
@@ -105,6 +104,16 @@ def test_records_come_back_from_their_files(spark, rows, texts, tmp_path):
     assert records.record_at(first.path, 1)[0] == 0
 
 
+def test_special_tokens_and_chunks_as_the_library_reads_them(texts, monkeypatch):
+    library, own = (Kind(public_tokenizers.path(records.VOCABULARY)) for Kind in (Tokenizer.from_file, records.Tokenizer))
+    own.cache.limit = 40
+    monkeypatch.setattr(pieces, "CHUNK", 300)
+    odd = [*["" if t is None else t for t in texts], "a<|endoftext|>b", "x " + "y" * 500 + " z", "<|endoftext|>"]
+    wanted = [library.encode(text, add_special_tokens=False).ids + [0] for text in odd]
+    assert [ids.tolist() for ids in own.encode_all(odd, 0)] == wanted
+    assert wanted[-3] == [64, 50256, 65, 0]
+
+
 def test_records_of_an_empty_table(spark, rows, tmp_path):
     prepare(spark)
     manifest = records.write_records(rows("doc_id bigint, text string"), f"file://{tmp_path}/none", public_tokenizers.path(records.VOCABULARY))
