@@ -97,3 +97,10 @@ def test_publish_keeps_tags(spark, rows, tmp_path):
     tables.publish(rows("id INT", (1,)), "published_test", str(tmp_path / "p"), {"owner": "it's us"}, "a table")
     assert tables.published_tags(spark, "published_test") == {"owner": "it's us"}
     assert [c.name for c in spark.catalog.listColumns("published_test")] == ["id"]
+
+
+def test_blank_text_is_looked_for_once(rows):
+    from plans import plan
+
+    wide = T.StructType([T.StructField(f"c{i}", LONG, False) for i in range(12)])
+    assert plan(contract.read_records(rows("j STRING", ("{}",)), "j", wide)).lower().count("trim(") <= 2
