@@ -1,19 +1,32 @@
 """Near-duplicate vectors by navigable small-world graphs, one per shard.
 
 1. Equal vectors are one class; classes are dealt over shards by hash. There
-   are ``LEAST_SHARDS``, and more where a shard would pass ``SHARD_VECTORS``.
-2. A task builds the graphs of its shard in layers, each a sixteenth of the one
-   below, by adding vectors in blocks: a block searches the graph built so far,
-   and of the candidates those are linked that are nearer than to one another.
-3. All classes then stream through every shard. A search widens its beam while
+   are ``LEAST_SHARDS``, and more where a shard would pass ``SHARD_VECTORS`` or
+   ``SHARD_BYTES``.
+2. A shard first takes out its dense groups: a vector with ``BALL_LEAST`` others
+   within half the angle of ``LEAST_COSINE`` is the middle of a ball, whose
+   members are all linked. Middles are sought among ``BALL_SAMPLE`` vectors;
+   a group that the sample misses stays in the graph, with the same links.
+   Members are sorted by their angle to the middle, so that for a query those
+   near enough are counted, and only those at about the limit compared.
+3. Of the other vectors a task builds graphs in layers, each a sixteenth of the
+   one below, by adding vectors in blocks: a block searches the graph built so
+   far, and of the candidates those are linked that are nearer than to one another.
+4. All classes stream through every shard. A search widens its beam while
    all it found is similar enough, and the shard's beam is widened until each
-   of three audits against all vectors of the shard finds ``AUDIT_RECALL`` of
+   of three audits against all vectors of the graph finds ``AUDIT_RECALL`` of
    the pairs, those of a vector with itself left out: vectors of the shard,
    near copies made of some of them, so that there are pairs where the data
    has few, and the first of the classes that stream in, most of them of other
    shards. An audit ends at ``AUDIT_PAIRS`` pairs or ``AUDIT_MOST`` vectors.
-4. Pairs found are verified by cosine in double precision, and their
-   components are united across shards.
+5. What is found is verified by cosine in double precision. The shard unites its
+   own vectors; of a query it gives one row for each united group that the
+   query links with, with the number of rows behind those links, not the pairs.
+   A group of n vectors so gives n rows for each shard. Groups are united
+   across shards by their roots.
+
+A link counts for the vector whose search found it; each of the two searches
+for the other on its own.
 
 Vectors that are null, zero, or hold null or non-finite components link with
 nothing, and vectors of different lengths do not link. A row's links count all
@@ -37,6 +50,10 @@ from rowferry.llm.components import components
 LEAST_COSINE = 0.9
 LEAST_SHARDS = 8
 SHARD_VECTORS = 200_000
+SHARD_BYTES = 128 << 20  # of doubles
+BALL_LEAST = 32
+BALL_SAMPLE = 2048
+BALL_MARGIN = 1e-6  # of angles, in radians
 LINKS = 12
 BASE_LINKS = 24
 LAYER = 16
@@ -258,13 +275,20 @@ def classes(vectors: DataFrame) -> DataFrame:
     return map_arrow(hashed, work, f"vec_id {kind}, cls bigint, vector binary")
 
 
-def found_pairs(distinct: DataFrame, shards: int) -> DataFrame:
-    """Pairs ``a < b`` of classes of sufficient cosine, each found in one shard at least."""
+def found_links(distinct: DataFrame, shards: int) -> DataFrame:
+    """``a, b, linked``: class ``a`` links with ``linked`` rows of one shard, all in the group of class ``b``.
+
+    ``distinct`` has ``cls, rows, vector``. Classes that are the root of their
+    group are rows too.
+    """
     shard = F.pmod(F.xxhash64("cls"), F.lit(shards)).cast("int")
-    indexed = distinct.select(shard.alias("shard"), F.length("vector").alias("size"), F.lit(0).alias("asked"), "cls", "vector")
-    asked = distinct.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.length("vector").alias("size"), F.lit(1).alias("asked"), "cls", "vector")
+    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != shard)
+    values = [F.length("vector").alias("size"), "cls", "rows", "vector"]
+    indexed = distinct.select(shard.alias("shard"), F.lit(0).alias("asked"), *values)
+    asked = distinct.select(F.explode(others).alias("shard"), F.lit(1).alias("asked"), *values)
     dealt = indexed.unionAll(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "size", "asked", "cls")
-    return dealt.mapInArrow(_search_shards, "a bigint, b bigint").distinct()
+    dealt = dealt.select("shard", "size", "asked", "cls", "rows", "vector")
+    return dealt.mapInArrow(_search_shards, "a bigint, b bigint, linked bigint")
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -273,25 +297,118 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+class Ball:
+    """Vectors within half the angle of a link from a middle, so that all are linked."""
+
+    def __init__(self, vectors: np.ndarray, rows: np.ndarray, members: np.ndarray, angles: np.ndarray):
+        order = np.argsort(angles, kind="stable")
+        self.members, self.angles = members[order], angles[order]
+        self.vectors = vectors[self.members]
+        self.middle = self.vectors[0]
+        self.before = np.concatenate(([0], np.cumsum(rows[self.members])))
+        self.rows = rows[self.members]
+
+    def linked(self, queries: np.ndarray, away: np.ndarray) -> np.ndarray:
+        """The rows that each query links with; ``away`` are its angles to the middle."""
+        sure = np.searchsorted(self.angles, LINK_ANGLE - away - BALL_MARGIN, "right")
+        found = self.before[sure]
+        least = np.maximum(sure, np.searchsorted(self.angles, away - LINK_ANGLE - BALL_MARGIN, "left"))
+        open_ = np.flatnonzero(least < self.angles.size)
+        for start in range(int(least[open_].min()) if open_.size else 0, self.angles.size if open_.size else 0, 16 * BLOCK):
+            part = slice(start, start + 16 * BLOCK)
+            good = queries[open_] @ self.vectors[part].T >= LEAST_COSINE
+            good &= np.arange(start, start + good.shape[1]) >= least[open_, None]
+            found[open_] += good @ self.rows[part]
+        return found
+
+
+def angles_of(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+
+LINK_ANGLE = math.acos(LEAST_COSINE)
+
+
+def balls_of(vectors: np.ndarray, rows: np.ndarray) -> list[Ball]:
+    """Disjoint balls of at least ``BALL_LEAST`` vectors each.
+
+    Middles are sought among a sample of the vectors that are in none yet, the
+    densest first, again while that takes out a sixteenth of them.
+    """
+    found: list[Ball] = []
+    single = vectors.astype(np.float32)
+    free = np.arange(len(vectors))
+    while free.size >= BALL_LEAST:
+        sample = free[np.linspace(0, free.size - 1, min(BALL_SAMPLE, free.size)).astype(np.int64)]
+        tight = math.cos(LINK_ANGLE / 2)
+        own = single[free]
+        near = np.concatenate([(single[sample[at:at + BLOCK // 4]] @ own.T >= tight - SLACK).sum(1) for at in range(0, sample.size, BLOCK // 4)])
+        order = np.argsort(-near, kind="stable")
+        taken = np.zeros(len(vectors), bool)
+        for middle in sample[order[near[order] >= BALL_LEAST]]:
+            if taken[middle]:
+                continue
+            close = free[(own @ single[middle] >= tight - SLACK) & ~taken[free]]
+            angles = angles_of(vectors[close] @ vectors[middle])
+            angles[close == middle] = 0.0
+            inside = angles <= LINK_ANGLE / 2 - BALL_MARGIN
+            if inside.sum() >= BALL_LEAST:
+                found.append(Ball(vectors, rows, close[inside], angles[inside]))
+                taken[close[inside]] = True
+        count = int(taken.sum())
+        if not count:
+            break
+        free = free[~taken[free]]
+        if count < free.size // 16:
+            break
+    return found
+
+
+def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Unite ``a[i]`` with ``b[i]``; ``parent`` leads every node straight to the least of its group, before and after."""
+    while True:
+        low, high = np.minimum(parent[a], parent[b]), np.maximum(parent[a], parent[b])
+        apart = low < high
+        if not apart.any():
+            return
+        a, b, low, high = a[apart], b[apart], low[apart], high[apart]
+        np.minimum.at(parent, high, low)
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
+
+
 class Shard:
     """The vectors of one shard and size, and the classes that ask for their like."""
 
     def __init__(self):
         self.held: list[bytes] = []
         self.ids: list[int] = []
+        self.counts: list[int] = []
         self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        self.graphs: Graphs | None = None
+        self.ready = False
 
     def build(self) -> None:
         exact = unit(np.frombuffer(b"".join(self.held), np.float64).reshape(len(self.held), -1))
         order = np.random.default_rng(len(self.held)).permutation(len(self.held))
         self.exact, self.names, self.held = exact[order], np.array(self.ids, np.int64)[order], []
-        self.graphs = Graphs(self.exact.astype(np.float32))
+        self.rows = np.array(self.counts, np.int64)[order]
+        self.balls = balls_of(self.exact, self.rows)
+        self.middles = np.array([ball.middle for ball in self.balls]).reshape(len(self.balls), exact.shape[1])
+        self.centres = np.array([ball.members[0] for ball in self.balls], np.int64)
+        rest = np.ones(len(order), bool)
+        for ball in self.balls:
+            rest[ball.members] = False
+        self.rest = np.flatnonzero(rest)
+        self.graphs = Graphs(self.exact[self.rest].astype(np.float32)) if self.rest.size else None
+        self.root = np.arange(len(order))
+        for ball in self.balls:
+            unite(self.root, ball.members, np.full(ball.members.size, ball.members[0]))
+        self.ready = True
 
     def ask(self, vectors: list[bytes], classes: list[int]) -> Iterator[pa.RecordBatch]:
-        """Pairs of classes asked; the first wait until there are enough for an audit."""
+        """Links of classes of other shards; the first wait until there are enough for an audit."""
         queries = unit(np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1))
-        if self.graphs is not None:
+        if self.ready:
             yield from self.answer(queries, np.array(classes, np.int64))
             return
         self.waiting.append((queries, np.array(classes, np.int64)))
@@ -299,25 +416,71 @@ class Shard:
             yield from self.finish()
 
     def finish(self) -> Iterator[pa.RecordBatch]:
-        """Audit by the classes that wait, which come in order of their hash, and answer them."""
-        if not self.waiting or not self.ids:
+        """Audit by the classes that wait, then answer for the shard's own vectors and for those."""
+        if self.ready or not self.ids:
             return
         self.build()
-        queries, own = (np.concatenate(parts) for parts in zip(*self.waiting))
+        if self.graphs is not None and self.waiting:
+            first = np.concatenate([queries for queries, _ in self.waiting])[:AUDIT_MOST].astype(np.float32)
+            self.graphs.audit(first, np.full(len(first), -1))
+        yield from self.answer_own()
+        for queries, own in self.waiting:
+            yield from self.answer(queries, own)
         self.waiting = []
-        order = np.argsort(self.names)
-        at = order[np.minimum(np.searchsorted(self.names, own, sorter=order), order.size - 1)]
-        self.graphs.audit(queries[:AUDIT_MOST].astype(np.float32), np.where(self.names[at] == own, at, -1)[:AUDIT_MOST])
-        yield from self.answer(queries, own)
+
+    def links(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions in ``queries``, a linked vector of the shard or the middle of a ball, and the rows it stands for."""
+        found = []
+        if self.graphs is not None:
+            at, near = self.graphs.similar(queries.astype(np.float32), LEAST_COSINE - SLACK)
+            near = self.rest[near]
+            good = np.einsum("nd,nd->n", queries[at], self.exact[near]) >= LEAST_COSINE
+            found.append((at[good], near[good], self.rows[near[good]]))
+        if self.balls:
+            away = angles_of(queries @ self.middles.T)
+            for place in np.flatnonzero((away < 1.5 * LINK_ANGLE).any(0)):
+                asking = np.flatnonzero(away[:, place] < 1.5 * LINK_ANGLE)
+                rows = self.balls[place].linked(queries[asking], away[asking, place])
+                asking, rows = asking[rows > 0], rows[rows > 0]
+                found.append((asking, np.full(asking.size, self.centres[place]), rows))
+        at, near, rows = (np.concatenate(parts) for parts in zip(*found))
+        return at, near, rows
+
+    def answer_own(self) -> Iterator[pa.RecordBatch]:
+        """The vectors of the shard, after all of them are united; a vector is no link of its own."""
+        linked = np.zeros(len(self.names), np.int64)
+        for start in range(0, len(linked), BLOCK):
+            part = slice(start, min(len(linked), start + BLOCK))
+            at, near, rows = self.links(self.exact[part])
+            at = at + start
+            unite(self.root, at, near)
+            np.add.at(linked, at, rows)
+            alone = np.isin(np.arange(part.start, part.stop), at[self._itself(at, near)])
+            linked[part] -= np.where(alone, self.rows[part], 0)
+        own = np.flatnonzero(linked > 0)
+        yield self._batch(self.names[own], self.names[self.root[own]], linked[own])
+
+    def _itself(self, at: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Whether what was found for a vector of the shard counts the vector itself."""
+        if not hasattr(self, "ball"):
+            self.ball = np.arange(len(self.names))
+            for ball in self.balls:
+                self.ball[ball.members] = ball.members[0]
+        return self.ball[at] == near
 
     def answer(self, queries: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        count = len(self.names)
         for start in range(0, len(own), BLOCK):
             part = slice(start, start + BLOCK)
-            rows, found = self.graphs.similar(queries[part].astype(np.float32), LEAST_COSINE - SLACK)
-            cosine = np.einsum("nd,nd->n", queries[part][rows], self.exact[found])
-            a, b = own[part][rows], self.names[found]
-            good = (cosine >= LEAST_COSINE) & (a != b)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)[good]), "b": pa.array(np.maximum(a, b)[good])})
+            at, near, rows = self.links(queries[part])
+            groups, place = np.unique(at * count + self.root[near], return_inverse=True)
+            linked = np.zeros(groups.size, np.int64)
+            np.add.at(linked, place, rows)
+            yield self._batch(own[part][groups // count], self.names[groups % count], linked)
+
+    @staticmethod
+    def _batch(a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(linked, pa.int64())})
 
 
 def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,10 +498,11 @@ def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield from own.finish()
                 key, own = (shard, size), Shard()
             if not asked:
-                own.held += columns[4][begin:end]
+                own.held += columns[5][begin:end]
                 own.ids += columns[3][begin:end]
+                own.counts += columns[4][begin:end]
             elif own.ids:
-                yield from own.ask(columns[4][begin:end], columns[3][begin:end])
+                yield from own.ask(columns[5][begin:end], columns[3][begin:end])
             begin = end
     yield from own.finish()
 
@@ -348,12 +512,12 @@ def link_vectors(vectors: DataFrame) -> DataFrame:
     marked = staged(classes(vectors.select("vec_id", "embedding")), "vectors")
     whole = marked.where("cls is not null")
     sizes = whole.groupBy("cls").agg(F.count("*").alias("rows"), F.min("vec_id").alias("lowest"))
-    distinct = whole.dropDuplicates(["cls"]).select("cls", "vector")
-    shards = max(LEAST_SHARDS, math.ceil(marked.count() / SHARD_VECTORS))
-    pairs = staged(found_pairs(distinct, shards), "vector-links")
-    both = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    linked = both.join(sizes.select(F.col("cls").alias("b"), "rows"), "b").groupBy("a").agg(F.sum("rows").alias("linked"))
-    placed = sizes.join(components(pairs), F.col("cls") == F.col("node"), "left")
+    distinct = whole.dropDuplicates(["cls"]).select("cls", "vector").join(sizes.select("cls", "rows"), "cls")
+    rows, size = whole.agg(F.count("*"), F.coalesce(F.sum(F.length("vector")), F.lit(0))).first()
+    shards = max(LEAST_SHARDS, math.ceil(rows / SHARD_VECTORS), math.ceil(size / SHARD_BYTES))
+    links = staged(found_links(distinct, shards), "vector-links")
+    linked = links.groupBy("a").agg(F.sum("linked").alias("linked"))
+    placed = sizes.join(components(links.select("a", "b")), F.col("cls") == F.col("node"), "left")
     placed = placed.select("cls", "rows", "lowest", F.coalesce("root", "cls").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("lowest").alias("component_id"))
     own = placed.join(lowest, "root").join(linked, F.col("cls") == F.col("a"), "left")

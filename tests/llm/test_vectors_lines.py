@@ -44,6 +44,53 @@ def test_links_of_vectors(rows):
     assert found[len(own) + 7].component_id == len(own) + 6
 
 
+def families(count, places, spreads, source):
+    """A group of vectors for each spread, wide ones with pairs on both sides of the limit, and single vectors."""
+    groups = [source.normal(size=places) + source.normal(size=(count, places)) * spread for spread in spreads]
+    return np.concatenate((*groups, source.normal(size=(count, places))))
+
+
+def test_balls_against_brute_force():
+    source = np.random.default_rng(5)
+    x = vector_graphs.unit(families(300, 16, (0.02, 0.1, 0.2, 0.3), source))
+    weights = source.integers(1, 4, len(x))
+    found = vector_graphs.balls_of(x, weights)
+    members = np.concatenate([ball.members for ball in found])
+    assert len(found) >= 2 and members.size == np.unique(members).size >= 300
+    assert all((ball.vectors @ ball.vectors.T).min() >= 0.9 for ball in found)
+    queries = np.concatenate((x, vector_graphs.unit(x[:900] + source.normal(size=(900, 16)) * 0.15)))
+    for ball in found:
+        got = ball.linked(queries, vector_graphs.angles_of(queries @ ball.middle))
+        assert (got == (queries @ ball.vectors.T >= 0.9) @ weights[ball.members]).all()
+
+
+def test_large_groups_give_counts_not_pairs(rows):
+    source = np.random.default_rng(6)
+    x = vector_graphs.unit(families(600, 16, (0.02, 0.1, 0.25), source))
+    own = x.tolist() + x[:40].tolist()
+    table = rows("vec_id bigint, embedding array<double>", *[(i, v) for i, v in enumerate(own)])
+    found = {row.vec_id: row for row in vector_graphs.link_vectors(table).collect()}
+    x = vector_graphs.unit(np.array(own))
+    near = x @ x.T >= 0.9
+    wanted = near.sum(1) - 1
+    got = np.array([found[i].n_links for i in range(len(own))])
+    assert (got <= wanted).all() and got.sum() >= 0.98 * wanted.sum()
+    expected = smallest_reachable(range(len(own)), zip(*(side.tolist() for side in np.nonzero(np.triu(near, 1)))))
+    assert sum(found[i].component_id != expected[i] for i in range(len(own))) <= 0.02 * len(own)
+    marked = vector_graphs.classes(table)
+    distinct = marked.dropDuplicates(["cls"]).selectExpr("cls", "1L AS rows", "vector")
+    links = vector_graphs.found_links(distinct, 2).collect()
+    assert len(links) <= 4 * len(own) < wanted.sum() / 10
+
+
+def test_union_of_groups():
+    parent = np.arange(9)
+    vector_graphs.unite(parent, np.array([8, 7, 3, 5]), np.array([7, 6, 5, 4]))
+    assert parent.tolist() == [0, 1, 2, 3, 3, 3, 6, 6, 6]
+    vector_graphs.unite(parent, np.array([4, 0]), np.array([8, 0]))
+    assert parent.tolist() == [0, 1, 2, 3, 3, 3, 3, 3, 3]
+
+
 def test_no_vectors(rows):
     assert vector_graphs.link_vectors(rows("vec_id bigint, embedding array<float>")).collect() == []
     assert vector_graphs.link_vectors(rows("vec_id bigint, embedding array<float>", (1, None))).first().kept
