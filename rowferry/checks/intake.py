@@ -62,6 +62,20 @@ def src_new_files(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "user_id")
 
 
+@check("new_files_odd_names", "SELECT event_id, user_id FROM events WHERE event_id % 2 = 1")
+def new_files_odd_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder whose name, taken as a pattern, is that of one already read."""
+    root, ledger = staging_path(spark, "landing"), staging_path(spark, "ledger")
+    events = fx.table(spark, sf, "events")
+    for odd, day in enumerate(["day1", "day[1]"]):
+        events.where(F.col("event_id") % 2 == odd).write.parquet(f"{root}/{day}")
+    files.mark_read(files.list_files(spark, root, "*.parquet").where(F.contains("path", F.lit("/day1/"))), ledger)
+    rows, _ = files.read_new_files(
+        spark, root, "parquet", spark.read.schema(files.LEDGER_SCHEMA).parquet(ledger), events.schema, "*.parquet"
+    )
+    return rows.select("event_id", "user_id")
+
+
 @check("src_table_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def src_table_scan(spark: SparkSession, sf: str) -> DataFrame:
     table, path = "rowferry_scan", staging_path(spark, "table")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Characters that make a path a pattern.
+_PATTERN_SIGNS = re.compile(r"([\\*?\[\]{}])")
+
 LEDGER_SCHEMA = T.StructType([T.StructField("path", T.StringType(), False)])
 
 
@@ -15,6 +20,11 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def as_literal(path: str) -> str:
+    """A path that a scan takes as it is, not as a pattern."""
+    return _PATTERN_SIGNS.sub(r"\\\1", path)
+
+
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """The listed files whose path the ledger does not hold."""
     return files.join(ledger.select("path"), "path", "left_anti")
@@ -41,7 +51,7 @@ def read_new_files(
     fresh = new_files(list_files(spark, root, pattern), ledger).select("path").orderBy("path")
     paths = [r.path for r in (fresh if max_files is None else fresh.limit(max_files)).collect()]
     reader = spark.read.format(fmt).schema(schema).options(**options).option("basePath", root)
-    rows = reader.load(paths) if paths else spark.createDataFrame([], schema)
+    rows = reader.load([as_literal(p) for p in paths]) if paths else spark.createDataFrame([], schema)
     return rows, spark.createDataFrame([(p,) for p in paths], LEDGER_SCHEMA)
 
 
