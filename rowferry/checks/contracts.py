@@ -234,3 +234,20 @@ def dlq_sink_error(spark: SparkSession, sf: str) -> DataFrame:
     return failed.select(
         F.get_json_object("original_data", "$.event_id").cast("bigint").alias("event_id"), "error_category", "error_message"
     )
+
+
+def _refusing_bulk(rows: list[dict]) -> None:
+    for row in rows:
+        _refusing_store(row)
+
+
+@check("dlq_sink_batches", """
+SELECT event_id, 'sink_error' AS error_category, 'ConnectionError: store refused the row' AS error_message
+FROM events WHERE event_id % 100 = 7""")
+def dlq_sink_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A store that takes or refuses whole lists; the good rows of a refused list arrive."""
+    rows = fx.table(spark, sf, "events").select("event_id", "event_type")
+    failed = deadletter.write_batches_or_dlq(rows, _refusing_bulk, "p1", AT, retries=1)
+    return failed.select(
+        F.get_json_object("original_data", "$.event_id").cast("bigint").alias("event_id"), "error_category", "error_message"
+    )

@@ -31,6 +31,50 @@ def apply_row_function(
     return _map_rows(df, lambda row: [fn(row)], schema)
 
 
+def refused_rows(df: DataFrame, write: Callable[[list[dict[str, Any]]], None], rows_a_call: int, retries: int = 0) -> DataFrame:
+    """Hand the rows to ``write`` in lists; ``_error`` and ``_input`` of those it refuses.
+
+    A list that raises is halved until the refused rows stand alone, so good
+    rows cost one call for a whole list, and one bad row some ``2 * log2(rows_a_call)``
+    more. Only a row that stands alone is tried ``retries`` times again. Rows of
+    a list that raised are handed over again, so ``write`` should use their key.
+    """
+    if rows_a_call < 1 or retries < 0:
+        raise ValueError("a call takes at least one row, and retries are not negative")
+
+    def refused(rows: list[dict[str, Any]]) -> Iterator[dict[str, str]]:
+        waiting, tries = [rows], 0
+        while waiting:
+            part = waiting[-1]
+            try:
+                write(part)
+            except Exception as reason:
+                if len(part) > 1:
+                    middle = len(part) // 2
+                    waiting[-1:] = [part[middle:], part[:middle]]
+                    continue
+                if tries < retries:
+                    tries += 1
+                    continue
+                yield {ERROR: f"{type(reason).__name__}: {reason}", FAILED_INPUT: json.dumps(part[0], default=str)}
+            waiting.pop()
+            tries = 0
+
+    arrow = pa.schema([(ERROR, pa.string()), (FAILED_INPUT, pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, Any]] = []
+        for batch in batches:
+            held += batch.to_pylist()
+            while len(held) >= rows_a_call:
+                yield pa.RecordBatch.from_pylist(list(refused(held[:rows_a_call])), schema=arrow)
+                held = held[rows_a_call:]
+        if held:
+            yield pa.RecordBatch.from_pylist(list(refused(held)), schema=arrow)
+
+    return df.mapInArrow(run, f"{ERROR} STRING, {FAILED_INPUT} STRING")
+
+
 def parse_custom(
     df: DataFrame,
     column: str,

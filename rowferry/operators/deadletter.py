@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from rowferry.config import DeadLetters
 from rowferry.errors import ConfigError
-from rowferry.formats.custom import ERROR, apply_row_function
+from rowferry.formats.custom import ERROR, apply_row_function, refused_rows
 from rowferry.formats.parse import parse_json
 from rowferry.functions.casts import instant
 from rowferry.functions.records import TIME_FORMATS, name, record_json, record_key
@@ -203,9 +203,24 @@ def write_or_dlq(
         return {}
 
     outcome = apply_row_function(df, attempt, nothing).where(F.col(ERROR).isNotNull())
-    failed = stage(outcome, "sink-failures")
+    return _sink_letters(outcome, pipeline_id, at, retries)
+
+
+def write_batches_or_dlq(
+    df: DataFrame,
+    write: Callable[[list[dict[str, Any]]], None],
+    pipeline_id: str,
+    at: datetime,
+    rows_a_call: int = 500,
+    retries: int = 2,
+) -> DataFrame:
+    """The same with lists of rows: one that fails is halved until the bad rows stand alone (see :func:`refused_rows`)."""
+    return _sink_letters(refused_rows(df, write, rows_a_call, retries), pipeline_id, at, retries)
+
+
+def _sink_letters(outcome: DataFrame, pipeline_id: str, at: datetime, retries: int) -> DataFrame:
     return to_dlq(
-        failed, pipeline_id, at,
+        stage(outcome, "sink-failures"), pipeline_id, at,
         original=name("_input"), kind=F.lit(category("sink_error")), message=name(ERROR),
         retry_count=retries,
     )

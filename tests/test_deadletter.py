@@ -1,5 +1,6 @@
 import glob
 import json
+import uuid
 from datetime import datetime
 
 import pytest
@@ -117,3 +118,26 @@ def test_sink_failures_after_retries(rows, tmp_path):
         found = failed.collect()
         assert [(r.error_category, r.original_data, r.metadata["retry_count"]) for r in found] == [("sink_error", '{"id": 2}', "1")]
     assert sorted(p.name for p in log.iterdir()) == ["1", "3"]
+
+
+def test_refused_lists_are_halved(spark, rows, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def write(part):
+        (log / uuid.uuid4().hex).write_text(str(len(part)))
+        if any(row["id"] in (5, 300) for row in part):
+            raise OSError("down")
+
+    table = spark.range(512).coalesce(1)
+    failed = deadletter.write_batches_or_dlq(table, write, "p", AT, rows_a_call=128, retries=1)
+    assert sorted(r.original_data for r in failed.collect()) == ['{"id": 300}', '{"id": 5}']
+    sizes = [int(p.read_text()) for p in log.iterdir()]
+    # Four lists; in two of them 7 halvings of two calls each, and one more try of a row alone.
+    assert len(sizes) == 4 + 2 * (2 * 7 + 1) and sizes.count(128) == 4
+    assert deadletter.write_batches_or_dlq(table.limit(0), write, "p", AT).count() == 0
+
+
+def test_lists_that_never_fit_are_refused_at_once(rows):
+    with pytest.raises(ValueError):
+        deadletter.write_batches_or_dlq(rows("id BIGINT", (1,)), print, "p", AT, rows_a_call=0)
