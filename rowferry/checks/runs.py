@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from rowferry.checks import fixtures as fx
 from rowferry.checks.contracts import validated_lines
-from rowferry.checks.intake import RAW_LINE_SQL, landed_lines
+from rowferry.checks.intake import CHANGES_SQL, RAW_LINE_SQL, landed_lines
 from rowferry.checks.registry import check
 from rowferry.config import Job, job_from_dict
 from rowferry.operators import cdc, deadletter, monitoring
 from rowferry.plans.assemble import mark, outcome
-from rowferry.session import staging_path
+from rowferry.session import sql_settings, staging_path
 from rowferry.sources import plugin
 from rowferry.sources.files import stream_files
 from rowferry.sources.lines import clean_lines
+from rowferry.streaming.current import STORE, STORE_SETTING, newest_on_stream
 from rowferry.streaming.run import finish, run_metrics, run_pipeline
 
 AT = datetime(2024, 2, 1)
@@ -124,6 +125,28 @@ def rate_limited_batches(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(events.schema).parquet(sink)
 
 
+@check("stream_current_state", f"""
+WITH d AS ({CHANGES_SQL}),
+r AS (SELECT *, lsn % 3 = 0 AS first, row_number() OVER (PARTITION BY id, lsn % 3 = 0 ORDER BY lsn DESC) AS rn FROM d),
+s AS (SELECT c_custkey AS id, CAST(499 AS BIGINT) AS known FROM customer),
+a AS (SELECT r.id, r.lsn, r.op FROM r LEFT JOIN s ON r.id = s.id WHERE rn = 1 AND first AND r.lsn > coalesce(known, -1)),
+b AS (SELECT r.id, r.lsn, r.op FROM r LEFT JOIN s ON r.id = s.id LEFT JOIN a ON r.id = a.id
+  WHERE rn = 1 AND NOT first AND r.lsn > greatest(coalesce(known, -1), coalesce(a.lsn, -1)))
+SELECT id, lsn, op FROM a UNION ALL SELECT id, lsn, op FROM b""")
+def stream_current_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third change, then a restart and all others, older and newer ones, after a snapshot of another table."""
+    landing, sink, state = (staging_path(spark, label) for label in ("landing", "sink", "state"))
+    changes = fx.changes(spark, sf).select("id", "lsn", "op")
+    snapshot = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.lit(499).alias("lsn"))
+    with sql_settings(spark, {STORE_SETTING: STORE}):
+        for arrived in ("lsn % 3 = 0", "lsn % 3 <> 0"):
+            changes.where(arrived).write.mode("append").parquet(landing)
+            newest = newest_on_stream(spark.readStream.schema(changes.schema).parquet(landing), ["id"], ["lsn"], snapshot)
+            query = newest.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(sink)
+            query.awaitTermination()
+    return spark.read.schema(changes.schema).parquet(sink)
+
+
 @check("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """The same files delivered twice to a stream count once within the watermark delay."""

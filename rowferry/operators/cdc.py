@@ -103,6 +103,11 @@ def unplaced(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return changes.where(_any_null([*keys, *order]))
 
 
+def placed(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The other changes: those with a whole key and order."""
+    return changes.where(~_any_null([*keys, *order]))
+
+
 def _any_null(columns: list[str]) -> Column:
     return reduce(Column.__or__, [name(c).isNull() for c in columns])
 
@@ -112,9 +117,9 @@ def newest_changes(changes: DataFrame, keys: list[str], order: list[str], op: st
 
     Order columns that are no keys leave the row unless ``_order`` is read.
     """
-    placed = changes.where(~_any_null([*keys, *order]))
+    whole = placed(changes, keys, order)
     gone = (F.col(op) == DELETE) if op in changes.columns else F.lit(False)
-    ordered = placed.withColumns({ORDER: F.struct(*[name(c).alias(c) for c in order]), GONE: F.coalesce(gone, F.lit(False))})
+    ordered = whole.withColumns({ORDER: F.struct(*[name(c).alias(c) for c in order]), GONE: F.coalesce(gone, F.lit(False))})
     return latest(ordered.drop(op) if op in changes.columns else ordered, keys, [ORDER])
 
 
