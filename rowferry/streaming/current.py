@@ -36,7 +36,9 @@ def newest_on_stream(
     downstream; a new stream starts from it, a restarted one from its
     checkpoint. With ``tombstone_ttl`` the order of a deleted key is forgotten
     that long after the delete came; a change older than that delete can then
-    pass. Changes without a key or an order are left out (see
+    pass. State with a time to live asks for batches without new data, so a
+    query that only drains its source never ends unless
+    ``spark.sql.streaming.noDataMicroBatches.enabled`` is ``false``. Changes without a key or an order are left out (see
     :func:`cdc.unplaced`), and of changes equal in the order the one that came
     first counts.
 
