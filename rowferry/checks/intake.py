@@ -15,7 +15,7 @@ from rowferry.formats.custom import parse_custom, serialise_custom
 from rowferry.operators.numbering import number_rows
 from rowferry.schemas import DOUBLE, LONG, TEXT, fields
 from rowferry.session import staging_path
-from rowferry.sources import broker, changes, files, generate, lines, plugin, pulls, tables
+from rowferry.sources import broker, changes, files, generate, lines, paged, plugin, pulls, tables
 
 # The text of each raw line, as the fixture makes it.
 RAW_LINE_SQL = """
@@ -118,6 +118,14 @@ def pull_page_numbers(spark: SparkSession, sf: str) -> DataFrame:
 _ITEM = fields(event_id=LONG, event_type=TEXT)
 
 
+@check("pull_far_page", "SELECT event_id, user_id, event_type FROM events ORDER BY user_id, event_id LIMIT 60 OFFSET 600")
+def pull_far_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The eleventh page of a kept order; only the folders it falls into are read."""
+    events, path = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type"), staging_path(spark, "paged")
+    paged.write_pages(events, ["user_id", "event_id"], path)
+    return paged.read_page(spark, path, events.schema, 10, 60)
+
+
 @check("pages_explode", """
 SELECT event_id // 100 AS page, CAST(event_id % 100 AS BIGINT) AS pos, event_id, event_type
 FROM events WHERE (event_id // 100) % 10 <> 7""")

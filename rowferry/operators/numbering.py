@@ -23,6 +23,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def in_ranges(df: DataFrame, order: list[str], range_name: str, place_name: str) -> DataFrame:
+    """Rows sorted within ranges of the order, with the number of the range and the place in it, from 0.
+
+    A random last key spreads rows that are equal in ``order`` over several
+    ranges. Write the result before it is read twice: a place holds for one run.
+    """
+    keys = [name(c).asc() for c in order] + [F.col("_spread").asc()]
+    sorted_rows = df.withColumn("_spread", F.rand(0)).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_spread")
+    at = sorted_rows.withColumn("_at_", F.monotonically_increasing_id())
+    return at.select(
+        *[name(c) for c in df.columns], F.col("_at_").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(place_name),
+        F.shiftright("_at_", _PLACE_BITS).alias(range_name),
+    )
+
+
 def number_rows(df: DataFrame, order: list[str], into: str = "row_number") -> DataFrame:
     """Add the 0-based position of each row in the order of ``order``.
 
