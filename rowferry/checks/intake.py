@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from rowferry.checks import fixtures as fx
 from rowferry.checks.registry import check
+from rowferry.config import job_from_dict
 from rowferry.formats import parse, serialise
 from rowferry.formats.custom import parse_custom, serialise_custom
 from rowferry.operators.numbering import number_rows
 from rowferry.schemas import DOUBLE, LONG, TEXT, fields
 from rowferry.session import staging_path
 from rowferry.sources import broker, changes, files, generate, lines, paged, plugin, pulls, tables
+from rowferry.streaming.run import open_source
 
 # The text of each raw line, as the fixture makes it.
 RAW_LINE_SQL = """
@@ -257,9 +259,13 @@ def fmt_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 @check("fmt_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def fmt_csv(spark: SparkSession, sf: str) -> DataFrame:
-    customer, path = fx.table(spark, sf, "customer"), staging_path(spark, "csv")
-    customer.write.option("header", True).csv(path)
-    return spark.read.schema(customer.schema).option("header", True).csv(path)
+    """A declared CSV source with a header and its own separator, read as a table."""
+    customer = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    path, options = staging_path(spark, "csv"), {"header": "true", "sep": ";"}
+    customer.write.options(**options).csv(path)
+    properties = {"path": path, "schema": customer.schema.toDDL(), "options": options}
+    job = job_from_dict({"pipeline_id": "p1", "source": {"type": "csv", "properties": properties}, "sink": {"type": "discard"}})
+    return open_source(spark, job, stream=False)
 
 
 @check("fmt_csv_column", """

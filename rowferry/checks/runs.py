@@ -20,7 +20,8 @@ from rowferry.sources import plugin
 from rowferry.sources.files import stream_files
 from rowferry.sources.lines import clean_lines
 from rowferry.streaming.current import STORE, STORE_SETTING, newest_on_stream
-from rowferry.streaming.run import finish, run_metrics, run_pipeline
+from rowferry.streaming.limits import writer_trigger
+from rowferry.streaming.run import finish, open_source, run_metrics, run_pipeline
 
 AT = datetime(2024, 2, 1)
 
@@ -111,18 +112,18 @@ def metrics_archive(spark: SparkSession, sf: str) -> DataFrame:
     return run_metrics(spark, state).groupBy("pipeline_id").agg(*counted, (F.sum("bytes_written") > 0).alias("has_bytes"))
 
 
-@check("rate_limited_batches", "SELECT event_id, user_id, event_type FROM events")
+@check("rate_limited_batches", "SELECT event_id, user_id, event_type, 3 AS batches FROM events")
 def rate_limited_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """One file per micro-batch; all rows arrive."""
+    """A job limited to one file per micro-batch takes as many batches as files; all rows arrive."""
     landing, sink, state = (staging_path(spark, label) for label in ("landing", "sink", "state"))
     events = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type")
     events.repartition(3).write.parquet(landing)
-    query = (
-        stream_files(spark, landing, "parquet", events.schema, max_files=1)
-        .writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(sink)
-    )
-    query.awaitTermination()
-    return spark.read.schema(events.schema).parquet(sink)
+    job = _bare_job({"type": "parquet", "properties": {"path": landing, "schema": events.schema.toDDL(), "max_files_per_trigger": 1}}, sink)
+    query = open_source(spark, job).writeStream.format("parquet").option("checkpointLocation", state)
+    done = query.trigger(**writer_trigger(job, once=True)).start(sink)
+    done.awaitTermination()
+    batches = sum(1 for progress in done.recentProgress if progress.numInputRows)
+    return spark.read.schema(events.schema).parquet(sink).withColumn("batches", F.lit(batches))
 
 
 @check("stream_current_state", f"""

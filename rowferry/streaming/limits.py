@@ -5,6 +5,9 @@ from __future__ import annotations
 from typing import Any
 
 from rowferry.config import Job, RateLimits
+from rowferry.errors import ConfigError
+
+_FILE_SOURCES = ("lines", "stdin", "parquet", "json", "csv", "orc", "xml")
 
 
 def _rate(value: int, default: int) -> int:
@@ -27,8 +30,9 @@ def reader_limits(job: Job, once: bool = False) -> dict[str, str]:
 
     A rate needs a clock: without declared limits, and in a run that drains
     the source and ends, micro-batches are as large as Spark makes them. A
-    file source counts whole files or bytes; it is held to a rate only when
-    the property ``record_bytes`` says how large records are.
+    file source counts whole files or bytes; it is held to a rate by the
+    property ``record_bytes``, which says how large records are. A declared
+    rate that a source cannot be held to is refused.
     """
     if job.source.get("max_files_per_trigger"):
         return {"maxFilesPerTrigger": str(job.source.get("max_files_per_trigger"))}
@@ -36,8 +40,9 @@ def reader_limits(job: Job, once: bool = False) -> dict[str, str]:
         return {}
     if job.source.type == "kafka":
         return {"maxOffsetsPerTrigger": str(records_per_trigger(job))}
-    size = job.source.get("record_bytes")
-    return {"maxBytesPerTrigger": str(records_per_trigger(job) * int(size))} if size else {}
+    if job.source.type not in _FILE_SOURCES:
+        raise ConfigError(f"a source of type {job.source.type!r} cannot be held to a declared rate")
+    return {"maxBytesPerTrigger": str(records_per_trigger(job) * int(job.source.require("record_bytes")))}
 
 
 def writer_trigger(job: Job, once: bool) -> dict[str, Any]:
