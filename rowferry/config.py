@@ -123,6 +123,7 @@ def job_from_dict(raw: dict[str, Any]) -> Job:
         if policy not in DRIFT_POLICIES:
             raise ConfigError(f"unknown drift policy {schema.drift_policy!r}")
         schema = SchemaRules(schema.schema_path, schema.ddl, policy, schema.auto_infer)
+    limits = raw.get("rate_limits") or {}
     return Job(
         pipeline_id=raw["pipeline_id"],
         source=_connector(raw["source"]),
@@ -131,7 +132,7 @@ def job_from_dict(raw: dict[str, Any]) -> Job:
         field_mappings=tuple(_block(FieldMapping, m) for m in raw.get("field_mappings", ())),
         transforms=tuple(_block(Transform, t) for t in raw.get("transforms", ())),
         schema=schema,
-        rate_limits=_block(RateLimits, {**raw["rate_limits"], "declared": True}) if raw.get("rate_limits") else RateLimits(),
+        rate_limits=_block(RateLimits, {**limits, "declared": any(key.endswith("_tps") for key in limits)}),
         flags=_block(Flags, raw.get("flags", {})),
         dlq=_block(DeadLetters, raw.get("dlq", {})),
     )

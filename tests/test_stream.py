@@ -429,6 +429,7 @@ def test_limits_count_records():
     assert limits.records_per_trigger(zero) == 25_000 and limits.sink_connections(zero) == 10
     files = job_with({"type": "lines", "properties": {"record_bytes": 100}}, rate_limits={"max_source_tps": 10})
     assert limits.reader_limits(files) == {"maxBytesPerTrigger": "5000"}
+    assert limits.reader_limits(job_with({"type": "json"}, rate_limits={"max_concurrent_connections": 4})) == {}
     for source in ({"type": "json"}, {"type": "custom", "properties": {"record_bytes": 100}}):
         with pytest.raises(ConfigError):
             limits.reader_limits(job_with(source, rate_limits={"max_source_tps": 10}))
