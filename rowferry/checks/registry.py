@@ -43,4 +43,4 @@ def all_oracles() -> dict[str, str]:
 
 
 def _load() -> None:
-    from rowferry.checks import contracts, delivery, intake, runs, shaping  # noqa: F401
+    from rowferry.checks import contracts, delivery, growth, intake, runs, shaping  # noqa: F401

@@ -101,6 +101,7 @@ class Job:
     flags: Flags = Flags()
     dlq: DeadLetters = DeadLetters()
     run_id: str = ""
+    schema_version: int = 0
 
 
 def resolve_secret(reference: str) -> str:

@@ -14,6 +14,7 @@ from rowferry.formats.parse import CORRUPT, as_text, evaluate_once
 from rowferry.functions.casts import does_not_fit
 from rowferry.functions.records import name
 from rowferry.operators.mapping import ERRORS, MARK, add_errors, error_list
+from rowferry.operators.widening import grow
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
@@ -201,11 +202,27 @@ def drift_of_errors(marked: DataFrame) -> DataFrame:
     return found.groupBy(field.alias("field"), change.alias("change")).agg(F.count("*").alias("n"))
 
 
-def unknown_fields(df: DataFrame, column: str, known: Iterable[str]) -> DataFrame:
-    """The names of fields outside ``known``, each once."""
-    names = F.array(*[F.lit(n) for n in known]) if known else F.array().cast("array<string>")
-    extra = F.array_except(F.json_object_keys(name(column)), names)
-    return df.select(F.explode(extra).alias("field")).distinct()
+def grown(df: DataFrame, column: str, known: T.StructType, add: bool, types: bool) -> T.StructType:
+    """``known`` after what the records show: with ``add`` new fields, with ``types`` wider types.
+
+    One pass; only records that do not fit ``known`` are looked at again. The
+    values of a field are joined kind by kind, so one word among numbers does
+    not keep a fraction from widening them.
+    """
+    marked = read_records(df.select(name(column)), column, nullable(known), unknown=add)
+    odd = marked.where(F.exists(ERRORS, lambda e: e.startswith("added:") | e.startswith("type:"))).select(name(column).alias("j"))
+    variants = odd.select(F.try_parse_json("j").alias("v"))
+    pairs = variants.lateralJoin(variants.sparkSession.tvf.variant_explode_outer(F.col("v").outer())).where(F.col("key").isNotNull())
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    found = pairs.groupBy(F.col("key").alias("field"), kind.alias("kind")).agg(F.schema_of_variant_agg("value").alias("type"))
+    seen = found.orderBy("field", "kind").take(MAX_FIELDS + 1)
+    if len(seen) > MAX_FIELDS:
+        raise ConfigError(f"more than {MAX_FIELDS} distinct fields: declare a schema instead")
+    return grow(known, [T.StructField(r.field, _kind_of(r.type)) for r in seen], add, types)
+
+
+def _kind_of(variant_type: str) -> T.DataType:
+    return T.NullType() if variant_type == "VOID" else T.StructType.fromDDL(f"v {_sql_type(variant_type)}")["v"].dataType
 
 
 def halt_on_drift(df: DataFrame, column: str, expected: T.StructType) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import partial
 from typing import Any
 
@@ -32,9 +32,11 @@ from rowferry.session import one_row
 from rowferry.sinks import files as file_sinks
 from rowferry.sinks import jdbc, tables, versions
 from rowferry.sinks.appends import AppendTable
+from rowferry.sinks.gathering import GatheredStage
 from rowferry.sinks.keyed import KeyedTable
 from rowferry.sources import broker, files, lines
 from rowferry.streaming import ledger, limits, pull
+from rowferry.streaming.schemas import VERSION, SchemaRegistry
 
 HISTORY = fields(pipeline_id=TEXT, seq=LONG, status=TEXT)
 RUN = fields(run_id=TEXT)
@@ -85,8 +87,13 @@ def _step(job: Job, batch_id: int) -> str:
 
 
 def _files(fmt: str, df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:
-    """A folder per micro-batch of a run, replaced when the batch is repeated."""
-    path = f"{sink.require('path')}/{_step(job, batch_id)}"
+    """A folder per micro-batch of a run, replaced when the batch is repeated.
+
+    Parquet keeps its types, so where they can grow each version of the schema
+    has a folder (:func:`rowferry.streaming.schemas.read_versions`).
+    """
+    version = f"{VERSION}={job.schema_version}/" if job.schema_version and fmt == "parquet" else ""
+    path = f"{sink.require('path')}/{version}{_step(job, batch_id)}"
     keys = sink.get("partition_by", [])
     options = {**(TIME_FORMATS if fmt in ("json", "csv") else {}), **sink.get("options", {})}
     if keys:
@@ -139,6 +146,16 @@ def _routed(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:
     return path
 
 
+def gathered_stage(sink: Connector, run_id: str) -> GatheredStage:
+    """The groups that a run gathers for bulk loads; by default 50 MB or 60 seconds."""
+    age = timedelta(seconds=float(sink.get("max_age_seconds", 60)))
+    return GatheredStage(f"{sink.require('path')}/run_id={run_id}", float(sink.get("target_mb", 50)), age)
+
+
+def _staged(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> str:
+    return gathered_stage(sink, job.run_id).add(df, batch_id, datetime.now(timezone.utc))
+
+
 def _kafka(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
     topic, key = sink.require("topics"), sink.require("key_field")
     shaped = to_broker(df.withColumn("_topic", F.lit(topic)), key, "_topic", df.columns)
@@ -186,6 +203,9 @@ def _discard(df: DataFrame, sink: Connector, job: Job, batch_id: int) -> None:
     file_sinks.discard(df)
 
 
+# Sinks that take rows of any type, so that inferred types can grow under them.
+_ANY_TYPES = ("ndjson", "csv", "parquet", "console", "stdout", "noop")
+
 SINKS: dict[str, Writer] = {
     "ndjson": partial(_files, "json"),
     "parquet": partial(_files, "parquet"),
@@ -193,6 +213,7 @@ SINKS: dict[str, Writer] = {
     "table": _table,
     "merge": _merge,
     "routed": _routed,
+    "staged": _staged,
     "kafka": _kafka,
     "jdbc": _jdbc,
     "postgres": _jdbc,
@@ -300,10 +321,15 @@ def run_identity(spark: SparkSession, state: str) -> str:
 
 
 def finish(spark: SparkSession, query: StreamingQuery | None, job: Job, state: str) -> None:
-    """Wait for the end of a run and enter it in the history; a pull has ended already."""
+    """Wait for the end of a run and enter it in the history; a pull has ended already.
+
+    What a ``staged`` sink still gathers is sealed, since no later batch would.
+    """
     try:
         if query is not None:
             query.awaitTermination()
+        if job.enabled and job.sink.type == "staged":
+            gathered_stage(job.sink, run_identity(spark, state)).flush(spark, datetime.now(timezone.utc))
     except Exception as failure:
         record_state(spark, state, job.pipeline_id, f"failed: {str(failure).splitlines()[0]}")
         raise
@@ -316,10 +342,8 @@ def process_batch(
 ) -> None:
     """One micro-batch from rows read to counters archived."""
     spark = df.sparkSession
-    if schema is None and job.schema is not None and job.schema.auto_infer:
-        schema = inferred_once(df, job, state)
-    if schema is not None and job.schema.drift_policy == "alter_table" and "raw_json" in df.columns:
-        schema = widened_schema(df, schema, state)
+    schema, version = agreed_schema(df, job, schema, state, batch_id, at)
+    job = replace(job, schema_version=version)
     entry, exit_ = Observation(f"in-{batch_id}"), Observation(f"out-{batch_id}")
     contract_fault = error_category(F.col(ERRORS)).isin("schema_validation", "source_parsing_error")
 
@@ -405,43 +429,58 @@ def record_drift(held: DataFrame, job: Job, state: str, batch_id: int, at: datet
         raise SchemaDriftError(message)
 
 
-def inferred_once(df: DataFrame, job: Job, state: str) -> T.StructType:
-    """The schema of the first micro-batch, kept for all later ones."""
-    saved = _saved_schema(df.sparkSession, state)
-    if saved is None:
-        saved = contract.infer_schema(df, "raw_json")
-        _save_schema(df.sparkSession, state, saved)
-    return saved
+def agreed_schema(
+    df: DataFrame, job: Job, declared: T.StructType | None, state: str, batch_id: int, at: datetime,
+) -> tuple[T.StructType | None, int]:
+    """The contract of a micro-batch, and its version where types may grow (else 0).
 
-
-def widened_schema(df: DataFrame, schema: T.StructType, state: str) -> T.StructType:
-    """The contract plus the fields this and earlier micro-batches added."""
-    known = _saved_schema(df.sparkSession, state) or schema
-    if contract.unknown_fields(df, "raw_json", known.names).isEmpty():
-        return known
-    names = set(known.names)
-    seen = contract.infer_schema(df, "raw_json")
-    added = [T.StructField(f.name, f.dataType, True) for f in seen.fields if f.name not in names]
-    if added:
-        known = T.StructType(known.fields + added)
-        _save_schema(df.sparkSession, state, known)
-    return known
-
-
-def _saved_schema(spark: SparkSession, state: str) -> T.StructType | None:
+    An inferred contract grows in types as far as later values join with what
+    is known (whole numbers beside fractions), where the sink takes that; a
+    declared one keeps its types. Under ``alter_table`` either takes new
+    fields. Versions are kept in the state folder.
+    """
+    inferring = declared is None and job.schema is not None and job.schema.auto_infer
+    adding = job.schema is not None and job.schema.drift_policy == "alter_table" and "raw_json" in df.columns
+    if not inferring and (declared is None or not adding):
+        return declared, 0
+    registry, growing = SchemaRegistry(f"{state}/schema"), inferring and job.sink.type in _ANY_TYPES
+    spark = df.sparkSession
+    found = registry.newest(spark)
+    if found is None and inferring:
+        known = contract.infer_schema(df, "raw_json")
+    else:
+        known = contract.grown(df, "raw_json", found[1] if found else declared, adding, growing)
+    if found is None and declared is not None and known != declared:
+        registry.add(spark, declared, batch_id, at)
+    version = registry.add(spark, known, batch_id, at) if known.fields else 0
+    return known, version if growing else 0
+
+
+def drift_history(spark: SparkSession, state: str) -> DataFrame:
+    """``pipeline_id, run_id, batch_id, at, field, change, n``: the drift of every batch; a repeat counts once."""
+    kinds = T.StructType([
+        T.StructField("pipeline_id", T.StringType()), T.StructField("at", T.TimestampType()),
+        *fields(field=TEXT, change=TEXT, n=LONG, run_id=TEXT, batch_id=LONG).fields,
+    ])
     try:
-        saved = spark.read.schema(fields(version=LONG, ddl=TEXT)).json(f"{state}/schema")
-        text = saved.agg(F.max_by("ddl", "version")).first()[0]
+        found = spark.read.schema(kinds).parquet(f"{state}/drift")
     except AnalysisException as absent:
         if absent.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return T.StructType.fromDDL(text) if text else None
+        found = spark.createDataFrame([], kinds)
+    return found.select("pipeline_id", "run_id", "batch_id", "at", "field", "change", "n")
 
 
-def _save_schema(spark: SparkSession, state: str, schema: T.StructType) -> None:
-    row = one_row(spark, fields(version=LONG, ddl=TEXT), len(schema.fields), schema.toDDL())
-    row.write.mode("append").json(f"{state}/schema")
+def publish_drift(spark: SparkSession, job: Job, state: str, table: str, path: str) -> None:
+    """The drift of a job's records and the versions of its contract, as one catalogue table.
+
+    A record's drift has ``n`` and no version; a change between versions has
+    its version and both types, and no ``n``.
+    """
+    recorded = drift_history(spark, state).drop("run_id")
+    versions_ = SchemaRegistry(f"{state}/schema").history(spark).withColumnRenamed("first_batch", "batch_id")
+    both = recorded.unionByName(versions_.withColumn("pipeline_id", F.lit(job.pipeline_id)), allowMissingColumns=True)
+    tables.publish(both, table, path, tags={"pipeline": job.pipeline_id}, comment="schema drift and contract versions")
 
 
 def record_state(spark: SparkSession, state: str, pipeline_id: str, status: str) -> None:
