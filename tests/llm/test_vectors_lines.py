@@ -222,6 +222,39 @@ def test_pairs_in_a_family_of_template_lines(rows):
     assert len(set(found.values())) >= 400
 
 
+def test_all_pairs_of_a_family_whose_rare_hashes_are_common(rows):
+    source = random.Random(23)
+    word = lambda count: "".join(source.choice("abcdefghijklmnop") for _ in range(count))
+    template, texts = word(164), []
+    for _ in range(150):  # 156 shingles of the template and 25 others, few of which are among the least hashes
+        own = word(25)
+        texts += [template + own, template + own[:-2] + word(2)]
+    source.shuffle(texts)
+    sets = [{t[i:i + 9] for i in range(len(t) - 8)} for t in texts]
+    links = [(a, b) for a in range(300) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    expected = smallest_reachable(range(300), links)
+    assert len(set(expected.values())) == 150
+    found = united(rows, texts)
+    groups = {}
+    for at, component in found.items():
+        groups.setdefault(component, set()).add(at)
+    assert sorted(map(sorted, groups.values())) == sorted([a for a in range(300) if expected[a] == root] for root in set(expected.values()))
+
+
+def test_blocks_of_a_shingle_meet_each_other(rows, monkeypatch):
+    monkeypatch.setattr(fuzzy_lines, "BLOCK", 2)
+    source = random.Random(24)
+    bases = ["".join(source.choice("abcdef") for _ in range(60)) for _ in range(6)]
+    texts = sorted({base[:at] + "x" + base[at + 1:] for base in bases for at in source.sample(range(60), 9)} | {b[:50] for b in bases})
+    keyed = rows("key bigint, root bigint, line string", *[(i, i, t) for i, t in enumerate(texts)])
+    pairs = fuzzy_lines.met_by_shingles(keyed.select("key", "root"), keyed.select("key", "line"))
+    found = {(row.a, row.b) for row in fuzzy_lines.similar(pairs, keyed.select("key", "line")).collect()}
+    sets = [line_set(t) for t in texts]
+    count = range(len(texts))
+    assert found == {(a, b) for b in count for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(found) > 10
+
+
 def test_no_lines(rows):
     assert fuzzy_lines.line_classes(rows("doc_id bigint, text string")).collect() == []
     assert fuzzy_lines.line_classes(rows("doc_id bigint, text string", (1, None), (2, " \n"))).collect() == []
