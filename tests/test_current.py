@@ -3,10 +3,13 @@
 import time
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 
 from rowferry.errors import ConfigError
 from rowferry.session import sql_settings
+from rowferry.streaming import current
 from rowferry.streaming.current import STORE, STORE_SETTING, newest_on_stream
 
 DDL = "id STRING, part INT, lsn BIGINT, sub INT, op STRING, v STRING"
@@ -62,6 +65,51 @@ def test_hot_key_is_reduced_before_the_shuffle(arrive):
     assert arrive(*[("hot", 1, i, 0, "u", str(i)) for i in range(5000)], ("cold", 1, 1, 0, "u", "cold")) == ["4999", "cold"]
 
 
+def test_a_task_reduces_across_its_batches(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"id": ["hot", "hot", f"cold {i}"], "lsn": [i, 99 - i, i], "v": [f"{i}a", f"{i}b", "c"]}) for i in range(20)]
+    work = current._newest_of_batches(["id"], ["lsn"])
+    found = [row for batch in work(iter(batches)) for row in batch.to_pylist()]
+    assert [row for row in found if row["id"] == "hot"] == [{"id": "hot", "lsn": 99, "v": "0b"}]
+    assert len(found) == 21
+    monkeypatch.setattr(current, "HELD_ROWS", 4)
+    found = [row for batch in work(iter(batches)) for row in batch.to_pylist()]
+    assert {row["id"]: max(r["lsn"] for r in found if r["id"] == row["id"]) for row in found} == {"hot": 99} | {f"cold {i}": i for i in range(20)}
+    assert list(work(iter([]))) == []
+
+
+class Counted:
+    """A state in memory that counts the messages it would take."""
+
+    def __init__(self, value=None):
+        self.value, self.messages = value, 0
+
+    def get(self):
+        self.messages += 1
+        return self.value
+
+    def exists(self):
+        self.messages += 1
+        return self.value is not None
+
+    def update(self, value):
+        self.messages, self.value = self.messages + 1, value
+
+    def clear(self):
+        self.messages, self.value = self.messages + 1, None
+
+
+@pytest.mark.parametrize("live, gone, op, expected, most", [
+    ((5,), None, "u", ((7,), None), 2), ((5,), None, "d", (None, (7,)), 3), (None, (5,), "u", ((7,), None), 4),
+    (None, (5,), "d", (None, (7,)), 3), (None, None, "u", ((7,), None), 3), ((8,), None, "u", ((8,), None), 1),
+])
+def test_messages_to_the_store_are_few(live, gone, op, expected, most):
+    newest = current._Newest(["lsn"], None, "op", None)
+    newest.live, newest.gone = Counted(live), Counted(gone)
+    list(newest.handleInputRows(("a",), iter([Row(lsn=3, op="u"), Row(lsn=7, op=op)]), None))
+    assert (newest.live.value, newest.gone.value) == expected
+    assert newest.live.messages + newest.gone.messages <= most
+
+
 def test_store_is_asked_for(spark, rows):
     with pytest.raises(ConfigError):
         newest_on_stream(rows(DDL, ("a", 1, 1, 1, "u", "v")), ["id"], ["lsn"])
