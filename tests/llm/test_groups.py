@@ -153,6 +153,25 @@ def test_a_passage_that_most_documents_hold(rows):
     assert all(row.n <= 2 and row.matched == 55 for row in counts)
 
 
+def test_partners_that_share_nothing_but_common_seeds(rows):
+    source = random.Random(16)
+    passage = random_words(source, 60, 10 ** 6)
+    own = lambda inner: " ".join(random_words(source, 20, 10 ** 6) + inner + random_words(source, 20, 10 ** 6))
+    parts_ = lambda count: [own(passage[at:at + 30]) for _ in range(count) for at in (0, 15, 30)]
+    texts = parts_(40) + [own(passage)] + parts_(2) + [own(passage)] + parts_(2)
+    found = passages.repeated_passages(rows("doc_id bigint, text string", *enumerate(texts))).collect()
+    assert [(r.doc_id, r.start_word, r.end_word, r.other_id, r.other_start) for r in found] == [(127, 20, 80, 120, 20)]
+
+
+@pytest.mark.parametrize("more", [0, 50])
+def test_a_passage_that_a_document_holds_twice(rows, more):
+    source = random.Random(17)
+    passage, own = random_words(source, 60, 10 ** 6), lambda: random_words(source, 25, 10 ** 6)
+    texts = [own() + passage + own()] + [own() + passage + own() + passage for _ in range(more + 1)]
+    found = passages.repeated_passages(rows("doc_id bigint, text string", *[(i, " ".join(t)) for i, t in enumerate(texts)])).collect()
+    assert {(r.doc_id, r.start_word, r.end_word) for r in found} == {(i, at, at + 60) for i in range(1, more + 2) for at in (25, 110)}
+
+
 def test_all_passages_of_one_pair_and_those_between_them(rows):
     source = random.Random(9)
     first, second, inner = (random_words(source, 60, 10 ** 6) for _ in range(3))
