@@ -14,13 +14,21 @@ from itertools import compress
 from operator import not_
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_BESIDE = [pair for c in map(chr, range(0x3001)) if c.isspace() for pair in (c + " ", " " + c)]
+_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+_ASCII_SPACES = [c for c in _SPACES if c.isascii()]
+
+
+def odd(text: str) -> bool:
+    """Whether white space stands at an end or beside a space."""
+    if text[:1].isspace() or text[-1:].isspace():
+        return True
+    spaces = _ASCII_SPACES if text.isascii() else _SPACES
+    return any(c in text and (c + " " in text or " " + c in text) for c in spaces)
 
 
 def cut(text: str) -> list[str]:
     """Pieces; before each but the first stands one space that is left out here."""
-    odd = text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _BESIDE)
-    return _CUT.split(text) if odd else text.split(" ")
+    return _CUT.split(text) if odd(text) else text.split(" ")
 
 
 # Characters of text whose unknown pieces are learned by one call, and of a piece that is remembered.

@@ -114,6 +114,21 @@ def test_special_tokens_and_chunks_as_the_library_reads_them(texts, monkeypatch)
     assert wanted[-3] == [64, 50256, 65, 0]
 
 
+def test_unknown_words_go_to_the_library_joined(texts):
+    tokenizer = records.Tokenizer(public_tokenizers.path(records.VOCABULARY))
+    words = sorted({piece for text in texts if text for piece in text.split() if "<|" not in piece} | {f"word{i}" for i in range(900)})
+    pieces = [" " + word for word in words]
+    odd = ["", " ", "  x", " a b", " a\n", " \u00a0a", " a\u2028b", "a", " b"]
+    expected = [np.array(each.ids, "<u4").tobytes() for each in tokenizer.library.encode_batch(pieces + odd, add_special_tokens=False)]
+    asked, each = [], tokenizer._each
+    tokenizer._each = lambda some: asked.extend(some) or each(some)
+    assert tokenizer._pieces(pieces) == expected[:len(pieces)]
+    assert len(asked) <= len(pieces) / records.JOINED + 1
+    tokenizer.special.append(pieces[0] + pieces[1])
+    for first in range(len(odd)):
+        assert tokenizer._pieces(pieces[:50] + odd[first:]) == expected[:50] + expected[len(pieces) + first:]
+
+
 def test_records_of_an_empty_table(spark, rows, tmp_path):
     prepare(spark)
     manifest = records.write_records(rows("doc_id bigint, text string"), f"file://{tmp_path}/none", public_tokenizers.path(records.VOCABULARY))
