@@ -241,6 +241,20 @@ def test_all_pairs_of_a_family_whose_rare_hashes_are_common(rows):
     assert sorted(map(sorted, groups.values())) == sorted([a for a in range(300) if expected[a] == root] for root in set(expected.values()))
 
 
+def test_signatures_travel_only_for_hashes_of_several_roots(rows, monkeypatch):
+    seen = {}
+    stage = fuzzy_lines.staged
+    monkeypatch.setattr(fuzzy_lines, "staged", lambda df, label: seen.setdefault(label, stage(df, label)))
+    monkeypatch.setattr(fuzzy_lines, "FEW", 4)
+    # Hash 1 is of one root, 2 of two, 3 of six members and roots; the others are held once.
+    data = [(1, 1, [1, 11]), (2, 1, [1, 12]), (3, 3, [2, 13]), (4, 4, [2, 13]), *[(n, n, [3, n + 10]) for n in range(5, 11)]]
+    members = rows("key bigint, root bigint, sketch array<int>", *[(key, root, sketch) for key, root, sketch in data])
+    pairs, many = fuzzy_lines.met_by_rarest(members)
+    assert {(row.a, row.b) for row in pairs.collect()} == {(3, 4)}
+    assert {(row.hash, row.key) for row in many.collect()} == {(3, n) for n in range(5, 11)}
+    assert {row.hash for row in seen["rarest-held"].collect()} == {2, 3, 13}
+
+
 def test_blocks_of_a_shingle_meet_each_other(rows, monkeypatch):
     monkeypatch.setattr(fuzzy_lines, "BLOCK", 2)
     source = random.Random(24)
