@@ -1,10 +1,12 @@
 """Near-duplicate vectors and fuzzy lines against brute force; the pipeline and the registry."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from plain import smallest_reachable
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rowferry.llm import fuzzy_lines, queries, vector_graphs
@@ -305,3 +307,51 @@ def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.all_queries())
     assert numbers == list(range(1, 14))
     assert queries.all_oracles().keys() <= queries.all_queries().keys()
+
+
+def test_shingles_by_position_are_those_of_the_pattern(rows):
+    source = random.Random(25)
+    texts = ["".join(source.choice("abé字😀 ") for _ in range(n)) for n in (1, 8, 9, 10, 40, 300)] + ["a" * 500, "abcdefghi" * 300]
+    table = rows("line string", *[(t,) for t in texts])
+    found = table.select("line", fuzzy_lines.shingle_hashes("line").alias("all"), fuzzy_lines.least_hashes("line").alias("least"))
+    for row in found.collect():
+        own = [m[1] for m in re.finditer(fuzzy_lines.SHINGLES, row.line)]
+        assert len(set(zip(own, row.all))) == len(set(own)) == len(set(row.all)) and len(own) == len(row.all)
+        assert row.least == sorted(set(row.all))[:fuzzy_lines.BOTTOM]
+
+
+def test_small_buckets_are_settled_without_the_rarest_hashes(rows, monkeypatch):
+    seen = {}
+    stage = fuzzy_lines.staged
+    monkeypatch.setattr(fuzzy_lines, "staged", lambda df, label: seen.setdefault(f"{label}-{len(seen)}", stage(df, label)))
+    # Strangers in buckets of two, four that are two pairs, and a bucket of more than are all compared.
+    signed = [(1, [1, 2, 11]), (2, [1, 2, 12]), (3, [3, 4, 13]), (4, [3, 4, 14]), (5, [3, 4, 13]), (6, [3, 4, 14])]
+    signed += [(key, [5, 6, key]) for key in range(20, 60)]
+    signed = rows("key bigint, sketch array<int>", *signed)
+    buckets = fuzzy_lines.first_buckets(signed)
+    assert {(row.key, row.first, row["size"]) for row in buckets.where("key < 20").collect()} >= {(2, 1, 2), (6, 3, 4)}
+    roots = rows("node bigint, root bigint", (3, 3), (5, 3))
+    rest = fuzzy_lines.not_united(buckets, roots)
+    assert {row.key for row in rest.where(F.col("size") <= fuzzy_lines.SMALL).collect()} == {4, 5, 6}
+    assert {row.key for row in rest.where(F.col("size") > fuzzy_lines.SMALL).collect()} == set(range(21, 60))
+    met = fuzzy_lines.met_in_buckets(rest.where(F.col("size") <= fuzzy_lines.SMALL), signed)
+    assert {(row.a, row.b) for row in met.collect()} == {(4, 5), (4, 6), (5, 6)}
+
+
+def test_pairs_of_rare_hashes_are_made_once(rows, monkeypatch):
+    monkeypatch.setattr(fuzzy_lines, "FEW", 3)
+    distinct, made = type(rows("a int")).distinct, []
+
+    def counted(df):
+        if df.columns == ["a", "b"]:
+            made.append(df.count())
+        return distinct(df)
+
+    monkeypatch.setattr(type(rows("a int")), "distinct", counted)
+    # Two that share all hashes, one of which many hold, and two that share enough of them.
+    data = [(1, list(range(10))), (2, list(range(10))), (3, list(range(20, 30))), (4, list(range(23, 33)))]
+    data += [(key, [0] + list(range(100 * key, 100 * key + 9))) for key in range(10, 14)]
+    members = rows("key bigint, root bigint, sketch array<int>", *[(key, key, sketch) for key, sketch in data])
+    pairs, many = fuzzy_lines.met_by_rarest(members)
+    assert {(row.a, row.b) for row in pairs.collect()} == {(1, 2), (3, 4)}
+    assert made == [2]
