@@ -47,7 +47,8 @@ MOST_FREQUENT = 1_000_000
 BROADCAST_IDS = 500_000
 BLOCK_ROWS = 1_024
 FEW_BYTES = 128
-QUERIES = 256
+# Pairs that a task holds at a time, and pairs whose bits it holds.
+PAIRS, COMPARED = 1 << 18, 1 << 14
 
 # Overlap that two sets of together n tokens need: 9 * overlap >= 4 * n.
 _NEEDED = "(4 * ({a} + {b}) + 8) div 9"
@@ -321,63 +322,84 @@ def between_groups(shared: DataFrame, groups: DataFrame, classes: DataFrame, nea
 
 
 def _open_groups(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All whole rows of the matrix in a batch are looked at together; the last one waits for its rest."""
     rest, rest_bits = np.zeros((8, 0), np.int64), []
     for batch in batches:
         rows = np.stack([column.to_numpy().astype(np.int64) for column in batch.columns[:8]])
         rows = np.concatenate((rest, rows), 1)
         bits = rest_bits + batch.column(8).to_pylist()
-        cuts = [0, *(np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(0)) + 1).tolist()]
-        for begin, end in zip(cuts, cuts[1:]):
-            yield _near_pairs(rows[:, begin:end], bits[begin:end], nearest)
-        rest, rest_bits = rows[:, cuts[-1]:], bits[cuts[-1]:]
+        cuts = np.flatnonzero((rows[:3, 1:] != rows[:3, :-1]).any(0))
+        cut = int(cuts[-1]) + 1 if cuts.size else 0
+        yield _near_pairs(rows[:, :cut], bits[:cut], nearest)
+        rest, rest_bits = rows[:, cut:], bits[cut:]
     yield _near_pairs(rest, rest_bits, nearest)
 
 
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place as often as its count says, and the numbers from 0 on of its repeats."""
+    each = np.repeat(np.arange(counts.size), counts)
+    return each, np.arange(each.size) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _near_pairs(rows: np.ndarray, bits: list[bytes], nearest: bool) -> pa.RecordBatch:
-    """Pairs of one row of the matrix, sorted by group: query and group first, then query and member."""
+    """Pairs within rows of the matrix, each sorted by group: query and group first, then query and member."""
     _, low, high, groups, classes, n, place, block = rows
     found = [np.zeros((2, 0), np.int64)]
-    if n.size > 1 and groups[0] != groups[-1]:
-        starts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
-        own = np.cumsum(np.concatenate(([True], groups[1:] != groups[:-1]))) - 1
+    if n.size > 1:
+        first = np.concatenate(([True], (rows[:3, 1:] != rows[:3, :-1]).any(0)))
+        opens = first | np.concatenate(([True], groups[1:] != groups[:-1]))
+        starts, own = np.flatnonzero(opens), np.cumsum(opens) - 1
+        ends = np.concatenate((starts[1:], [n.size]))
         least, most = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
         left = np.maximum.reduceat(n - place, starts)
-        for begin in range(0, n.size, QUERIES):
-            q = np.arange(begin, min(begin + QUERIES, n.size))
-            size, rest = n[q, None], (n - place)[q, None]
-            needed = (4 * (size + np.maximum(least, (4 * size + 4) // 5)) + 8) // 9
-            opened = (np.arange(starts.size) > own[q, None]) & (5 * most >= 4 * size) & (4 * least <= 5 * size)
-            opened &= np.minimum(rest, left) >= needed
-            a, b = np.nonzero(opened[:, own])
-            a = q[a]
+        # The groups after its own in its row are those a query is compared with.
+        row_starts = np.flatnonzero(first)
+        row_end = np.concatenate((row_starts[1:], [n.size]))[np.cumsum(first) - 1]
+        later_groups, later = own[row_end - 1] - own, row_end - ends[own]
+        part = (np.cumsum(later) - later) // PAIRS
+        bounds = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+        for begin, end in zip(bounds, bounds[1:]):
+            q, g = _spread(later_groups[begin:end])
+            q += begin
+            g += own[q] + 1
+            size, rest = n[q], (n - place)[q]
+            needed = (4 * (size + np.maximum(least[g], (4 * size + 4) // 5)) + 8) // 9
+            opened = (5 * most[g] >= 4 * size) & (4 * least[g] <= 5 * size) & (np.minimum(rest, left[g]) >= needed)
+            q, g = q[opened], g[opened]
+            at, b = _spread(ends[g] - starts[g])
+            a, b = q[at], starts[g][at] + b
             fits = 5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])
             fits &= 9 * np.minimum(n[a] - place[a], n[b] - place[b]) >= 4 * (n[a] + n[b])
-            if low[0] != high[0]:
-                fits &= block[a] != block[b]
+            fits &= (low[a] == high[a]) | (block[a] != block[b])
             a, b = a[fits], b[fits]
-            for part in range(0, a.size, QUERIES * 64):
-                x, y = a[part:part + QUERIES * 64], b[part:part + QUERIES * 64]
-                over = 9 * differences(bits, x, y) - n[x] - n[y]
-                near = over <= 0
-                x, y, over = x[near], y[near], over[near]
-                if nearest:
-                    order = np.lexsort((over, x))
-                    first = np.unique(x[order], return_index=True)[1]
-                    x, y = x[order][first], y[order][first]
-                found.append(np.stack((classes[x], classes[y])))
+            over = 9 * differences(bits, a, b) - n[a] - n[b]
+            near = over <= 0
+            a, b, over = a[near], b[near], over[near]
+            if nearest:
+                order = np.lexsort((over, a))
+                best = order[np.unique(a[order], return_index=True)[1]]
+                a, b = a[best], b[best]
+            found.append(np.stack((classes[a], classes[b])))
     pairs = np.concatenate(found, 1)
     return pa.RecordBatch.from_pydict({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
 
 def differences(bits: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """:func:`least_difference` of many pairs, given by their places in ``bits``."""
-    sizes = np.array([len(own) // 8 for own in bits])
-    common, found = np.minimum(sizes[a], sizes[b]), np.zeros(a.size, np.int64)
-    for size in np.unique(common):
-        at = np.flatnonzero(common == size)
-        used, where = np.unique(np.concatenate((a[at], b[at])), return_inverse=True)
-        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(bits[i], np.uint64).reshape(-1, size), 0) for i in used])
-        found[at] = np.bitwise_count(folded[where[:at.size]] ^ folded[where[at.size:]]).sum(1)
+    sizes = np.array([len(own) // 8 for own in bits], np.int64)
+    words, starts = np.frombuffer(b"".join(bits), np.uint64), np.cumsum(sizes) - sizes
+    found = np.zeros(a.size, np.int64)
+    kinds = sizes[a] << 32 | sizes[b]
+    for kind in np.unique(kinds).tolist():
+        own, other = kind >> 32, kind & 0xFFFFFFFF
+        common, every = min(own, other), np.flatnonzero(kinds == kind)
+        for begin in range(0, every.size, COMPARED):
+            at = every[begin:begin + COMPARED]
+            x, y = (
+                np.bitwise_xor.reduce(words[starts[side[at], None] + np.arange(size)].reshape(at.size, -1, common), 1)
+                for side, size in ((a, own), (b, other))
+            )
+            found[at] = np.bitwise_count(x ^ y).sum(1)
     return found
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain import shingle_set, smallest_reachable, words
 from pyspark.sql import functions as F
@@ -84,6 +85,38 @@ def test_bit_sets_never_exceed_the_difference():
         assert jaccard_groups.least_difference(jaccard_groups.bit_set(a), jaccard_groups.bit_set(b)) <= np.setxor1d(a, b).size
 
 
+@pytest.mark.parametrize("most", [1, 40, 1 << 18])
+def test_rows_of_the_matrix_are_looked_at_together(monkeypatch, most):
+    monkeypatch.setattr(jaccard_groups, "PAIRS", most)
+    source, rows, bits = np.random.default_rng(4), [], []
+    for token in range(120):
+        low, proto = int(source.integers(0, 2)), source.integers(0, 2 ** 63, 700).astype(np.uint64)
+        high, size = low + int(source.integers(0, 2)), source.integers(30, 600)
+        for group in sorted(source.integers(0, 4, source.integers(1, 9)).tolist()):
+            own = np.unique(proto[:int(size * source.uniform(0.7, 1.1))])
+            own = np.unique(np.where(source.random(own.size) < 0.06, source.integers(0, 2 ** 63, own.size).astype(np.uint64), own))
+            block = low if low == high else int(source.choice([low, high]))
+            rows.append((token, low, high, group, 1000 + len(rows), own.size, int(source.integers(0, 9)), block))
+            bits.append(jaccard_groups.folded(jaccard_groups.bit_set(own), jaccard_groups.FEW_BYTES))
+    expected = set()
+    for i, x in enumerate(rows):
+        for j, y in enumerate(rows):
+            if x[:3] == y[:3] and x[3] < y[3] and (x[1] == x[2] or x[7] != y[7]) and 5 * min(x[5], y[5]) >= 4 * max(x[5], y[5]):
+                both = x[5] + y[5]
+                if 9 * min(x[5] - x[6], y[5] - y[6]) >= 4 * both and 9 * jaccard_groups.least_difference(bits[i], bits[j]) <= both:
+                    expected.add((x[4], y[4]))
+    calls, compare = [], jaccard_groups.differences
+    monkeypatch.setattr(jaccard_groups, "differences", lambda *given: calls.append(1) or compare(*given))
+    columns = [np.array(column) for column in zip(*rows)]
+    batches = [[*[pa.array(c[at:at + 100]) for c in columns], pa.array(bits[at:at + 100], pa.binary())] for at in range(0, len(rows), 100)]
+    for nearest in (False, True):
+        found = jaccard_groups._open_groups(nearest, (pa.RecordBatch.from_arrays(batch, list("tlhgcnpbx")) for batch in batches))
+        found = {pair for batch in found for pair in zip(*(column.to_pylist() for column in batch.columns))}
+        assert found <= expected and {a for a, _ in found} == {a for a, _ in expected}
+        assert nearest or found == expected
+        assert expected and (most < 1 << 18 or len(calls) <= 2 * len(batches) + 2)
+
+
 @pytest.mark.parametrize("hot", [2, 10_000])
 def test_components_of_chains_hubs_and_loops(rows, monkeypatch, hot):
     monkeypatch.setattr(parts, "HOT_DEGREE", hot)
