@@ -9,6 +9,7 @@ text. Words repeat, so most pieces are found in memory.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import compress
 from operator import not_
@@ -31,6 +32,17 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if odd(text) else text.split(" ")
 
 
+# After one of these letters and digits, marks begin a part of their own in byte-level vocabularies.
+_BEFORE_MARKS = frozenset(string.ascii_letters + string.digits + "".join(c for c in map(chr, range(0xC0, 0x180)) if c.isalpha()))
+
+
+def unmarked(piece: str) -> str:
+    """A piece without the marks at the end of its first line and what follows them; the whole piece if unsure."""
+    line = piece.partition("\n")[0] if "\n" in piece else piece
+    word = line.rstrip(string.punctuation)
+    return word if word[-1:] in _BEFORE_MARKS and len(word) < len(line) else piece
+
+
 # Characters of text whose unknown pieces are learned by one call, and of a piece that is remembered.
 CHUNK, LONGEST = 4_000_000, 200
 
@@ -40,10 +52,12 @@ class PieceCache:
 
     ``encode`` gives the ids of many pieces at once. At most twice ``limit``
     pieces are held: when the newer half is full it becomes the older half.
+    With ``marks`` an unknown word is encoded apart from the marks after it,
+    for vocabularies that never join the two; the word alone is often known.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 300_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 300_000, marks: bool = False):
+        self.encode, self.limit, self.marks = encode, limit, marks
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -94,4 +108,19 @@ class PieceCache:
                 unknown.append(word)
             else:
                 self.new[word] = known
+        rest = [word for word in unknown if not word.isalpha()] if self.marks else []
+        if rest:
+            unknown = [word for word in unknown if word.isalpha()]
         self.new.update(zip(unknown, self.encode([" " + word for word in unknown])))
+        if rest:
+            self._learn_marked(rest)
+
+    def _learn_marked(self, pieces: list[str]) -> None:
+        new, old, words = self.new, self.old, list(map(unmarked, pieces))
+        unknown = list({word for word in words if word not in new and word not in old})
+        found = dict(zip(unknown, self.encode([" " + word for word in unknown])))
+        ends = [piece[len(word):] for piece, word in zip(pieces, words)]
+        others = list(set(ends) - {""})
+        after = dict(zip(others, self.encode(others))) | {"": b""}
+        for piece, word, end in zip(pieces, words, ends):
+            new[piece] = (found.get(word) or new.get(word) or old[word]) + after[end]

@@ -150,7 +150,9 @@ class Tokenizer:
         vocabulary = self.library.get_vocab()
         self.after_space = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.after_space[[number for token, number in vocabulary.items() if token.startswith(_SPACE)]] = True
-        self.cache = PieceCache(self._pieces)
+        cutter = self.library.pre_tokenizer
+        apart = cutter is not None and [part for part, _ in cutter.pre_tokenize_str(" a,")] == [_SPACE + "a", ","]
+        self.cache = PieceCache(self._pieces, marks=apart)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece; words after a space go to the library joined, since a call costs more than its ids."""

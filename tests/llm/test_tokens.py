@@ -129,6 +129,18 @@ def test_unknown_words_go_to_the_library_joined(texts):
         assert tokenizer._pieces(pieces[:50] + odd[first:]) == expected[:50] + expected[len(pieces) + first:]
 
 
+def test_words_are_encoded_apart_from_the_marks_after_them():
+    library, own = (Kind(public_tokenizers.path(records.VOCABULARY)) for Kind in (Tokenizer.from_file, records.Tokenizer))
+    ends = ["", ",", ".", "...", "!?", "'", "''", ".\nIt", ",\r\nit's", ".\n\n\ta", "_", "-x", "\u2019", ",\u00e9", "'s", "'s.", "\n."]
+    texts = [f"The {word}{end} and {word}{end}" for word in ("word", "fa\u00e7\u00e0", "a1", "\u4e2d", "e\u0301", "don't", "'", "x.y", "\u00b2") for end in ends]
+    wanted = [library.encode(text, add_special_tokens=False).ids + [0] for text in texts]
+    assert [ids.tolist() for ids in own.encode_all(texts, 0)] == wanted
+    asked, each = [], own._each
+    own._each = lambda some: asked.extend(some) or each(some)
+    list(own.encode_all(["so " + " ".join(f"unheard{end}" for end in (",", ".", ";", "?", ".\nIt", ""))], 0))
+    assert sum(text.count("unheard") for text in asked) == 1
+
+
 def test_records_of_an_empty_table(spark, rows, tmp_path):
     prepare(spark)
     manifest = records.write_records(rows("doc_id bigint, text string"), f"file://{tmp_path}/none", public_tokenizers.path(records.VOCABULARY))
