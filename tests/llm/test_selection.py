@@ -6,9 +6,10 @@ import zlib
 import numpy as np
 import pytest
 from plain import words
+from plans import exchanges
 
-from rowferry.llm import decontaminate, html_text, quality
-from rowferry.llm.common import prepare
+from rowferry.llm import common, decontaminate, html_text, quality
+from rowferry.llm.common import prepare, staged
 
 
 @pytest.fixture(autouse=True)
@@ -173,3 +174,22 @@ def test_pages_give_a_row_each(rows):
     found = html_text.extract(pages).collect()
     assert [(r.page_id, r.url, r.text, r.n_chars) for r in found] == [(1, "u", "", 0), (1, None, "é😀", 2), (None, "u", "", 0)]
     assert html_text.extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("most, shuffles", [(2, 0), (1, 2)])
+def test_texts_stay_where_ids_can_be_sent(spark, rows, monkeypatch, most, shuffles):
+    monkeypatch.setattr(common, "BROADCAST_IDS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs, ids = rows("doc_id bigint, text string", (1, "a"), (2, "b"), (3, "c"), (None, "d")), rows("id bigint", (2,), (5,))
+        left, kept = common.without(docs, ids), common.without(docs, ids, keep=True)
+        assert sorted(row.text for row in left.collect()) == ["a", "c", "d"]
+        assert [row.text for row in kept.collect()] == ["b"]
+        assert exchanges(common.without(docs, ids)) == exchanges(common.without(docs, ids, keep=True)) == shuffles
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_texts_are_packed_tightly(rows):
+    docs = rows("doc_id bigint, text string", (1, "a"))
+    assert all(".zstd." in name for name in staged(docs, "packed").inputFiles())
