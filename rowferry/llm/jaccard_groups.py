@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import map_arrow, only, query, staged, table, without
+from rowferry.llm.common import discard, map_arrow, only, query, scratch, staged, table, without
 from rowferry.llm.components import components
 from rowferry.llm.words import Words, distinct_runs, mixed
 
@@ -276,9 +276,8 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 
     near = staged(map_arrow(near, bounded, "a bigint, b bigint"), "near")
     wanted = near.select(F.col("a").alias("cls")).unionAll(near.select("b")).distinct()
-    ids = staged(classes.join(wanted, "cls").select(F.col("doc_id").alias("_doc_id")).distinct(), "ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    listed = staged(classes.join(wanted, "cls").select(F.col("doc_id").alias("_doc_id")).distinct(), "ids")
+    ids = F.broadcast(listed) if listed.count() <= BROADCAST_IDS else listed
 
     def sets(batch: pa.RecordBatch) -> dict:
         found = [own for own in distinct_runs(Words(batch.column(1)), SHINGLE_WORDS) if own.size]
@@ -298,7 +297,9 @@ def linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
             keep.append(9 * same >= 4 * (p.size + q.size))
         return {"a": batch.column(0).filter(pa.array(keep)), "b": batch.column(1).filter(pa.array(keep))}
 
-    return staged(map_arrow(both, compared, "a bigint, b bigint"), "linked")
+    found = staged(map_arrow(both, compared, "a bigint, b bigint"), "linked")
+    discard(near, listed, tokens)
+    return found
 
 
 def between_groups(shared: DataFrame, groups: DataFrame, classes: DataFrame, nearest: bool = False) -> DataFrame:
@@ -406,21 +407,24 @@ def differences(bits: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
     docs = only(docs, "doc_id", "text")
-    marked = staged(signatures(docs), "signatures")
-    smallest = marked.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    one = marked.select("cls", "doc_id", F.col("n_shingles").alias("n"), "bits", "few_bits").dropDuplicates(["cls"])
-    classes = staged(one.drop("doc_id").join(smallest, "cls"), "classes")
-    shared = staged(matrix(docs), "matrix")
-    pairs = shared.where("cls <> first_cls").where(_fits("n", "place", "first_n", "first_place"))
-    links = linked(pairs.select(F.col("first_cls").alias("a"), F.col("cls").alias("b")).distinct(), classes, docs)
-    groups = staged(components(links), "groups")
-    links = links.unionAll(linked(between_groups(shared, groups, classes, nearest=True), classes, docs))
-    groups = staged(components(links), "groups")
-    links = links.unionAll(linked(between_groups(shared, groups, classes), classes, docs))
-    roots = components(links)
-    placed = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    own = placed.join(lowest, "root").select("cls", "component_id")
+    with scratch() as keep:
+        marked = keep(staged(signatures(docs), "signatures"))
+        smallest = marked.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+        one = marked.select("cls", "doc_id", F.col("n_shingles").alias("n"), "bits", "few_bits").dropDuplicates(["cls"])
+        classes = staged(one.drop("doc_id").join(smallest, "cls"), "classes")
+        shared = staged(matrix(docs), "matrix")
+        pairs = shared.where("cls <> first_cls").where(_fits("n", "place", "first_n", "first_place"))
+        links = linked(pairs.select(F.col("first_cls").alias("a"), F.col("cls").alias("b")).distinct(), classes, docs)
+        groups = staged(components(links), "groups")
+        links = links.unionAll(linked(between_groups(shared, groups, classes, nearest=True), classes, docs))
+        groups = staged(components(links), "groups")
+        links = links.unionAll(linked(between_groups(shared, groups, classes), classes, docs))
+        discard(shared)
+        roots = components(links)
+        placed = classes.join(roots, F.col("cls") == F.col("node"), "left")
+        placed = placed.select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+        lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+        own = keep(staged(placed.join(lowest, "root").select("cls", "component_id"), "own"))
     found = marked.join(own, "cls", "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -431,7 +435,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without id stay. Rows that repeat an id stay or go together, and of
     equal ones with equal text one stays.
     """
-    found = staged(near_duplicates(docs).where("doc_id is not null"), "components")
+    with scratch() as keep:
+        found = keep(staged(near_duplicates(docs).where("doc_id is not null"), "components"))
     ids = found.groupBy("doc_id").agg(F.max(F.expr("component_id = doc_id")).alias("stays"), F.count("*").alias("rows"))
     left = without(docs, ids.where("not stays").select("doc_id"))
     repeated = staged(ids.where("stays and rows > 1").select("doc_id"), "repeated")

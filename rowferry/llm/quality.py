@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import map_arrow, only, query, staged, table, without
+from rowferry.llm.common import map_arrow, only, query, scratch, staged, table, without
 from rowferry.llm.words import Tokens, mixed
 
 WIDTH = 64
@@ -252,8 +252,10 @@ def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Rows without id stay; rows that repeat an id go only if all are rejected.
     """
-    scored = score_documents(docs, labels).where("doc_id is not null")
-    gone = scored.groupBy("doc_id").agg(F.max("predicted").alias("best")).where("best = 0").select("doc_id")
+    with scratch() as keep:
+        scored = score_documents(docs, labels).where("doc_id is not null")
+        gone = scored.groupBy("doc_id").agg(F.max("predicted").alias("best")).where("best = 0").select("doc_id")
+        gone = keep(staged(gone, "rejected"))
     return without(docs, gone)
 
 

@@ -1,5 +1,6 @@
 """Near-duplicate vectors and fuzzy lines against brute force; the pipeline and the registry."""
 
+import os
 import random
 import re
 
@@ -9,8 +10,9 @@ from plain import smallest_reachable
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from rowferry.llm import fuzzy_lines, queries, vector_graphs
+from rowferry.llm import common, fuzzy_lines, jaccard_groups, queries, vector_graphs
 from rowferry.llm.common import prepare
+from rowferry.session import staging_root
 
 
 @pytest.fixture(autouse=True)
@@ -355,3 +357,52 @@ def test_pairs_of_rare_hashes_are_made_once(rows, monkeypatch):
     pairs, many = fuzzy_lines.met_by_rarest(members)
     assert {(row.a, row.b) for row in pairs.collect()} == {(1, 2), (3, 4)}
     assert made == [2]
+
+
+def test_lines_leave_no_tables_or_shuffle_files(rows, tmp_path):
+    docs = rows("doc_id bigint, text string", *[(n, f"a line that many documents hold\nand {'x' * n} another, number {n}") for n in range(60)])
+    spark = docs.sparkSession
+    prepare(spark)
+    folder = os.path.join(staging_root(spark).removeprefix("file:"), "rowferry")
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {name for at in range(files.size()) if (name := files.apply(at).getName()).startswith("shuffle_")}
+
+    before, shuffles = set(os.listdir(folder)) if os.path.isdir(folder) else set(), shuffled()
+    fuzzy_lines.line_classes(docs).write.parquet(str(tmp_path / "lines"))
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before} == {"lines"}
+    assert shuffled() <= shuffles
+    before = set(os.listdir(folder))
+    jaccard_groups.keep_one(docs).write.parquet(str(tmp_path / "one"))
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before} == {"components", "ids", "repeated"}
+    assert shuffled() <= shuffles
+
+
+def test_passes_meet_as_one_pass_does(rows, monkeypatch):
+    source = random.Random(25)
+    monkeypatch.setattr(fuzzy_lines, "FEW", 4)
+    bases = ["".join(source.choice("abcdef") for _ in range(60)) for _ in range(4)]
+    texts = sorted({base[:at] + "x" + base[at + 1:] for base in bases for at in source.sample(range(60), 9)})
+    docs = rows("doc_id bigint, text string", *enumerate(texts))
+    signed = fuzzy_lines.signatures(docs)
+    members = signed.select("key", F.col("key").alias("root"), "sketch")
+    near = fuzzy_lines.first_buckets(signed).select("bucket", "key", F.col("key").alias("root"))
+    every = signed.select(F.col("key").alias("a")).crossJoin(signed.select(F.col("key").alias("b"))).where("a < b")
+    keyed = docs.select(fuzzy_lines.key("text"), F.col("text").alias("line"))
+    steps = [
+        (400, lambda most: fuzzy_lines.alike(every, signed, most)), (60, lambda most: fuzzy_lines.met_in_buckets(near, signed, most)),
+        (120, lambda most: fuzzy_lines.met_by_rarest(members, most)[0]), (400, lambda most: fuzzy_lines.similar(every, keyed, most)),
+        (400, lambda most: fuzzy_lines.met_by_shingles(members.drop("sketch"), keyed, most)),
+        (20, lambda most: fuzzy_lines.texts_of(docs, members.select("key"), most)),
+    ]
+    staged = []
+    for most, step in steps:
+        whole = set(map(tuple, step(None).collect()))
+        with monkeypatch.context() as patch:
+            patch.setattr(fuzzy_lines, "BROADCAST_KEYS", 1)
+            patch.setattr(fuzzy_lines, "staged", lambda df, label: staged.append(label) or common.staged(df, label))
+            assert set(map(tuple, step(most).collect())) == whole
+        assert whole
+    assert all(staged.count(label) > 1 for label in ("line-pairs", "bucket-met", "rarest", "rarest-held", "rarest-met", "line-prefixes", "line-met", "line-links", "line-texts"))
